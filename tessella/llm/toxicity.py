@@ -1,6 +1,7 @@
 """Operator 3: toxicity by a convolutional text classifier trained in numpy.
 
-Words are hashed to buckets with an embedding each; filters of widths 1 to 3 slide over the words, the
+Words and their first ``PREFIX`` characters are hashed to buckets with an embedding each, and a word's vector
+is the sum of the two, so that unseen inflections of a seen stem are not unknown; filters of widths 1 to 3 slide over the words, the
 largest value of each filter in the whole text is kept, and a logistic layer turns them into a score. The
 score is calibrated on labelled rows that training did not see, so that 0.3 is the dividing line; a
 threshold for each language is fitted on the same rows and serves ``flagged`` only, never the score.
@@ -29,9 +30,9 @@ from .common import crc_mod, table
 from .sampling import bounded_sample
 
 BUCKETS = 1 << 22
-DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
+DIM, FILTERS, WIDTHS, PREFIX = 8, 8, (1, 2, 3), 4
 PER_LABEL, SAMPLE_CHARS, MIN_DOCS = 1500, 50_000, 3
-EPOCHS, BATCH, RATE, SEED = 10, 32, 0.01, 5
+EPOCHS, STEPS, BATCH, RATE, SEED = 10, 700, 32, 0.01, 5
 LIMIT = 0.3
 STEP_WORDS = 60_000
 CACHE = 200_000
@@ -40,24 +41,29 @@ _PARTS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 
 class Buckets(dict):
-    """Word -> row of the embedding table (0: the zero embedding), remembering recent words."""
+    """Word -> rows of the embedding table for the word (low half) and its prefix (high half), remembering recent words."""
 
     def __init__(self, row_of_bucket: np.ndarray | None):
         super().__init__()
         self.row_of_bucket = row_of_bucket
 
+    def _row(self, key: bytes) -> int:
+        b = zlib.crc32(key) % BUCKETS
+        return b if self.row_of_bucket is None else int(self.row_of_bucket[b])
+
     def __missing__(self, word: bytes) -> int:
-        b = zlib.crc32(word) % BUCKETS
-        row = b if self.row_of_bucket is None else int(self.row_of_bucket[b])
+        start = word[: 4 * PREFIX].decode("utf-8", "ignore")[:PREFIX]
+        both = self._row(word) | self._row(b"^" + start.encode("utf-8")) << 32
         if len(self) >= CACHE:
             self.clear()
         if len(word) < 64:
-            self[word] = row
-        return row
+            self[word] = both
+        return both
 
     def rows(self, text: str | None) -> np.ndarray:
+        """An array of (word's row, prefix's row)."""
         words = text.lower().encode("utf-8", "surrogatepass").translate(_PARTS).split() if text else []
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return np.fromiter(map(self.__getitem__, words), "<i8", len(words)).view("<i4").reshape(-1, 2)
 
 
 class TextCNN:
@@ -66,7 +72,7 @@ class TextCNN:
     def __init__(self, buckets: np.ndarray, seed: int = SEED):
         r = np.random.default_rng(seed)
         self.buckets = buckets
-        self.e = np.vstack([np.zeros((1, DIM)), r.normal(0, 0.3, (len(buckets), DIM))]).astype(np.float32)
+        self.e = np.vstack([np.zeros((1, DIM)), r.normal(0, 0.1, (len(buckets), DIM))]).astype(np.float32)
         self.w = [r.normal(0, 0.4, (k, DIM, FILTERS)).astype(np.float32) for k in WIDTHS]
         self.b = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.v = r.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32)
@@ -91,9 +97,10 @@ class TextCNN:
             m = len(rows) - width + 1
             if m < 1:
                 continue
-            conv = own[0][rows[:m]]
+            conv = own[0][rows[:m, 0]] + own[0][rows[:m, 1]]
             for j in range(1, width):
-                conv += own[j][rows[j : m + j]]
+                conv += own[j][rows[j : m + j, 0]]
+                conv += own[j][rows[j : m + j, 1]]
             conv += self.b[i]
             has = np.flatnonzero(sizes >= width)
             if not len(has):
@@ -109,7 +116,7 @@ class TextCNN:
 
     def margin(self, texts: list[np.ndarray]) -> np.ndarray:
         sizes = np.array([len(t) for t in texts], np.int64)
-        return self.pooled(np.concatenate(texts) if len(texts) else np.zeros(0, np.int32), np.cumsum(sizes) - sizes, sizes) @ self.v + self.c
+        return self.pooled(np.concatenate(texts) if len(texts) else np.zeros((0, 2), np.int32), np.cumsum(sizes) - sizes, sizes) @ self.v + self.c
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.margin(texts).astype(np.float64) + self.shift, -30, 30)))
@@ -119,7 +126,7 @@ class TextCNN:
         params = [self.e, *self.w, *self.b, self.v]
         m1, m2, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6))
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-STEPS * BATCH // max(1, len(texts))))):  # a small sample is gone through more often
             order = r.permutation(len(texts))
             for k in range(0, len(order), BATCH):
                 grads = [np.zeros_like(p) for p in params]
@@ -127,7 +134,7 @@ class TextCNN:
                 for i in order[k : k + BATCH]:
                     ids = texts[i]
                     at, top = [], np.zeros(FILTERS * len(WIDTHS), np.float32)
-                    x = self.e[ids]
+                    x = self.e[ids[:, 0]] + self.e[ids[:, 1]]
                     for a, width in enumerate(WIDTHS):
                         m = len(ids) - width + 1
                         if m < 1:
@@ -147,8 +154,9 @@ class TextCNN:
                             g = d * self.v[a * FILTERS + f]
                             window = ids[at[a][f] : at[a][f] + width]
                             grads[1 + len(WIDTHS) + a][f] += g
-                            grads[1 + a][:, :, f] += g * self.e[window]
-                            np.add.at(grads[0], window, g * self.w[a][:, :, f])
+                            grads[1 + a][:, :, f] += g * (self.e[window[:, 0]] + self.e[window[:, 1]])
+                            for part in (0, 1):
+                                np.add.at(grads[0], window[:, part], g * self.w[a][:, :, f])
                 t += 1
                 for p, g, a1, a2 in zip(params, grads, m1, m2, strict=True):
                     a1 *= 0.9
