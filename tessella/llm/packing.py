@@ -9,10 +9,10 @@ and full-length pieces make sequences by themselves.
 Every task packs what it reads: no shuffle, at most ``WAITING`` examples in memory. What is left at a task's
 end is cut into sequences whose lengths are powers of two, which need no padding.
 
-Tokens come from a public byte-level BPE file (a parameter). Words repeat, so the ids of a blank-delimited
-piece are remembered; a text in which white space could be grouped across such pieces, or that spells a
-special token, is encoded as a whole. A new piece in Latin script goes through a faster encoder over the same vocabulary, anything else through the
-tokenizer itself. All ways give the tokenizer's own ids.
+Tokens come from a public byte-level BPE file (a parameter). Texts in Latin-1 go through a faster encoder
+over the same vocabulary, given as ranks; for others the ids of blank-delimited pieces are remembered, and a
+text in which white space could be grouped across such pieces, or that spells a special token, is encoded as
+a whole by the tokenizer. All ways give the tokenizer's own ids.
 
 Defined cases: a null text counts as empty and consists of the end id alone; repeated rows are packed each;
 an empty table gives no piece; other columns are ignored.
@@ -49,6 +49,16 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _latin1(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _latin_encoder(ranks_path: str):
     """str -> ids by the same vocabulary, given as ranks."""
     import public_tokenizers
@@ -76,10 +86,7 @@ class Encoder(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if self.latin is not None and (piece.isascii() or max(piece) < "\u0250"):
-            ids = array("H", self.latin(piece)).tobytes()
-        else:
-            ids = self.whole(piece)
+        ids = self.whole(piece)
         if len(self) >= CACHE:
             self.clear()
         if len(piece) < 64:
@@ -89,6 +96,8 @@ class Encoder(dict):
     def ids(self, text: str | None, end_id: int | None = END_ID) -> np.ndarray:
         if not text:
             raw = b""
+        elif self.latin is not None and _latin1(text) and not any(s in text for s in self.special):
+            raw = array("H", self.latin(text)).tobytes()
         elif _TANGLED.search(text) or any(s in text for s in self.special):
             raw = self.whole(text)
         else:
