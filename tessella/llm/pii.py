@@ -8,10 +8,11 @@ parameter; the tables here carry no labels for personal data) and become ``CASE`
 data never leave the JVM: no Python worker, no shuffle, one pass over the text.
 
 The patterns use possessive quantifiers wherever giving characters back cannot lead to a match; the matches
-are the same as without, and long runs cannot overflow the matcher's stack.
+are the same as without, and long runs cannot overflow the matcher's stack or take quadratic time.
 
 Defined cases: a null text counts as empty and stays null when redacted; offsets are code points with the
-end exclusive; repeated rows give repeated rows; an empty table gives an empty result; other columns pass.
+end exclusive; repeated rows give repeated rows; an empty table gives an empty result; other columns pass
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from .boosting import BoostedTrees
 from .common import let, table
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IP = r"[0-9]++(?:\.[0-9]++){3}"
+#: A match can only start where a run of its first characters does, or where the last match ended.
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"
 #: Only runs of 13 digits or more: shorter ones fail in any case.
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -198,7 +200,7 @@ def _of_kind(spans: Column, kind: str) -> Column:
 
 
 def detect(docs: DataFrame, text_col: str = "text", seed: int = SEED) -> DataFrame:
-    """docs with _pii: struct<base spans by kind, extra: the method's spans>; the text is read once."""
+    """docs with _base: struct<spans by base kind>, and _extra: the method's spans; columns of these two names are replaced."""
     trees, limits = fitted(seed=seed)
     text = F.coalesce(F.col(text_col), F.lit(""))
     with_base = docs.withColumn("_base", F.struct(*[c.alias(k) for k, c in base_spans(text).items()]))
@@ -208,8 +210,9 @@ def detect(docs: DataFrame, text_col: str = "text", seed: int = SEED) -> DataFra
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """docs with every span replaced by its kind in brackets, overlapping spans as one; length_col is brought up to date."""
-    columns, text = docs.columns, F.col(text_col)
-    found = detect(docs, text_col)
+    columns, text = docs.columns, F.col("text")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text_col).alias("text"))
+    found = detect(held, "text")
     spans = F.concat(*[F.col(f"_base.{k}") for k in KINDS], F.col("_extra"))
     order = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
 
@@ -223,7 +226,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     new_text = F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(let(order, lambda s: F.aggregate(s, start, add, rest)))
     out = found.withColumn("_new", new_text)
     named = {text_col: F.col("_new"), **({length_col: F.length("_new").cast("long")} if length_col in columns else {})}
-    return out.select(*[named.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    return out.select(*[named.get(c, F.col("row").getField(c)).alias(c) for c in columns])
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs' columns with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed."""
+    """docs' columns with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed.
+
+    Columns of these names, and _w and _l, are replaced.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     no_space = F.length(F.translate(text, WS_CHARS, ""))
     no_symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))

@@ -1,7 +1,9 @@
 """Operator 3: toxicity by a convolutional text classifier trained in numpy.
 
-Words and their first ``PREFIX`` characters are hashed to buckets with an embedding each, and a word's vector
-is the sum of the two, so that unseen inflections of a seen stem are not unknown; filters of widths 1 to 3 slide over the words, the
+A word, its first characters (``PREFIXES``) and its length with the longest of these prefixes are hashed to
+buckets with an embedding each, and a word's vector is their sum, so that unseen inflections of a seen stem
+are not unknown. The first dimension starts as the bucket's log odds of label 1 among the training texts, so
+that little data goes far. Filters of widths 1 to 3 slide over the words, the
 largest value of each filter in the whole text is kept, and a logistic layer turns them into a score. The
 score is calibrated on labelled rows that training did not see, so that 0.3 is the dividing line; a
 threshold for each language is fitted on the same rows and serves ``flagged`` only, never the score.
@@ -30,9 +32,12 @@ from .common import crc_mod, table
 from .sampling import bounded_sample
 
 BUCKETS = 1 << 22
-DIM, FILTERS, WIDTHS, PREFIX = 8, 8, (1, 2, 3), 4
+DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
+#: Lengths of the prefixes; the last goes with the word's length (up to LONGEST) as well.
+PREFIXES, LONGEST = (4, 6), 12
+PARTS = 2 + len(PREFIXES)
 PER_LABEL, SAMPLE_CHARS, MIN_DOCS = 1500, 50_000, 3
-EPOCHS, STEPS, BATCH, RATE, SEED = 10, 700, 32, 0.01, 5
+EPOCHS, STEPS, BATCH, RATE, SEED = 8, 400, 32, 0.01, 5
 LIMIT = 0.3
 STEP_WORDS = 60_000
 CACHE = 200_000
@@ -41,7 +46,7 @@ _PARTS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 
 class Buckets(dict):
-    """Word -> rows of the embedding table for the word (low half) and its prefix (high half), remembering recent words."""
+    """Word -> rows of the embedding table for the word and its parts, as bytes, remembering recent words."""
 
     def __init__(self, row_of_bucket: np.ndarray | None):
         super().__init__()
@@ -51,19 +56,21 @@ class Buckets(dict):
         b = zlib.crc32(key) % BUCKETS
         return b if self.row_of_bucket is None else int(self.row_of_bucket[b])
 
-    def __missing__(self, word: bytes) -> int:
-        start = word[: 4 * PREFIX].decode("utf-8", "ignore")[:PREFIX]
-        both = self._row(word) | self._row(b"^" + start.encode("utf-8")) << 32
+    def __missing__(self, word: bytes) -> bytes:
+        start = word[: 4 * LONGEST].decode("utf-8", "ignore")
+        heads = [start[:n].encode("utf-8") for n in PREFIXES]
+        keys = (word, *(b"^" + h for h in heads), b"%d^" % min(len(start), LONGEST) + heads[-1])
+        rows = np.array([self._row(k) for k in keys], "<i4").tobytes()
         if len(self) >= CACHE:
             self.clear()
         if len(word) < 64:
-            self[word] = both
-        return both
+            self[word] = rows
+        return rows
 
     def rows(self, text: str | None) -> np.ndarray:
-        """An array of (word's row, prefix's row)."""
+        """An array with a line of PARTS rows for each word."""
         words = text.lower().encode("utf-8", "surrogatepass").translate(_PARTS).split() if text else []
-        return np.fromiter(map(self.__getitem__, words), "<i8", len(words)).view("<i4").reshape(-1, 2)
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<i4").reshape(-1, PARTS)
 
 
 class TextCNN:
@@ -97,10 +104,11 @@ class TextCNN:
             m = len(rows) - width + 1
             if m < 1:
                 continue
-            conv = own[0][rows[:m, 0]] + own[0][rows[:m, 1]]
-            for j in range(1, width):
-                conv += own[j][rows[j : m + j, 0]]
-                conv += own[j][rows[j : m + j, 1]]
+            conv = own[0][rows[:m, 0]]
+            for j in range(width):
+                for part in range(PARTS):
+                    if j or part:
+                        conv += own[j][rows[j : m + j, part]]
             conv += self.b[i]
             has = np.flatnonzero(sizes >= width)
             if not len(has):
@@ -116,11 +124,23 @@ class TextCNN:
 
     def margin(self, texts: list[np.ndarray]) -> np.ndarray:
         sizes = np.array([len(t) for t in texts], np.int64)
-        return self.pooled(np.concatenate(texts) if len(texts) else np.zeros((0, 2), np.int32), np.cumsum(sizes) - sizes, sizes) @ self.v + self.c
+        return self.pooled(np.concatenate(texts) if len(texts) else np.zeros((0, PARTS), np.int32), np.cumsum(sizes) - sizes, sizes) @ self.v + self.c
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.margin(texts).astype(np.float64) + self.shift, -30, 30)))
 
+    def start(self, texts: list[np.ndarray], y: np.ndarray) -> None:
+        """The first dimension: shrunk log odds of each bucket; the first filter of width 1 looks at it."""
+        n = np.zeros((2, len(self.e)))
+        for t, label in zip(texts, y, strict=True):
+            n[int(label), np.unique(t)] += 1
+        share = n / np.array([[len(y) - y.sum()], [y.sum()]]).clip(1) + 8 / len(y)
+        odds = np.log(share[1] / share[0])
+        self.e[:, 0] = np.clip(odds, -2, 4) / 4
+        self.e[0] = 0
+        self.w[0][0, 0, :] = np.abs(self.w[0][0, 0, :])
+        self.v[:FILTERS] = np.abs(self.v[:FILTERS])
+
     def train(self, texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> None:
         r = np.random.default_rng(seed)
         params = [self.e, *self.w, *self.b, self.v]
@@ -134,7 +154,7 @@ class TextCNN:
                 for i in order[k : k + BATCH]:
                     ids = texts[i]
                     at, top = [], np.zeros(FILTERS * len(WIDTHS), np.float32)
-                    x = self.e[ids[:, 0]] + self.e[ids[:, 1]]
+                    x = self.e[ids].sum(1)
                     for a, width in enumerate(WIDTHS):
                         m = len(ids) - width + 1
                         if m < 1:
@@ -154,8 +174,8 @@ class TextCNN:
                             g = d * self.v[a * FILTERS + f]
                             window = ids[at[a][f] : at[a][f] + width]
                             grads[1 + len(WIDTHS) + a][f] += g
-                            grads[1 + a][:, :, f] += g * (self.e[window[:, 0]] + self.e[window[:, 1]])
-                            for part in (0, 1):
+                            grads[1 + a][:, :, f] += g * self.e[window].sum(1)
+                            for part in range(PARTS):
                                 np.add.at(grads[0], window[:, part], g * self.w[a][:, :, f])
                 t += 1
                 for p, g, a1, a2 in zip(params, grads, m1, m2, strict=True):
@@ -194,13 +214,14 @@ def learn(rows: DataFrame, text_col="text", label_col="toxic", lang_col="lang",
     slim = rows.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(label_col).cast("int").alias("_y"), F.col(lang_col).alias("_lang")
     )
-    raw, y, langs = Buckets(None), [], []
-    ids: list[np.ndarray] = []
-    for r in sorted(bounded_sample(slim, "_y", per_label, "_id").toLocalIterator(), key=lambda r: (r["_id"] is None, r["_id"] or 0, r["_text"])):
-        ids.append(raw.rows(r["_text"]))
-        y.append(r["_y"])
-        langs.append(r["_lang"])
-    labels = np.array(y, float)
+    found = sorted(bounded_sample(slim, "_y", per_label, "_id").toLocalIterator(), key=lambda r: (r["_id"] is None, r["_id"] or 0, r["_text"]))
+    return fit_rows([r["_text"] for r in found], np.array([r["_y"] for r in found], float), [r["_lang"] for r in found])
+
+
+def fit_rows(texts: list[str], labels: np.ndarray, langs: list[str | None]) -> TextCNN:
+    """The classifier of labelled texts."""
+    raw = Buckets(None)
+    ids = [raw.rows(t) for t in texts]
     in_docs: dict[int, int] = {}
     for x in ids:
         for b in np.unique(x).tolist():
@@ -212,14 +233,15 @@ def learn(rows: DataFrame, text_col="text", label_col="toxic", lang_col="lang",
         model.scale = 0.0
         return model
     known = model.lookup()
-    texts = [known.row_of_bucket[x] for x in ids]
-    unseen = np.arange(len(texts)) % 5 == 4
+    rows = [known.row_of_bucket[x] for x in ids]
+    unseen = np.arange(len(rows)) % 5 == 4
     if not 0 < labels[unseen].sum() < unseen.sum():
         unseen[:] = True
-        trained = np.ones(len(texts), bool)
+        trained = np.ones(len(rows), bool)
     else:
         trained = ~unseen
-    pick = lambda m: [t for t, k in zip(texts, m, strict=True) if k]
+    pick = lambda m: [t for t, k in zip(rows, m, strict=True) if k]
+    model.start(pick(trained), labels[trained])
     model.train(pick(trained), labels[trained])
     model.calibrate(pick(unseen), labels[unseen], [x for x, k in zip(langs, unseen, strict=True) if k])
     return model
