@@ -22,9 +22,11 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no language (null, or without a letter); a lang that was missing is filled in."""
     model = langid.learn(docs, "text", "lang", "doc_id", F.lit(True))
-    found = langid.identify(docs, model).where(F.col("lang_pred") != "und")
-    lang = F.coalesce("lang", "lang_pred").alias("lang")
-    return found.select(*[lang if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text")
+    found = langid.identify(held, model).where(F.col("lang_pred") != "und")
+    named = {"text": F.col("text"), "lang": F.coalesce(F.col("row.lang"), "lang_pred")}
+    return found.select(*[named.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
