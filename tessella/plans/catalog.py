@@ -1,12 +1,516 @@
-"""All queries over the document tables, by name."""
+"""All queries over the document tables, by name; ``SQL`` has the same results as DuckDB statements."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import json_repair, patterns as P
+from ..functions import rules as R
+from ..functions import text as T
+from ..functions import windows as C
+from ..operators import dedup, qa, rag, scoring, training
+from ..sources import files
+from ..streaming import incremental
+from .oracle import SEARCH, SQL  # noqa: F401
+
+DOMAIN = "finance"
 QUERIES: dict = {}
-SQL: dict[str, str] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.turns_to_pairs(table(spark, sf_dir, "conversations"))
+
+
+def built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return rag.build(table(spark, sf_dir, "documents"), domain=DOMAIN)
+
+
+def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rag.chunks(built(spark, sf_dir)[1]).withColumn("domain", F.lit(DOMAIN))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
+    """By source: chunks that survive quality and deduplication, their tokens and mean quality."""
+    return chunk_table(spark, sf_dir).groupBy(F.col("title").alias("source")).agg(
+        F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"), F.bround(F.avg("quality_score"), 3).alias("mean_quality")
+    )
+
+
+QUERIES["chunks_by_source"] = flagship
+
+
+# --- text ------------------------------------------------------------------------------------------------------
+
+
+@query
+def clean_text(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", T.clean_text(F.col("text")).alias("text"))
+
+
+@query
+def canonical_hash(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.sha2(T.canonical_text(F.col("text")), 256).alias("sha"))
+
+
+@query
+def words_ngrams(spark, sf_dir):
+    w = documents(spark, sf_dir).select("doc_id", T.words(F.col("text")).alias("w"), T.words(F.col("text"), True).alias("topic"))
+    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.size("topic").cast("long").alias("n_topic"), F.size(T.ngrams(F.col("topic"), 4)).cast("long").alias("n_grams"), F.sha2(F.array_join("w", " "), 256).alias("sha"))
+
+
+@query
+def near_dup_key(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.sha2(T.near_duplicate_key(F.col("text")), 256).alias("near_key"), F.sha2(T.alnum_key(F.col("text")), 256).alias("alnum_key"))
+
+
+@query
+def trigrams(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.size(T.trigrams(F.col("text"))).cast("long").alias("n"))
+
+
+@query
+def lookups(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    suffix = F.concat(F.lit("."), F.coalesce("lang", F.lit("")))
+    return d.select("doc_id", T.ocr_language(F.col("lang")).alias("ocr"), T.media_type(suffix).alias("media"), T.token_estimate(F.col("text")).alias("tokens"), T.detail_instruction((F.col("doc_id") % 13).cast("int")).alias("detail"), F.coalesce(files.kind_of(suffix), F.lit("other")).alias("kind"))
+
+
+@query
+def durations(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", T.duration(F.col("value") * 100).alias("length"))
+
+
+@query
+def summary_cleanup(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    dressed = F.concat(F.lit("Sure, here it is:\n\n"), F.col("text"), F.lit("\n\n## References\nsome text"))
+    return turns.select("conv_id", "turn", T.summary_content(dressed).alias("text"))
+
+
+@query
+def prompts(spark, sf_dir):
+    """Every conversation as one prompt."""
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    return turns.select("conv_id", T.messages_to_prompt(F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))).alias("prompt"))
+
+
+# --- windows, sections, blocks ----------------------------------------------------------------------------------
+
+
+@query
+def chunk_windows(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", T.clean_text(F.col("text")).alias("t"))
+    return C.exploded(d, C.windows_column(F.col("t")), "pos", "piece").select("doc_id", "pos", F.length("piece").alias("chars"), F.sha2("piece", 256).alias("sha"))
+
+
+@query
+def ir_split(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return C.exploded(d, C.split_large_column(F.col("text")), "pos", "piece").select("doc_id", "pos", F.length("piece").alias("chars"), F.sha2("piece", 256).alias("sha"))
+
+
+@query
+def summary_splits(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return C.exploded(d, C.summary_column(F.col("text")), "pos", "piece").select("doc_id", "pos", F.length("piece").alias("chars"), F.sha2("piece", 256).alias("sha"))
+
+
+@query
+def sections(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return C.exploded(d, C.sections_column(F.col("text")), "pos", "s").select("doc_id", "pos", "s.section", F.sha2("s.text", 256).alias("sha"))
+
+
+@query
+def blocks(spark, sf_dir):
+    d = documents(spark, sf_dir).withColumn("document_id", F.concat(F.lit("sha256:"), F.sha2("text", 256)))
+    return C.exploded(d, C.blocks_column(F.col("text"), F.col("document_id")), "pos", "b").select("doc_id", "pos", "b.block_type", "b.text", F.array_join("b.heading_path", " > ").alias("heading_path"))
+
+
+@query
+def table_blocks(spark, sf_dir):
+    return blocks(spark, sf_dir).where("block_type = 'table'").groupBy("doc_id").agg(F.count(F.lit(1)).alias("tables"))
+
+
+@query
+def ir_chunks(spark, sf_dir):
+    d = documents(spark, sf_dir).withColumn("document_id", F.concat(F.lit("sha256:"), F.sha2("text", 256)))
+    each = C.exploded(d, C.chunks_column(F.col("text"), F.col("document_id")), "pos", "c")
+    return each.select("doc_id", "pos", "c.id", "c.char_count", F.array_join("c.block_types", ",").alias("block_types"), F.size("c.block_ids").alias("n_blocks"))
+
+
+@query
+def repeated_lines(spark, sf_dir):
+    return rag.repeated_lines(documents(spark, sf_dir), "source", "text")
+
+
+@query
+def html_text(spark, sf_dir):
+    parsed = table(spark, sf_dir, "pages").select("page_id", files.html_parts(F.col("html")).alias("p"))
+    return parsed.select("page_id", "p.text", "p.heading")
+
+
+# --- retrieval tables --------------------------------------------------------------------------------------------
+
+
+@query
+def doc_first_wins(spark, sf_dir):
+    return rag.with_first_copy(documents(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("sha")), "sha", "doc_id")
+
+
+@query
+def chunk_quality(spark, sf_dir):
+    return built(spark, sf_dir)[1].select("document_id", "win_pos", "quality.keep", F.bround("quality.score", 4).alias("score"), "quality.words", "status")
+
+
+@query
+def rag_chunks(spark, sf_dir):
+    return chunk_table(spark, sf_dir).drop("text", "domain", "title")
+
+
+@query
+def rag_documents(spark, sf_dir):
+    return rag.documents(*built(spark, sf_dir))
+
+
+@query
+def rag_stats(spark, sf_dir):
+    ready, judged = built(spark, sf_dir)
+    return rag.stats(rag.documents(ready, judged), judged)
+
+
+@query
+def rag_category_counts(spark, sf_dir):
+    return rag.category_counts(chunk_table(spark, sf_dir))
+
+
+@query
+def fts_terms(spark, sf_dir):
+    return rag.inverted_index(chunk_table(spark, sf_dir)).groupBy("term").agg(F.count(F.lit(1)).alias("chunks"), F.sum("tf").alias("occurrences"))
+
+
+@query
+def bm25_search(spark, sf_dir):
+    return rag.bm25_search(chunk_table(spark, sf_dir), SEARCH)
+
+
+@query
+def finance_category(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", R.finance_category(F.col("p_name")).alias("category"))
+
+
+@query
+def path_rules(spark, sf_dir):
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return documents(spark, sf_dir).select("doc_id", R.cyber_category(path).alias("category"), R.infer_domain(path).alias("domain"), F.coalesce(R.source_family(F.concat(F.element_at(F.array(*map(F.lit, ("NIST ", "CERTFR-", "guide OWASP ", "ISO_IEC 27001 ", "CIS_AWS_Storage", "CIS_", "ANSSI ", "x"))), (F.col("doc_id") % 8 + 1).cast("int")), "source")), F.lit("none")).alias("family"))
+
+
+@query
+def label_join_quality(spark, sf_dir):
+    d = documents(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    q = d.select("quality", R.chunk_quality(T.clean_text(F.col("text"))).alias("q"))
+    return q.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.count_if("q.keep").alias("kept"), F.bround(F.avg("q.score"), 4).alias("mean_score"))
+
+
+# --- training records --------------------------------------------------------------------------------------------
+
+
+@query
+def doc_reject(spark, sf_dir):
+    title = F.concat(F.element_at(F.array(*map(F.lit, ("PowerPoint ", "a catalog ", "lab setup ", "The Creature from Jekyll Island ", "", "Learning Python 5e"))), (F.col("doc_id") % 6 + 1).cast("int")), F.when(F.col("doc_id") % 6 == 5, "").otherwise(F.coalesce("source", F.lit(""))))
+    return documents(spark, sf_dir).select("doc_id", *[F.coalesce(R.document_rejection(F.lit(d), title), F.lit("none")).alias(d) for d in ("cyber", "finance")])
+
+
+@query
+def train_reject_reason(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.coalesce(R.training_rejection(F.col("text")), F.lit("none")).alias("reason"))
+
+
+@query
+def train_reject_hist(spark, sf_dir):
+    return train_reject_reason(spark, sf_dir).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def even_cap(spark, sf_dir):
+    return training.evenly_spaced(chunk_table(spark, sf_dir), "document_id", "chunk_index", 3).select("document_id", "chunk_index")
+
+
+@query
+def overlap_trim(spark, sf_dir):
+    t = training.trimmed(chunk_table(spark, sf_dir))
+    return t.select("document_id", "chunk_index", "overlap_removed", F.sha2("trimmed", 256).alias("sha"))
+
+
+def _judged(spark, sf_dir):
+    own_title = chunk_table(spark, sf_dir).withColumn("title", F.concat(F.lit("document "), F.col("document_id").cast("string")))
+    return training.judged(own_title)
+
+
+@query
+def train_export(spark, sf_dir):
+    return _judged(spark, sf_dir).select("document_id", "chunk_index", F.coalesce("reason", F.lit("written")).alias("reason"), F.length("trimmed").alias("chars"))
+
+
+@query
+def train_report(spark, sf_dir):
+    return training.report(_judged(spark, sf_dir))
+
+
+def _chat(spark, sf_dir):
+    return training.chat_records(_judged(spark, sf_dir).where("reason is null"))
+
+
+@query
+def chat_split(spark, sf_dir):
+    return _chat(spark, sf_dir).select("document_id", "chunk_index", F.length("context").alias("context_chars"), F.length("answer").alias("answer_chars"))
+
+
+@query
+def chat_messages(spark, sf_dir):
+    return _chat(spark, sf_dir).select("document_id", "chunk_index", "message_key", F.size("messages").alias("n_messages"))
+
+
+@query
+def chat_report(spark, sf_dir):
+    return training.chat_report(_chat(spark, sf_dir))
+
+
+# --- questions and answers ---------------------------------------------------------------------------------------
+
+
+@query
+def qa_pairs(spark, sf_dir):
+    return pairs(spark, sf_dir)
+
+
+@query
+def junk_chunk(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", R.is_junk_chunk(F.col("text")).alias("junk"))
+
+
+@query
+def junk_qa(spark, sf_dir):
+    return pairs(spark, sf_dir).select("conv_id", "turn", R.is_junk_pair(F.col("question"), F.col("answer")).alias("junk"))
+
+
+@query
+def source_refs(spark, sf_dir):
+    cited = F.when(F.col("turn") % 3 == 0, F.concat(F.col("answer"), F.lit(" as described in the manual"))).otherwise(F.col("answer"))
+    return pairs(spark, sf_dir).select("conv_id", "turn", R.refers_to_source(F.col("question"), cited).alias("refers"))
+
+
+@query
+def qa_exact_dedup(spark, sf_dir):
+    return dedup.exact_questions(documents(spark, sf_dir).select("doc_id", "text"), "text", ["doc_id"]).select("doc_id")
+
+
+def _questions(spark, sf_dir):
+    users = table(spark, sf_dir, "conversations").where("role = 'user'")
+    return users.select((F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+@query
+def minhash_bands(spark, sf_dir):
+    return _questions(spark, sf_dir).select("pos", F.array_join(dedup.bands(F.col("text")).cast("array<string>"), ",").alias("bands"))
+
+
+@query
+def lsh_candidates(spark, sf_dir):
+    return dedup.candidates(_questions(spark, sf_dir), "pos", "text")
+
+
+@query
+def near_dedup(spark, sf_dir):
+    return dedup.near_dedup(_questions(spark, sf_dir), "pos", "text").select("pos")
+
+
+@query
+def alpaca(spark, sf_dir):
+    return qa.alpaca(pairs(spark, sf_dir))
+
+
+@query
+def clean_dataset(spark, sf_dir):
+    return qa.clean_dataset(qa.alpaca(pairs(spark, sf_dir)))
+
+
+@query
+def hf_text(spark, sf_dir):
+    return qa.to_hf(clean_dataset(spark, sf_dir))
+
+
+@query
+def qa_markdown(spark, sf_dir):
+    return qa.pairs_markdown(qa.without_junk(pairs(spark, sf_dir)))
+
+
+@query
+def unified_chat(spark, sf_dir):
+    u = qa.unified(hf_text(spark, sf_dir))
+    return u.select(F.col("chat")[0]["content"].alias("asked"), F.col("chat")[1]["content"].alias("said"))
+
+
+def _lines(spark, sf_dir):
+    """Every pair as a JSON line of the record format; line numbers by conversation and turn."""
+    p = pairs(spark, sf_dir)
+    given = F.when(F.col("turn") % 5 == 4, F.lit("given")).otherwise("")
+    text = T.hf_text(T.strip(F.col("question")), given, T.strip(F.col("answer")))
+    return p.select((F.col("conv_id") * 1000 + F.col("turn")).alias("line"), F.to_json(F.struct(text.alias("text"))).alias("value"))
+
+
+def _reasons(spark, sf_dir):
+    return qa.template_reasons(_lines(spark, sf_dir), "value", "line", F.lit(DOMAIN))
+
+
+@query
+def template_parse(spark, sf_dir):
+    t = _lines(spark, sf_dir).select("line", R.parsed_template(F.get_json_object("value", "$.text")).alias("t"))
+    return t.select("line", "t.instruction", "t.input", "t.response")
+
+
+@query
+def rejection_reasons(spark, sf_dir):
+    return _reasons(spark, sf_dir).select("line", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def reason_hist(spark, sf_dir):
+    return training.reason_histogram(_reasons(spark, sf_dir), F.col("reasons"))
+
+
+@query
+def retention(spark, sf_dir):
+    return qa.retention(_reasons(spark, sf_dir))
+
+
+@query
+def quality_reasons(spark, sf_dir):
+    return pairs(spark, sf_dir).select("conv_id", "turn", F.array_join(R.common_reasons(T.strip(F.col("question")), T.strip(F.col("answer"))), ",").alias("reasons"))
+
+
+@query
+def category_argmax(spark, sf_dir):
+    best = documents(spark, sf_dir).select("doc_id", R.best_category(F.col("text"), P.FINANCE_CATEGORIES).alias("f"), R.best_category(F.col("text"), P.CYBER_CATEGORIES).alias("c"))
+    return best.select("doc_id", F.col("f.name").alias("finance"), F.col("f.hits").cast("long").alias("finance_hits"), F.col("c.name").alias("cyber"), F.col("c.hits").cast("long").alias("cyber_hits"))
+
+
+def _supported(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    return qa.token_support(items, "item_id", "text", documents(spark, sf_dir).select("text"), "text")
+
+
+@query
+def support_coverage(spark, sf_dir):
+    return _supported(spark, sf_dir).select("item_id", "level", F.bround("coverage", 6).alias("coverage"))
+
+
+@query
+def source_support(spark, sf_dir):
+    """Answers against the question they follow, as substrings of its words."""
+    p = pairs(spark, sf_dir).withColumn("s", qa.substring_support(F.col("answer"), F.array_join(T.words(F.col("question")), " ")))
+    return p.select("conv_id", "turn", "s.level", F.bround("s.coverage", 6).alias("coverage"))
+
+
+def _candidates(spark, sf_dir):
+    p = pairs(spark, sf_dir).withColumn("instruction", T.strip(F.col("question"))).withColumn("response", T.strip(F.col("answer")))
+    both = F.concat(F.col("instruction"), F.lit("\n"), F.col("response"))
+    p = p.withColumn("b", R.best_category(both, P.FINANCE_CATEGORIES)).withColumn("s", qa.substring_support(F.col("response"), F.array_join(T.words(F.col("instruction")), " ")))
+    return p.select(
+        "conv_id", "turn", "instruction", "response", F.col("b.name").alias("category"), R.finance_score(F.col("instruction"), F.col("response"), F.col("b.hits"), F.col("s.coverage")).alias("score"),
+        R.cyber_score(F.col("instruction"), F.col("response"), F.col("b.hits"), F.col("s.level"), F.col("s.coverage")).alias("cyber_score"),
+        T.stable_hash(F.col("instruction"), F.col("response")).alias("stable_key"), F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("string").alias("source_family"),
+    )
+
+
+@query
+def gold_score(spark, sf_dir):
+    return _candidates(spark, sf_dir).select("conv_id", "turn", "category", "score", "cyber_score", "stable_key")
+
+
+@query
+def gold_reasons(spark, sf_dir):
+    """Both domains' reasons, with the answer's support in its question and a source family by conversation."""
+    p = _candidates(spark, sf_dir).withColumn("s", qa.substring_support(F.col("response"), F.array_join(T.words(F.col("instruction")), " ")))
+    family = R.source_family(F.element_at(F.array(*map(F.lit, ("NIST", "CIS_AWS_Storage", "none"))), (F.col("conv_id") % 3 + 1).cast("int")))
+    return p.select(
+        "conv_id", "turn", F.array_join(R.finance_reasons(F.col("instruction"), F.col("response"), F.col("s.level"), F.col("s.coverage")), ",").alias("finance"),
+        F.array_join(R.cyber_reasons(F.col("instruction"), F.col("response"), family, F.col("turn") % 2 == 0, F.col("s.level"), F.col("s.coverage")), ",").alias("cyber"),
+    )
+
+
+@query
+def gold_select(spark, sf_dir):
+    chosen = qa.select_diverse(_candidates(spark, sf_dir), 100, P.FINANCE_CATEGORIES, False)
+    return chosen.select("gold_line", "stable_key", "category", "score")
+
+
+@query
+def json_pairs(spark, sf_dir):
+    """Pairs out of a reply in a fence with text around it."""
+    p = pairs(spark, sf_dir)
+    reply = F.concat(F.lit("Here you are:\n```json\n["), F.to_json(F.struct("question", "answer")), F.lit("]\n```\nDone ]"))
+    return p.select("conv_id", "turn", F.explode(json_repair.parsed_pairs(reply)).alias("r")).select("conv_id", "turn", "r.question", "r.answer")
+
+
+@query
+def json_enrichment(spark, sf_dir):
+    p = pairs(spark, sf_dir)
+    reply = F.concat(F.lit('{"result": '), F.to_json(F.struct(F.col("question").alias("input"), F.col("answer").alias("output"))), F.lit("} trailing"))
+    return p.select("conv_id", "turn", json_repair.parsed_enrichment(reply).alias("r")).select("conv_id", "turn", "r.input", "r.output")
+
+
+# --- reports, increments -----------------------------------------------------------------------------------------
+
+
+def _cases(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    none = F.lit(None).cast("array<string>")
+    return d.select(
+        "doc_id", "text", F.array(F.lit("the"), F.lit("DER"), F.lit("la")).alias("required_phrases"), F.array(F.lit("license"), F.lit("copyright")).alias("forbidden_phrases"),
+        F.lit(400).alias("min_chars"), F.array(F.lit(1)).alias("expected_pages"), F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")).alias("pages"),
+        none.alias("expected_block_types"), none.alias("block_types"), F.lit(None).cast("string").alias("reference_text"),
+    )
+
+
+@query
+def parser_score(spark, sf_dir):
+    return scoring.scored(_cases(spark, sf_dir)).select("doc_id", "score")
+
+
+@query
+def parser_summary(spark, sf_dir):
+    parsers = spark.createDataFrame([("native",), ("layout",)], "parser string")
+    scored = scoring.on_every_parser(scoring.scored(_cases(spark, sf_dir)), parsers).withColumns({"status": F.lit("success"), "elapsed_seconds": F.lit(0.5)})
+    out = scoring.summary(scored)
+    return out.withColumn("mean_score", F.bround("mean_score", 4))
+
+
+@query
+def incremental_pending(spark, sf_dir):
+    """Every second document is done; of these, every tenth has changed since."""
+    d = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("source_id"), F.sha2("text", 256).alias("source_sha256"))
+    number = F.col("source_id").cast("long")
+    state = d.where(number % 2 == 0).select("source_id", F.lit("success").alias("status"), F.when(number % 10 == 0, "old").otherwise(F.col("source_sha256")).alias("source_sha256"), F.lit("f").alias("fingerprint"), F.lit(1).cast("long").alias("output_bytes"))
+    return incremental.pending(d, state, "f")
+
+
+@query
+def run_summary(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    status = F.element_at(F.array(F.lit("success"), F.lit("skipped"), F.lit("failed")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return scoring.run_summary(d.select(status.alias("status"), F.length("text").alias("char_count"), F.lit(2).alias("chunk_count")))
