@@ -219,5 +219,5 @@ def answered(rows: DataFrame, prompt: Column, complete: Callable[[], Callable[[s
         for pdf in batches:
             yield pdf.drop(columns="_prompt").assign(**{out: pdf["_prompt"].map(ask)})[[*names, out]]
 
-    schema = rows.withColumn(out, F.lit("")).schema
+    schema = rows.withColumn(out, F.lit(None).cast("string")).schema
     return rows.withColumn("_prompt", prompt).mapInPandas(run, schema)
