@@ -34,7 +34,7 @@ def _hash(id_col: Column, seed: str) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """(_src, source_size) of each source -> with weight, target and the virtual time v of the cut.
+    """(_key, _src, source_size) of each source -> with weight, target and the virtual time v of the cut.
 
     One row for each source passes the unpartitioned windows, never one for each document.
     """
@@ -49,24 +49,27 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     filled = ranked.withColumn("_v", left / weight_left).withColumn("_fits", F.col("_v") <= full / F.col("weight"))
     cut = F.max(F.when(F.col("_fits"), F.col("_v"))).over(everything)
     return filled.withColumn("cut", F.coalesce(cut, F.lit(float("inf")))).select(
-        "_src", "source_size", "weight", "cut", F.least(full.cast("double"), F.col("cut") * F.col("weight")).alias("target")
+        "_key", "_src", "source_size", "weight", "cut", F.least(full.cast("double"), F.col("cut") * F.col("weight")).alias("target")
     )
 
 
 def _queue(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, cap: int, seed: str, with_row: bool) -> DataFrame:
+    """Every document with its place in its source's queue. _key stands for the source and is never null, so that
+    the running sums and the join need one exchange between them."""
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if with_row else []
+    src = F.col(source_col).cast("string")
     slim = docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), word_count(F.col(text_col)).alias("size"), _hash(F.col(id_col), seed).alias("_h"), *row
+        F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), F.coalesce(F.concat(F.lit("="), src), F.lit("")).alias("_key"),
+        word_count(F.col(text_col)).alias("size"), _hash(F.col(id_col), seed).alias("_h"), *row,
     ).withColumn("_bucket", F.substring("_h", 1, 3))
-    sums = slim.groupBy("_src", "_bucket").agg(F.sum("size").alias("_sum"))
-    offsets = sums.withColumn("_offset", F.sum("_sum").over(W.partitionBy("_src").orderBy("_bucket")) - F.col("_sum"))
-    targets = source_targets(sums.groupBy("_src").agg(F.sum("_sum").alias("source_size")), weights, share, cap)
-    plan = offsets.alias("o").join(targets.alias("t"), F.col("o._src").eqNullSafe(F.col("t._src"))).select(
-        F.col("o._src").alias("_osrc"), F.col("o._bucket").alias("_obucket"), "_offset", "source_size", "weight", "cut", "target"
-    )
-    inside = W.partitionBy("_src", "_bucket").orderBy("_h", "_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    sums = slim.groupBy("_key", "_bucket").agg(F.first("_src").alias("_src"), F.sum("size").alias("_sum"))
+    offsets = sums.withColumn("_offset", F.sum("_sum").over(W.partitionBy("_key").orderBy("_bucket")) - F.col("_sum")).drop("_src")
+    by_source = sums.groupBy("_key").agg(F.first("_src").alias("_src"), F.sum("_sum").alias("source_size"))
+    targets = source_targets(by_source, weights, share, cap)
+    plan = offsets.join(targets, "_key").select("_key", "_bucket", "_offset", "source_size", "weight", "cut", "target")
+    inside = W.partitionBy("_key", "_bucket").orderBy("_h", "_id", "size").rowsBetween(W.unboundedPreceding, 0)
     queued = slim.withColumn("_cum", F.sum("size").over(inside))
-    both = queued.join(plan, F.col("_src").eqNullSafe(F.col("_osrc")) & (F.col("_bucket") == F.col("_obucket")))
+    both = queued.join(plan, ["_key", "_bucket"])
     before, words, taken = F.col("_offset") + F.col("_cum") - F.col("size"), F.floor("target").cast("long"), F.lit(0).cast("long")
     for k in range(cap):
         taken = taken + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), words - F.col("source_size") * k - before))
