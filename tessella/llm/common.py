@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,10 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written once to the shared folder, so that later steps do not compute it anew."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once as a table in the shared folder and read again.
+
+    Unlike a checkpoint, a table brings none of the constraints and partitionings of the plan that made it, which
+    loops would pile up in the driver; and it survives lost executors just as well.
+    """
+    spark = df.sparkSession
+    place = f"{shared_dir(spark)}/tessella-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
 
 
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:

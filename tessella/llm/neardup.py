@@ -8,11 +8,10 @@ shingles. Registers are cut into bands; texts that agree in a band are candidate
 whose exact Jaccard of distinct shingles is 0.8 or more, and classes are the connected components of links.
 
 Exact copies are one text from the start. No bucket is expanded into pairs: every text is first compared
-with the centre of one of its buckets, then with those of the others, and only buckets whose members still
-belong to different classes are looked into, where pairs across classes are proposed, best register
-agreement first and a few for each pair of classes; the last round proposes all that remain. Pairs whose
-registers agree so little that a link is out of question (``FLOOR``: more than five standard deviations below
-0.8 at the width used) are not verified.
+with the centres of its buckets, and only buckets whose members still belong to different classes are looked into. Their texts get longer signatures; each proposes its best partner in
+another class, and a last round proposes all pairs across classes that remain. Pairs whose registers
+agree so little that a link is out of question (``FLOOR``, ``LONG_FLOOR``: five standard deviations below 0.8
+at the width used) are not verified.
 
 Links, classes and signatures stay in tables in the shared folder. Shingles are made again for the texts
 that are verified, only.
@@ -28,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shuffle_partitions, table, words_of
+from .common import stored, shuffle_partitions, table, words_of
 from .components import components
 from .suffixes import Hashes, mixed, prefix_hashes
 
@@ -41,8 +41,9 @@ REGISTERS = BANDS * BAND_ROWS
 FLOOR = 0.55
 #: Shingles handled at once.
 STEP = 400_000
-#: Pairs proposed for each pair of classes in a bucket, round by round; then all.
-PROPOSED = (4, 64)
+#: Registers, and least share of equal ones, of the longer signatures of distinct shingles that are made of the
+#: texts in buckets with several classes: five standard deviations below 0.8.
+LONG, LONG_FLOOR = 512, 0.71
 
 
 def shingles(words: list[bytes], hashes: Hashes, size: int = SHINGLE) -> np.ndarray:
@@ -82,8 +83,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("_key"))
 
 
-def signatures(keyed: DataFrame) -> DataFrame:
+def signatures(keyed: DataFrame, registers: int = REGISTERS, weighted: bool = True) -> DataFrame:
     """(_id, _key, sig: a byte of each register, bands: a hash of each band); empty where a text has no words."""
+    bands_wanted = registers == REGISTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -93,12 +95,13 @@ def signatures(keyed: DataFrame) -> DataFrame:
             if not sum(sizes):
                 return [b""] * len(arrays), [[]] * len(arrays)
             owner = np.repeat(np.arange(len(arrays)), sizes)
-            sig = prob_minhash(np.concatenate([a[0] for a in arrays]), np.concatenate([a[1] for a in arrays]).astype(float), owner, len(arrays))
+            weights = np.concatenate([a[1] for a in arrays]).astype(float) if weighted else np.ones(len(owner))
+            sig = prob_minhash(np.concatenate([a[0] for a in arrays]), weights, owner, len(arrays), registers)
             band = np.zeros((len(arrays), BANDS), np.uint64)
-            for r in range(BAND_ROWS):
+            for r in range(BAND_ROWS if bands_wanted else 0):
                 band = mixed(band * np.uint64(31) + sig[:, r::BAND_ROWS] + np.arange(BANDS, dtype=np.uint64))
             low = (sig & np.uint64(255)).astype(np.uint8)
-            return [low[i].tobytes() if n else b"" for i, n in enumerate(sizes)], [band[i].view(np.int64) if n else [] for i, n in enumerate(sizes)]
+            return [low[i].tobytes() if n else b"" for i, n in enumerate(sizes)], [band[i].view(np.int64) if n and bands_wanted else [] for i, n in enumerate(sizes)]
 
         for batch in batches:
             sig, bands, step, size = [], [], [], 0
@@ -146,7 +149,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame
             sets = [np.unique(shingles(words_of(t.as_py()), hashes)).tobytes() for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sets, pa.binary())], names=["_key", "set"])
 
-    sets = checkpointed(texts.mapInArrow(run, "_key binary, set binary"))
+    sets = stored(texts.mapInArrow(run, "_key binary, set binary"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,82 +169,74 @@ def _verified(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame
     return joined.select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
 
 
-def _across(part: pa.Table, floor: float, most: int | None) -> pa.Table:
-    """One bucket: likely pairs of different classes; at most `most` for each pair of classes, best first."""
-    keys, comps = part.column("_key").to_pylist(), part.column("comp").to_pylist()
-    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(len(keys), -1)
-    _, comp = np.unique(np.array(comps, object), return_inverse=True)
+def _across(part: pa.Table, floor: float, nearest: bool) -> pa.Table:
+    """One bucket: likely pairs of different classes; all of them, or each text's best one only."""
+    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+    _, comp = np.unique(np.array(part.column("comp").to_pylist(), object), return_inverse=True)
     order = np.argsort(comp, kind="stable")
-    sig, comp, keys = sig[order], comp[order], [keys[i] for i in order]
-    end = np.r_[np.flatnonzero(comp[1:] != comp[:-1]) + 1, len(comp)]
-    out: tuple[list, list] = ([], [])
-    best: dict[tuple[int, int], int] = {}
-    block = max(1, 20_000_000 // (sig.shape[1] * max(1, len(keys))))
-    found: list[tuple[float, int, int]] = []
-    for at in range(0, len(keys), block):
+    sig, comp, keys = sig[order], comp[order], part.column("_key").combine_chunks().take(pa.array(order))
+    n = len(keys)
+    end = np.r_[np.flatnonzero(comp[1:] != comp[:-1]) + 1, n]
+    block = max(1, 16_000_000 // (sig.shape[1] * max(1, n)))
+    top, to, found = np.zeros(n, np.float32), np.full(n, -1, np.int64), [np.zeros((2, 0), np.int64)]
+    for at in range(0, n, block):
         rest = int(end[np.searchsorted(end, at, side="right")])  # later classes than that of the block's first text
-        if rest >= len(keys):
+        if rest >= n:
             break
-        same = (sig[at : at + block, None, :] == sig[None, rest:, :]).mean(2)
-        for i, j in zip(*np.nonzero(same >= floor), strict=True):
-            a, b = at + int(i), rest + int(j)
-            if comp[a] < comp[b]:
-                found.append((-float(same[i, j]), a, b))
-    for _, a, b in sorted(found):
-        pair = (int(comp[a]), int(comp[b]))
-        if most is None or best.get(pair, 0) < most:
-            best[pair] = best.get(pair, 0) + 1
-            low, high = sorted((keys[a], keys[b]))
-            out[0].append(low)
-            out[1].append(high)
-    return pa.table({"a": out[0], "b": out[1]}, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
-
-
-def _proposer(floor: float, most: int | None):
-    return lambda part: _across(part, floor, most)
+        mine = slice(at, min(n, at + block))
+        same = (sig[mine, None, :] == sig[None, rest:, :]).mean(2, dtype=np.float32)
+        same[comp[mine, None] >= comp[None, rest:]] = 0
+        if not nearest:
+            found.append(np.stack(np.nonzero(same >= floor)) + [[at], [rest]])
+            continue
+        for own, best, other in ((mine, same.max(1), same.argmax(1) + rest), (slice(rest, n), same.max(0), same.argmax(0) + at)):
+            better = best > top[own]
+            top[own] = np.where(better, best, top[own])
+            to[own] = np.where(better, other, to[own])
+    i = np.flatnonzero(top >= floor) if nearest else np.zeros(0, np.int64)
+    i, j = np.concatenate([*found, np.stack([i, to[i]])], axis=1)
+    x, y = keys.take(pa.array(i)), keys.take(pa.array(j))
+    turned = pa.compute.less(y, x)
+    return pa.table({"a": pa.compute.if_else(turned, y, x), "b": pa.compute.if_else(turned, x, y)})
+
+
+def _proposer(floor: float, nearest: bool):
+    return lambda part: _across(part, floor, nearest)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, floor: float = FLOOR) -> tuple[DataFrame, DataFrame]:
     """(rows: _id, _key, class of each document; links between different texts)."""
     n = shuffle_partitions(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    signed = checkpointed(signatures(keyed))
+    signed = stored(signatures(keyed))
     texts = signed.where(F.length("sig") > 0).groupBy("_key").agg(F.max("sig").alias("sig"), F.max("bands").alias("bands"), F.min("_id").alias("first"))
     each = texts.select("_key", "sig", F.explode("bands").alias("band"))
     slim = each.select("_key", "band")
     # the centre of a bucket: its text with the smallest key, a hash
     buckets = slim.groupBy("band").agg(F.min("_key").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = checkpointed(slim.join(buckets, "band").select("_key", "band", "centre"))
-    # between a text and the centres of its buckets, the link with the smallest centre first
-    star = members.where("_key <> centre").select(F.col("_key").alias("b"), F.col("centre").alias("a")).distinct()
-    sig_of = checkpointed(texts.select("_key", "sig").join(members.select("_key").distinct(), "_key"))
-    with_sig = lambda p: p.join(sig_of.select(F.col("_key").alias("a"), F.col("sig").alias("sa")), "a").join(sig_of.select(F.col("_key").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
-    likely = checkpointed(_likely(with_sig(star), floor))
-    first = likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = checkpointed(_verified(first, keyed, threshold))
-    label = components(links)
-    tested = first
-    for proposed in (None, *PROPOSED, 0):
-        if proposed is None:
-            pairs = likely.join(first, ["a", "b"], "left_anti")
-        else:
-            labelled = members.select("_key", "band").join(label.withColumnRenamed("node", "_key"), "_key", "left").withColumn("comp", F.coalesce("comp", "_key"))
-            mixed_up = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-            # classes of one bucket set met again in another bucket are looked at once
-            inside = labelled.join(mixed_up, "band").join(sig_of, "_key").select("band", "_key", "comp", "sig")
-            pairs = inside.repartition(n, "band").groupBy("band").applyInArrow(_proposer(floor, proposed or None), "a binary, b binary").distinct().join(tested, ["a", "b"], "left_anti")
-        mine, theirs = label.select(F.col("node").alias("a"), F.col("comp").alias("ca")), label.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-        pairs = pairs.join(mine, "a", "left").join(theirs, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        pairs = checkpointed(pairs)
-        if pairs.limit(1).count() == 0:
-            if proposed is None:
-                continue
-            break
-        new = checkpointed(_verified(pairs, keyed, threshold))
-        tested = checkpointed(tested.union(pairs))
-        if new.limit(1).count():
-            links = checkpointed(links.union(new))
+    members = stored(slim.join(buckets, "band").select("_key", "band", "centre"))
+    # first the pairs of a text and the centres of its buckets
+    star = members.where("_key <> centre").select(F.col("centre").alias("a"), F.col("_key").alias("b")).distinct()
+    sig_of = texts.select("_key", "sig")
+    with_sig = star.join(sig_of.select(F.col("_key").alias("a"), F.col("sig").alias("sa")), "a").join(sig_of.select(F.col("_key").alias("b"), F.col("sig").alias("sb")), "b")
+    tested = stored(_likely(with_sig.select("a", "b", "sa", "sb"), floor))
+    links = stored(_verified(tested, keyed, threshold))
+    label, long = components(links), None
+    for nearest in (True, False):
+        labelled = members.select("_key", "band").join(label.withColumnRenamed("node", "_key"), "_key", "left").withColumn("comp", F.coalesce("comp", "_key"))
+        several = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
+        inside = labelled.join(several, "band")
+        if long is None:  # classes only grow together: the last round needs no other texts
+            wanted = keyed.join(inside.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
+            long = stored(signatures(wanted.select(F.lit(None).cast("long").alias("_id"), "_text", "_key"), LONG, False).select("_key", "sig"))
+        inside = inside.join(long, "_key").select("band", "_key", "comp", "sig")
+        proposed = inside.repartition(n, "band").groupBy("band").applyInArrow(_proposer(LONG_FLOOR, nearest), "a binary, b binary")
+        pairs = stored(proposed.distinct().join(tested, ["a", "b"], "left_anti"))
+        new = stored(_verified(pairs, keyed, threshold))
+        if not new.isEmpty():
+            links = links.union(new)
             label = components(links)
+        tested = tested.union(pairs)
     by_text = texts.select("_key", "first").join(label.withColumnRenamed("node", "_key"), "_key", "left").withColumn("comp", F.coalesce("comp", "_key"))
     ids = by_text.groupBy("comp").agg(F.min("first").alias("class"))
     text_class = by_text.join(ids, "comp").select("_key", "class")
