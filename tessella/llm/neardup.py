@@ -170,12 +170,16 @@ def _verified(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame
 
 
 def _across(part: pa.Table, floor: float, nearest: bool) -> pa.Table:
-    """One bucket: likely pairs of different classes; all of them, or each text's best one only."""
+    """One bucket: likely pairs of different classes; each text's best one, or all that share no earlier bucket.
+
+    An earlier bucket of a pair holds several classes as well, so that its task proposes the pair.
+    """
     sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(part.num_rows, -1)
     _, comp = np.unique(np.array(part.column("comp").to_pylist(), object), return_inverse=True)
     order = np.argsort(comp, kind="stable")
     sig, comp, keys = sig[order], comp[order], part.column("_key").combine_chunks().take(pa.array(order))
-    n = len(keys)
+    n, band = len(keys), part.column("band")[0].as_py()
+    bands = np.array(part.column("bands").to_pylist(), np.int64)[order]
     end = np.r_[np.flatnonzero(comp[1:] != comp[:-1]) + 1, n]
     block = max(1, 16_000_000 // (sig.shape[1] * max(1, n)))
     top, to, found = np.zeros(n, np.float32), np.full(n, -1, np.int64), [np.zeros((2, 0), np.int64)]
@@ -187,7 +191,10 @@ def _across(part: pa.Table, floor: float, nearest: bool) -> pa.Table:
         same = (sig[mine, None, :] == sig[None, rest:, :]).mean(2, dtype=np.float32)
         same[comp[mine, None] >= comp[None, rest:]] = 0
         if not nearest:
-            found.append(np.stack(np.nonzero(same >= floor)) + [[at], [rest]])
+            i, j = np.stack(np.nonzero(same >= floor)) + [[at], [rest]]
+            earliest = (bands[i] == bands[j]).argmax(1)
+            own = bands[i, earliest] == band
+            found.append(np.stack([i[own], j[own]]))
             continue
         for own, best, other in ((mine, same.max(1), same.argmax(1) + rest), (slice(rest, n), same.max(0), same.argmax(0) + at)):
             better = best > top[own]
@@ -228,8 +235,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         inside = labelled.join(several, "band")
         if long is None:  # classes only grow together: the last round needs no other texts
             wanted = keyed.join(inside.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
-            long = stored(signatures(wanted.select(F.lit(None).cast("long").alias("_id"), "_text", "_key"), LONG, False).select("_key", "sig"))
-        inside = inside.join(long, "_key").select("band", "_key", "comp", "sig")
+            long = stored(signatures(wanted.select(F.lit(None).cast("long").alias("_id"), "_text", "_key"), LONG, False).select("_key", "sig").join(texts.select("_key", "bands"), "_key"))
+        inside = inside.join(long, "_key").select("band", "_key", "comp", "sig", "bands")
         proposed = inside.repartition(n, "band").groupBy("band").applyInArrow(_proposer(LONG_FLOOR, nearest), "a binary, b binary")
         pairs = stored(proposed.distinct().join(tested, ["a", "b"], "left_anti"))
         new = stored(_verified(pairs, keyed, threshold))
