@@ -13,8 +13,8 @@ another class, and a last round proposes all pairs across classes that remain. P
 agree so little that a link is out of question (``FLOOR``, ``LONG_FLOOR``: five standard deviations below 0.8
 at the width used) are not verified.
 
-Links, classes and signatures stay in tables in the shared folder. Shingles are made again for the texts
-that are verified, only.
+Links, classes and signatures stay in tables in the shared folder. The sets of shingles are made
+again for the texts that share a bucket, only.
 
 Defined cases: null and wordless texts have no shingles and are classes by themselves, row by row; repeated
 rows belong to one class; class ids are the smallest document id in a class, null ids last; a class of rows
@@ -83,9 +83,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("_key"))
 
 
-def signatures(keyed: DataFrame, registers: int = REGISTERS, weighted: bool = True) -> DataFrame:
+def signatures(keyed: DataFrame) -> DataFrame:
     """(_id, _key, sig: a byte of each register, bands: a hash of each band); empty where a text has no words."""
-    bands_wanted = registers == REGISTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -95,13 +94,13 @@ def signatures(keyed: DataFrame, registers: int = REGISTERS, weighted: bool = Tr
             if not sum(sizes):
                 return [b""] * len(arrays), [[]] * len(arrays)
             owner = np.repeat(np.arange(len(arrays)), sizes)
-            weights = np.concatenate([a[1] for a in arrays]).astype(float) if weighted else np.ones(len(owner))
-            sig = prob_minhash(np.concatenate([a[0] for a in arrays]), weights, owner, len(arrays), registers)
+            weights = np.concatenate([a[1] for a in arrays]).astype(float)
+            sig = prob_minhash(np.concatenate([a[0] for a in arrays]), weights, owner, len(arrays))
             band = np.zeros((len(arrays), BANDS), np.uint64)
-            for r in range(BAND_ROWS if bands_wanted else 0):
+            for r in range(BAND_ROWS):
                 band = mixed(band * np.uint64(31) + sig[:, r::BAND_ROWS] + np.arange(BANDS, dtype=np.uint64))
             low = (sig & np.uint64(255)).astype(np.uint8)
-            return [low[i].tobytes() if n else b"" for i, n in enumerate(sizes)], [band[i].view(np.int64) if n and bands_wanted else [] for i, n in enumerate(sizes)]
+            return [low[i].tobytes() if n else b"" for i, n in enumerate(sizes)], [band[i].view(np.int64) if n else [] for i, n in enumerate(sizes)]
 
         for batch in batches:
             sig, bands, step, size = [], [], [], 0
@@ -138,24 +137,54 @@ def _likely(pairs: DataFrame, floor: float) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of texts whose Jaccard of distinct shingles reaches the threshold."""
-    needed = pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct()
-    texts = keyed.select("_key", "_text").join(needed, "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
+def _packed(h: np.ndarray) -> bytes:
+    """Sorted distinct hashes as their upper five bytes; two texts' sets meet by chance in less than one of 2**40 / (n * m) cases."""
+    return np.unique(h >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(raw) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def shingle_sets(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_key, set) of the texts in wanted (_key, first). Of copies, the one with that id is read; the id spreads them."""
+    mine = wanted.select(F.col("_key").alias("_k"), F.col("first").alias("_f"))
+    one = keyed.join(mine, (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_f"))).groupBy("_key").agg(F.first("_text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            sets = [np.unique(shingles(words_of(t.as_py()), hashes)).tobytes() for t in batch.column("_text")]
+            sets = [_packed(shingles(words_of(t.as_py()), hashes)) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sets, pa.binary())], names=["_key", "set"])
 
-    sets = stored(texts.mapInArrow(run, "_key binary, set binary"))
+    return one.mapInArrow(run, "_key binary, set binary")
+
+
+def long_signatures(sets: DataFrame, registers: int = LONG) -> DataFrame:
+    """(_key, sig): signatures of the distinct shingles, a byte of each register."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = []
+            for x in batch.column("set"):
+                ids = mixed(_unpacked(x.as_buffer()))
+                made = prob_minhash(ids, np.ones(len(ids)), np.zeros(len(ids), np.int64), 1, registers)
+                sig.append((made[0] & np.uint64(255)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sig, pa.binary())], names=["_key", "sig"])
+
+    return sets.mapInArrow(run, "_key binary, sig binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of texts whose Jaccard of distinct shingles reaches the threshold."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _unpacked(x.as_buffer()), _unpacked(y.as_buffer())
                 if min(len(x), len(y)) < threshold * max(len(x), len(y)):
                     good.append(False)
                     continue
@@ -227,19 +256,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     sig_of = texts.select("_key", "sig")
     with_sig = star.join(sig_of.select(F.col("_key").alias("a"), F.col("sig").alias("sa")), "a").join(sig_of.select(F.col("_key").alias("b"), F.col("sig").alias("sb")), "b")
     tested = stored(_likely(with_sig.select("a", "b", "sa", "sb"), floor))
-    links = stored(_verified(tested, keyed, threshold))
+    # only texts that share a bucket can be linked: their sets are made once
+    sets = stored(shingle_sets(keyed, texts.select("_key", "first").join(members.select("_key").distinct(), "_key", "left_semi")))
+    links = stored(_verified(tested, sets, threshold))
     label, long = components(links), None
     for nearest in (True, False):
         labelled = members.select("_key", "band").join(label.withColumnRenamed("node", "_key"), "_key", "left").withColumn("comp", F.coalesce("comp", "_key"))
         several = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
         inside = labelled.join(several, "band")
         if long is None:  # classes only grow together: the last round needs no other texts
-            wanted = keyed.join(inside.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
-            long = stored(signatures(wanted.select(F.lit(None).cast("long").alias("_id"), "_text", "_key"), LONG, False).select("_key", "sig").join(texts.select("_key", "bands"), "_key"))
+            long = stored(long_signatures(sets.join(inside.select("_key").distinct(), "_key", "left_semi")).join(texts.select("_key", "bands"), "_key"))
         inside = inside.join(long, "_key").select("band", "_key", "comp", "sig", "bands")
         proposed = inside.repartition(n, "band").groupBy("band").applyInArrow(_proposer(LONG_FLOOR, nearest), "a binary, b binary")
         pairs = stored(proposed.distinct().join(tested, ["a", "b"], "left_anti"))
-        new = stored(_verified(pairs, keyed, threshold))
+        new = stored(_verified(pairs, sets, threshold))
         if not new.isEmpty():
             links = links.union(new)
             label = components(links)
