@@ -120,7 +120,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataFrame
     """(_id, _text, _range), the ranges ascending with the id; nulls in a range of their own. One exchange, by range."""
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     cuts = slim.approxQuantile("_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_b", handleInvalid="keep").transform(slim.withColumn("_key", F.col("_id").cast("double")))
     return bucketed.select("_id", "_text", F.col("_b").cast("int").alias("_range")).repartition(ranges, "_range")
 
