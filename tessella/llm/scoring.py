@@ -45,6 +45,8 @@ STRENGTH = 1.0
 BATCH_TOKENS, BATCH_TEXTS = 500_000, 60_000
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 20_000
 SLICES = 64
+#: A part holds about 50 bytes an event, all at once: parts are made smaller than usual partitions.
+PARTS_PER_PARTITION = 2
 END, START = np.uint64(1), np.uint64(2)
 HELD_OUT = (7, 2)
 
@@ -276,7 +278,7 @@ def _gathered(pairs, names: list[str]) -> dict[str, np.ndarray]:
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
     spark = docs.sparkSession
-    sc, n = spark.sparkContext, shuffle_partitions(spark)
+    sc, n = spark.sparkContext, PARTS_PER_PARTITION * shuffle_partitions(spark)
     slim = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     sample = slim.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).orderBy(F.xxhash64(F.col(id_col), F.length(text_col))).limit(SAMPLE_TEXTS).collect()
     hashes = Hashes()
