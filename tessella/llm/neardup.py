@@ -1,10 +1,10 @@
 """Operator 8: near duplicates by ProbMinHash, banding and verification.
 
-A text is a set of word shingles (five words; a shorter text is one shingle), weighted by how often they
-occur. Every shingle is a Poisson process whose rate is its weight; its arrivals fall on random registers,
-each register keeps its first arrival, and a shingle is given up once its next arrival is later than all
-registers (early termination). Two texts agree in a register with the probability Jaccard of their weighted
-shingles. Registers are cut into bands; texts that agree in a band are candidates; a link is a pair of texts
+A text is a set of distinct word shingles (five words; a shorter text is one shingle). Every shingle is a
+Poisson process whose rate is its weight; its arrivals fall on random registers, each register keeps its first
+arrival, and a shingle is given up once its next arrival is later than all registers (early termination). All
+weights are one, as a link counts distinct shingles: two texts agree in a register with the very Jaccard that
+decides their link, however often each of them repeats a passage. Registers are cut into bands; texts that agree in a band are candidates; a link is a pair of texts
 whose exact Jaccard of distinct shingles is 0.8 or more, and classes are the connected components of links.
 
 Exact copies are one text from the start. No bucket is expanded into pairs: every text is first compared
@@ -89,13 +89,12 @@ def signatures(keyed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
 
-        def signed(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list, list]:
-            sizes = [len(a[0]) for a in arrays]
+        def signed(arrays: list[np.ndarray]) -> tuple[list, list]:
+            sizes = [len(a) for a in arrays]
             if not sum(sizes):
                 return [b""] * len(arrays), [[]] * len(arrays)
             owner = np.repeat(np.arange(len(arrays)), sizes)
-            weights = np.concatenate([a[1] for a in arrays]).astype(float)
-            sig = prob_minhash(np.concatenate([a[0] for a in arrays]), weights, owner, len(arrays))
+            sig = prob_minhash(np.concatenate(arrays), np.ones(len(owner)), owner, len(arrays))
             band = np.zeros((len(arrays), BANDS), np.uint64)
             for r in range(BAND_ROWS):
                 band = mixed(band * np.uint64(31) + sig[:, r::BAND_ROWS] + np.arange(BANDS, dtype=np.uint64))
@@ -105,8 +104,8 @@ def signatures(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             sig, bands, step, size = [], [], [], 0
             for t in batch.column("_text"):
-                step.append(np.unique(shingles(words_of(t.as_py()), hashes), return_counts=True))
-                size += len(step[-1][0])
+                step.append(np.unique(shingles(words_of(t.as_py()), hashes)))
+                size += len(step[-1])
                 if size >= STEP:
                     for out, new in zip((sig, bands), signed(step), strict=True):
                         out.extend(new)

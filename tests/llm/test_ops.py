@@ -214,6 +214,18 @@ def test_chains_of_near_copies(spark):
     assert {r["_id"]: r["class"] for r in rows.collect()} == {i: c for (i, _), c in zip(texts, brute.near_classes(texts))}
 
 
+def test_near_copies_that_repeat_a_passage(spark):
+    """A link counts distinct shingles: how often a copy repeats a passage does not hide it."""
+    texts = []
+    for k in range(12):
+        base = [f"p{k}x{i}" for i in range(200)]
+        texts += [" ".join(base), " ".join(base + [f"q{k}x{i}" for i in range(30)] * 20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: c for i, c in enumerate(brute.near_classes(list(enumerate(texts))))}
+    assert set(want.values()) == set(range(0, 24, 2))
+    assert {r["_id"]: r["class"] for r in neardup.classes(df)[0].collect()} == want
+
+
 def test_quality(spark, sf_dir, docs, hostile, empty):
     for df in (docs, hostile):
         got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in quality.judge(df).collect())
