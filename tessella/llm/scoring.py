@@ -6,9 +6,8 @@ training vocabulary and one unknown word. The number of tables at which a dish's
 Gibbs: a dish of a restaurant is seated anew given all other tables, exactly (by generalised Stirling
 numbers) up to ``EXACT`` customers and step by step above; the tables are customers of the root, which is
 seated in the same way. Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
-Restaurants are told apart by ``CONTEXTS`` hash buckets, a stated size of the model; what bears on a whole
-restaurant is two numbers of it, so the vectors that are sent around have a fixed size. Words are told apart
-by 64-bit hashes and are not bounded.
+Words and restaurants are told apart by 64-bit hashes and are not bounded. What bears on a whole restaurant
+is a few numbers of it: every part sends its own to the task that owns the context, and gets the sums back.
 
 Everything about a word - its counts, its tables in all restaurants, all its occurrences in texts to be
 scored - is dealt to one task by one exchange, which every later pass reads again. Words so frequent that
@@ -38,13 +37,10 @@ from pyspark.sql import functions as F
 from .common import ASCII_LOWER, shuffle_partitions, table
 from .suffixes import Hashes, mixed
 
-CONTEXT_BITS = 20
-CONTEXTS = 1 << CONTEXT_BITS
 EXACT, BURN_IN, SAMPLES, SEED = 24, 2, 3, 17
 STRENGTH = 1.0
 BATCH_TOKENS, BATCH_TEXTS = 500_000, 60_000
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 20_000
-SLICES = 64
 #: A part holds about 50 bytes an event, all at once: parts are made smaller than usual partitions.
 PARTS_PER_PARTITION = 2
 END, START = np.uint64(1), np.uint64(2)
@@ -61,10 +57,6 @@ def tokens(text: str | None, hashes: Hashes) -> np.ndarray:
     return np.append(hashes.of(words), END)
 
 
-def _context(previous: np.ndarray) -> np.ndarray:
-    return (mixed(previous) >> np.uint64(64 - CONTEXT_BITS)).astype(np.uint32)
-
-
 class Layout:
     """Which of n parts a word belongs to; frequent words are dealt by context as well."""
 
@@ -79,7 +71,7 @@ class Layout:
     def part(self, w: np.ndarray, u: np.ndarray) -> np.ndarray:
         key = mixed(w)
         often = self.is_frequent(w)
-        key[often] = mixed(key[often] + u[often].astype(np.uint64))
+        key[often] = mixed(key[often] + mixed(u[often]))
         return (key >> np.uint64(24)) % np.uint64(self.n)
 
 
@@ -98,10 +90,9 @@ def _dealt(docs: DataFrame, layout: Layout):
             before = np.empty_like(w)
             before[1:] = w[:-1]
             before[np.cumsum(size) - size] = START
-            u = _context(before)
-            part = lay.part(w, u)
+            part = lay.part(w, before)
             order = np.lexsort((w, part))
-            w, u, doc, part = w[order], u[order], doc[order], part[order]
+            w, u, doc, part = w[order], before[order], doc[order], part[order]
             train = np.array([not held_out(i) for i in ids])
             flags = np.packbits(train).tobytes()
             out: tuple[list, list, list] = ([number % lay.n], [number], [b"H" + np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids]).tobytes() + size.astype("<i8").tobytes() + train.tobytes()])
@@ -109,8 +100,9 @@ def _dealt(docs: DataFrame, layout: Layout):
             for a, b in zip(cuts, [*cuts[1:], len(w)], strict=True):
                 new = np.flatnonzero(np.r_[True, w[a + 1 : b] != w[a : b - 1]])
                 n = np.diff(np.r_[new, b - a]).astype("<u4")
-                head = np.array([len(ids), len(new), b - a], "<u4").tobytes()
-                raw = head + flags + w[a:b][new].tobytes() + n.tobytes() + u[a:b].view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes() + doc[a:b].tobytes()
+                context, at = np.unique(u[a:b], return_inverse=True)
+                head = np.array([len(ids), len(new), b - a, len(context)], "<u4").tobytes()
+                raw = head + flags + w[a:b][new].tobytes() + n.tobytes() + context.tobytes() + at.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() + doc[a:b].tobytes()
                 out[0].append(int(part[a]))
                 out[1].append(number)
                 out[2].append(b"E" + zip_(raw))
@@ -141,33 +133,37 @@ class Part:
         train = []
         for number, blob in sorted(rows):
             raw = undo(blob[1:])
-            texts, distinct, n = (int(x) for x in np.frombuffer(raw, "<u4", 3))
-            at = 12 + (texts + 7) // 8
-            flags = np.unpackbits(np.frombuffer(raw, np.uint8, (texts + 7) // 8, 12))[:texts].astype(bool)
+            texts, distinct, n, contexts = (int(x) for x in np.frombuffer(raw, "<u4", 4))
+            at = 16 + (texts + 7) // 8
+            flags = np.unpackbits(np.frombuffer(raw, np.uint8, (texts + 7) // 8, 16))[:texts].astype(bool)
             w = np.frombuffer(raw, "<u8", distinct, at)
             count = np.frombuffer(raw, "<u4", distinct, at + 8 * distinct)
             at += 12 * distinct
-            three = np.zeros((n, 4), np.uint8)
-            three[:, :3] = np.frombuffer(raw, np.uint8, 3 * n, at).reshape(3, n).T
-            own = np.frombuffer(raw, "<u2", n, at + 3 * n)
+            context = np.frombuffer(raw, "<u8", contexts, at)
+            at += 8 * contexts
+            which = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
+            own = np.frombuffer(raw, "<u2", n, at + 4 * n)
             self.batches.append((number, texts, n))
             words.append(np.repeat(w, count))
-            u.append(three.view("<u4").ravel())
+            u.append(context[which])
             doc.append(own)
             train.append(flags[own])
         empty = np.zeros(0, np.uint64)
         self.doc = np.concatenate([np.zeros(0, np.uint16), *doc])
         trained = np.concatenate([np.zeros(0, bool), *train])
-        self.u = np.concatenate([np.zeros(0, np.uint32), *u]).astype(np.int64)
+        self.context, self.u = np.unique(np.concatenate([empty, *u]), return_inverse=True)
         del u, doc, train
         self.word, self.w = np.unique(np.concatenate([empty, *words]), return_inverse=True)
         del words
-        key = (self.w.astype(np.int64) << CONTEXT_BITS) | self.u
+        key = (self.w.astype(np.int64) << 32) | self.u
         self.key, self.c = np.unique(key[trained], return_counts=True)
         self.event = key
-        self.ew, self.eu = self.key >> CONTEXT_BITS, self.key & (CONTEXTS - 1)
+        self.ew, self.eu = self.key >> 32, self.key & 0xFFFFFFFF
         self.count = np.bincount(self.ew, weights=self.c, minlength=len(self.word)).astype(np.int64)
 
+    def by_context(self, of_entries: np.ndarray) -> np.ndarray:
+        return np.bincount(self.eu, weights=of_entries, minlength=len(self.context)).astype(np.int64)
+
 
 def stirling(d: float, most: int = EXACT) -> np.ndarray:
     """log of the generalised Stirling numbers S_d(c, t)."""
@@ -212,14 +208,14 @@ def seat(c: np.ndarray, old: np.ndarray, tables: np.ndarray, parent: np.ndarray,
 class Totals:
     """What all parts must know of each other; frequent words' root customers and tables are kept by word."""
 
-    def __init__(self, n_tokens: int, vocabulary: int, customers: np.ndarray, tables: np.ndarray, d: float, frequent: np.ndarray, frequent_count: np.ndarray, frequent_customers: np.ndarray):
-        self.n_tokens, self.vocabulary, self.customers, self.tables, self.d = n_tokens, vocabulary, customers, tables, d
+    def __init__(self, n_tokens: int, vocabulary: int, entries: int, d: float, frequent: np.ndarray, frequent_count: np.ndarray, frequent_customers: np.ndarray):
+        self.n_tokens, self.vocabulary, self.entries, self.d = n_tokens, vocabulary, entries, d
         self.frequent, self.frequent_count, self.frequent_customers = frequent, frequent_count, frequent_customers
 
 
 class Sweep:
-    def __init__(self, tables: np.ndarray, root_customers: int, root_tables: int, frequent_customers: np.ndarray, frequent_tables: np.ndarray):
-        self.tables, self.root_customers, self.root_tables = tables, root_customers, root_tables
+    def __init__(self, root_customers: int, root_tables: int, frequent_customers: np.ndarray, frequent_tables: np.ndarray):
+        self.root_customers, self.root_tables = root_customers, root_tables
         self.frequent_customers, self.frequent_tables = frequent_customers, frequent_tables
 
 
@@ -235,9 +231,10 @@ def _frequent_at(words: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, n
     return mine, at[mine]
 
 
-def sweeps(part: Part, totals: Totals, number: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def sweeps(part: Part, tables: np.ndarray, totals: Totals, number: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """After each kept sweep: (tables of each entry, root customers of each word, root tables of each word).
 
+    tables are the first pass's, over all parts, of each context of this part.
     A word that is dealt to several parts has root tables drawn from the same stream in all of them.
     """
     d, v = totals.d, totals.vocabulary
@@ -245,7 +242,7 @@ def sweeps(part: Part, totals: Totals, number: int) -> Iterator[tuple[np.ndarray
     mine, at = _frequent_at(part.word, totals.frequent)
     root_t = np.minimum(part.count, 1)
     base = 1 / (v + 1)
-    start_customers = float(totals.tables.sum())
+    start_customers = float(totals.entries)
     for k in range(BURN_IN + SAMPLES):
         r = np.random.default_rng([SEED, number, k])
         grown = t.sum() / max(1, len(t))  # tables for each first table, taken to hold for the other parts as well
@@ -254,7 +251,7 @@ def sweeps(part: Part, totals: Totals, number: int) -> Iterator[tuple[np.ndarray
         seen_c[mine] = (totals.frequent_customers[at] * grown).astype(np.int64)
         all_c, all_t = start_customers * grown, float(v)
         p0 = (np.maximum(seen_c - D_ROOT * root_t, 0) + (STRENGTH + D_ROOT * all_t) * base) / (STRENGTH + all_c)
-        t = seat(part.c, t, totals.tables[part.eu] * grown, p0[part.ew], d, STRENGTH, r)
+        t = seat(part.c, t, tables[part.eu] * grown, p0[part.ew], d, STRENGTH, r)
         root_c = np.bincount(part.ew, weights=t, minlength=len(part.word)).astype(np.int64)
         alone = root_c.copy()
         alone[mine] = 0
@@ -264,15 +261,62 @@ def sweeps(part: Part, totals: Totals, number: int) -> Iterator[tuple[np.ndarray
             yield t, root_c, root_t
 
 
-def _sliced(vector: np.ndarray, name: str) -> Iterator[tuple[tuple[str, int], np.ndarray]]:
-    for i, x in enumerate(np.split(vector, SLICES)):
-        yield (name, i), x
+def _owner(context: np.ndarray, n: int) -> np.ndarray:
+    return ((mixed(context) >> np.uint64(24)) % np.uint64(n)).astype(np.int64)
+
+
+def _asked(part: Part, number: int, n: int, values: list[np.ndarray]) -> Iterator[tuple]:
+    """Rows (owner, request): a part's own numbers of its contexts, to the tasks that own them."""
+    owner = _owner(part.context, n)
+    order = np.argsort(owner, kind="stable")
+    zip_ = zstandard.ZstdCompressor(level=1).compress
+    rows = np.stack(values)[:, order].astype("<i8")
+    cuts = np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1]]) if len(order) else []
+    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        yield int(owner[order[a]]), (number, part.context[order[a:b]].tobytes(), zip_(rows[:, a:b].tobytes()))
+
+
+def _answered(requests, n: int):
+    """Rows (part, (owner, sums)), dealt by part: the sums over all parts, in the order the part asked."""
+
+    def run(rows: Iterator) -> Iterator:
+        pack, undo = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+        asked = [(k, *r) for k, r in rows if r[0] is not None]
+        if not asked:
+            return
+        size = [len(r[2]) // 8 for r in asked]
+        _, at = np.unique(np.concatenate([np.frombuffer(r[2], "<u8") for r in asked]), return_inverse=True)
+        values = np.concatenate([np.frombuffer(undo(r[3]), "<i8").reshape(-1, m) for r, m in zip(asked, size, strict=True)], axis=1)
+        sums = np.zeros((len(values), int(at.max()) + 1), np.int64)
+        for own, v in zip(sums, values, strict=True):
+            np.add.at(own, at, v)
+        start = 0
+        for r, m in zip(asked, size, strict=True):
+            yield r[1], (r[0], pack(sums[:, at[start : start + m]].tobytes()))
+            start += m
+
+    return requests.mapPartitions(run).partitionBy(n, int)
+
+
+def _sums_of(part: Part, answers: list[tuple], n: int, rows: int) -> np.ndarray:
+    """rows x contexts of the part, out of its answers."""
+    undo = zstandard.ZstdDecompressor().decompress
+    order = np.argsort(_owner(part.context, n), kind="stable")
+    found = [np.frombuffer(undo(blob), "<i8").reshape(rows, -1) for _, (_, blob) in sorted(answers, key=lambda r: r[1][0])]
+    out = np.zeros((rows, len(order)), np.int64)
+    out[:, order] = np.concatenate([np.zeros((rows, 0), np.int64), *found], axis=1)
+    return out
+
 
+def _summed(requests) -> dict:
+    """The few numbers of parts that are sent beside their requests, added up."""
+    return requests.filter(lambda r: r[1][0] is None).map(lambda r: r[1][1]).reduceByKey(lambda a, b: a + b, numPartitions=16).collectAsMap()
 
-def _gathered(pairs, names: list[str]) -> dict[str, np.ndarray]:
-    """Sums of vectors of a fixed size, added up by slice before they reach the driver."""
-    found = dict(pairs.reduceByKey(lambda a, b: a + b, numPartitions=16).collect())
-    return {n: np.concatenate([found.get((n, i), np.zeros(CONTEXTS // SLICES, np.int64)) for i in range(SLICES)]) for n in names}
+
+def _beside(parts, answers):
+    """One row for each part: (its rows, its answers); both are dealt alike."""
+    whole = lambda rows: iter([list(rows)])
+    return parts.mapPartitions(whole).zip(answers.mapPartitions(whole))
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,7 +331,6 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     layout = Layout(n, words[counts > len(found) / (4 * n)])  # 4 * n words at most
     parts = _dealt(slim, layout)
     frequent = layout.frequent
-    width = CONTEXTS // SLICES
 
     def events(rows: Iterator) -> Iterator[tuple[int, list, list]]:
         by_part: dict[int, list] = {}
@@ -300,83 +343,88 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield number, by_part.pop(number), heads if i == 0 else []
 
     def counted(rows: Iterator) -> Iterator:
-        for _, blobs, _ in events(rows):
+        for number, blobs, _ in events(rows):
+            if not blobs:
+                continue
             part = Part(blobs)
-            yield from _sliced(np.bincount(part.eu, weights=part.c, minlength=CONTEXTS).astype(np.int64), "customers")
-            yield from _sliced(np.bincount(part.eu, minlength=CONTEXTS), "tables")
+            yield from _asked(part, number, n, [part.by_context(part.c), part.by_context(np.ones(len(part.key)))])
             mine, at = _frequent_at(part.word, frequent)
             rare = np.ones(len(part.word), bool)
             rare[mine] = False
             few = np.bincount(np.minimum(part.c, 3), minlength=4)
-            ends = np.zeros(width, np.int64)
-            ends[:4] = part.c.sum(), (part.count[rare] > 0).sum(), few[1], few[2]
-            yield ("sums", 0), ends
+            yield number, (None, ("sums", np.array([part.c.sum(), (part.count[rare] > 0).sum(), few[1], few[2], len(part.key)])))
             by_word = np.zeros(2 * len(frequent), np.int64)
             np.add.at(by_word, at, part.count[mine])
             np.add.at(by_word, len(frequent) + at, np.bincount(part.ew, minlength=len(part.word))[mine])
-            yield ("frequent", 0), by_word
+            yield number, (None, ("frequent", by_word))
 
-    found_totals = parts.mapPartitions(counted).reduceByKey(lambda a, b: a + b, numPartitions=16).collectAsMap()
-    vector = lambda name: np.concatenate([found_totals.get((name, i), np.zeros(width, np.int64)) for i in range(SLICES)])
-    sums, by_word = found_totals.get(("sums", 0), np.zeros(4, np.int64)), found_totals.get(("frequent", 0), np.zeros(2 * len(frequent), np.int64))
+    asked = parts.mapPartitions(counted).partitionBy(n, int)
+    found_totals = _summed(asked)
+    sums, by_word = found_totals.get("sums", np.zeros(5, np.int64)), found_totals.get("frequent", np.zeros(2 * len(frequent), np.int64))
     ones, twos = int(sums[2]), int(sums[3])
     d = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))  # the discount by which singletons are overestimated
-    totals = Totals(int(sums[0]), int(sums[1]) + int((by_word[: len(frequent)] > 0).sum()), vector("customers"), vector("tables"), d, frequent, by_word[: len(frequent)], by_word[len(frequent) :])
+    totals = Totals(int(sums[0]), int(sums[1]) + int((by_word[: len(frequent)] > 0).sum()), int(sums[4]), d, frequent, by_word[: len(frequent)], by_word[len(frequent) :])
     known = sc.broadcast(totals)
 
-    def swept(rows: Iterator) -> Iterator:
-        for number, blobs, _ in events(rows):
-            if not blobs:
-                continue
-            part = Part(blobs)
-            mine, at = _frequent_at(part.word, frequent)
-            for k, (t, root_c, root_t) in enumerate(sweeps(part, known.value, number)):
-                yield from (((f"tables{k}", i), x) for (_, i), x in _sliced(np.bincount(part.eu, weights=t, minlength=CONTEXTS).astype(np.int64), ""))
+    def swept(pairs: Iterator) -> Iterator:
+        for rows, answers in pairs:
+            for number, blobs, _ in events(rows):
+                if not blobs:
+                    continue
+                part = Part(blobs)
+                _, tables = _sums_of(part, answers, n, 2)
+                mine, at = _frequent_at(part.word, frequent)
                 rare = np.ones(len(part.word), bool)
                 rare[mine] = False
-                by_word = np.zeros(len(frequent), np.int64)
-                np.add.at(by_word, at, root_c[mine])
-                yield (f"root{k}", 0), np.array([root_c.sum(), root_t[rare].sum()])
-                yield (f"frequent{k}", 0), by_word
-
-    got = parts.mapPartitions(swept).reduceByKey(lambda a, b: a + b, numPartitions=16).collectAsMap()
+                values = [part.by_context(part.c), part.by_context(np.ones(len(part.key)))]
+                for k, (t, root_c, root_t) in enumerate(sweeps(part, tables, known.value, number)):
+                    values.append(part.by_context(t))
+                    by_word = np.zeros(len(frequent), np.int64)
+                    np.add.at(by_word, at, root_c[mine])
+                    yield number, (None, (f"root{k}", np.array([root_c.sum(), root_t[rare].sum()])))
+                    yield number, (None, (f"frequent{k}", by_word))
+                yield from _asked(part, number, n, values)
+
+    asked_again = _beside(parts, _answered(asked, n)).mapPartitions(swept).partitionBy(n, int)
+    got = _summed(asked_again)
     kept = []
     for k in range(SAMPLES):
-        root, by_word = got.get((f"root{k}", 0), np.zeros(2, np.int64)), got.get((f"frequent{k}", 0), np.zeros(len(frequent), np.int64))
-        tables = np.concatenate([got.get((f"tables{k}", i), np.zeros(width, np.int64)) for i in range(SLICES)])
+        root, by_word = got.get(f"root{k}", np.zeros(2, np.int64)), got.get(f"frequent{k}", np.zeros(len(frequent), np.int64))
         word_tables = np.minimum(by_word, 1)
-        kept.append(Sweep(tables.astype(np.int32), int(root[0]), int(root[1]) + int(word_tables.sum()), by_word, word_tables))
+        kept.append(Sweep(int(root[0]), int(root[1]) + int(word_tables.sum()), by_word, word_tables))
     samples = sc.broadcast(kept)
 
-    def scored(rows: Iterator) -> Iterator:
+    def scored(pairs: Iterator) -> Iterator:
         total = known.value
-        for number, blobs, heads in events(rows):
-            for batch, blob in heads:
-                yield batch, (None, blob)
-            if not blobs:
-                continue
-            part = Part(blobs)
-            mine, at = _frequent_at(part.word, total.frequent)
-            count = part.count.copy()
-            count[mine] = total.frequent_count[at]
-            entry = np.minimum(np.searchsorted(part.key, part.event), max(0, len(part.key) - 1))
-            seen = part.key[entry] == part.event if len(part.key) else np.zeros(len(part.event), bool)
-            c = np.where(seen, part.c[entry], 0) if len(part.key) else np.zeros(len(part.event))
-            below = STRENGTH + total.customers[part.u]
-            p = np.zeros(len(part.event))
-            for (t, root_c, root_t), sample in zip(sweeps(part, total, number), samples.value, strict=True):
-                root_c, root_t = root_c.copy(), root_t.copy()
-                root_c[mine], root_t[mine] = sample.frequent_customers[at], sample.frequent_tables[at]
-                base = (STRENGTH + D_ROOT * sample.root_tables) / (total.vocabulary + 1)
-                p0 = (root_c - D_ROOT * root_t + base) / (STRENGTH + sample.root_customers)
-                own = np.where(seen, c - total.d * t[entry], 0) if len(part.key) else 0
-                p += (own + (STRENGTH + total.d * sample.tables[part.u]) * p0[part.w]) / below
-            values = (np.log10(count[part.w] + 1.0), (count[part.w] > 0).astype(float), np.log10(p / SAMPLES))
-            start = 0
-            for batch, texts, size in part.batches:
-                own = part.doc[start : start + size]
-                yield batch, (np.stack([np.bincount(own, weights=x[start : start + size], minlength=texts) for x in values]), None)
-                start += size
+        for rows, answers in pairs:
+            for number, blobs, heads in events(rows):
+                for batch, blob in heads:
+                    yield batch, (None, blob)
+                if not blobs:
+                    continue
+                part = Part(blobs)
+                customers, first, *later = _sums_of(part, answers, n, 2 + SAMPLES)
+                mine, at = _frequent_at(part.word, total.frequent)
+                count = part.count.copy()
+                count[mine] = total.frequent_count[at]
+                entry = np.minimum(np.searchsorted(part.key, part.event), max(0, len(part.key) - 1))
+                seen = part.key[entry] == part.event if len(part.key) else np.zeros(len(part.event), bool)
+                c = np.where(seen, part.c[entry], 0) if len(part.key) else np.zeros(len(part.event))
+                below = STRENGTH + customers[part.u]
+                p = np.zeros(len(part.event))
+                for (t, root_c, root_t), sample, tables in zip(sweeps(part, first, total, number), samples.value, later, strict=True):
+                    root_c, root_t = root_c.copy(), root_t.copy()
+                    root_c[mine], root_t[mine] = sample.frequent_customers[at], sample.frequent_tables[at]
+                    base = (STRENGTH + D_ROOT * sample.root_tables) / (total.vocabulary + 1)
+                    p0 = (root_c - D_ROOT * root_t + base) / (STRENGTH + sample.root_customers)
+                    own = np.where(seen, c - total.d * t[entry], 0) if len(part.key) else 0
+                    p += (own + (STRENGTH + total.d * tables[part.u]) * p0[part.w]) / below
+                values = (np.log10(count[part.w] + 1.0), (count[part.w] > 0).astype(float), np.log10(p / SAMPLES))
+                start = 0
+                for batch, texts, size in part.batches:
+                    own = part.doc[start : start + size]
+                    yield batch, (np.stack([np.bincount(own, weights=x[start : start + size], minlength=texts) for x in values]), None)
+                    start += size
 
     def joined(a: tuple, b: tuple) -> tuple:
         return (b[0] if a[0] is None else a[0] if b[0] is None else a[0] + b[0]), a[1] or b[1]
@@ -392,7 +440,7 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for i in range(texts):
             yield (None if null[i] else int(ids[i]), not bool(train[i]), int(size[i]), round(float(sums[1, i])), train_tokens, float(sums[0, i] - size[i] * floor), float(sums[2, i]))
 
-    out = parts.mapPartitions(scored).reduceByKey(joined, numPartitions=n).flatMap(rows_of)
+    out = _beside(parts, _answered(asked_again, n)).mapPartitions(scored).reduceByKey(joined, numPartitions=n).flatMap(rows_of)
     return spark.createDataFrame(out, f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", verifySchema=False)
 
 

@@ -67,6 +67,22 @@ def test_lm_probabilities_add_up():
     assert abs(np.exp(scoring.stirling(0.5)[3, 1:4]).sum() - (0.75 + 1.5 + 1)) < 1e-9
 
 
+def test_lm_contexts_are_not_merged(spark):
+    """Two words whose hashes share their upper 20 bits open two restaurants."""
+    names, seen = [f"c{i}" for i in range(8000)], {}
+    for name, h in zip(names, scoring.mixed(scoring.Hashes().of([x.encode() for x in names])) >> np.uint64(44)):
+        if h in seen:
+            break
+        seen[h] = name
+    a, b = seen[h], name
+    train = [i for i in range(1000) if not scoring.held_out(i)][:400]
+    test = [i for i in range(1000) if scoring.held_out(i)][:2]
+    rows = [(i, f"{a} xx" if k % 2 else f"{b} yy") for k, i in enumerate(train)]
+    df = spark.createDataFrame([*rows, (test[0], f"{a} xx"), (test[1], f"{a} yy")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in scoring.fit_and_score(df).collect()}
+    assert score[test[0]] - score[test[1]] > 1
+
+
 def test_top_k(spark, sf_dir):
     vectors = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     got = defaultdict(list)
