@@ -156,6 +156,13 @@ def test_pii(spark, sf_dir, docs, hostile, empty):
     assert pii.redact(empty).count() == 0
 
 
+def test_long_secrets_go_as_a_whole(spark):
+    r = np.random.default_rng(3)
+    long = "".join("abcdef"[r.integers(6)] + str(r.integers(10)) for _ in range(300))
+    df = spark.createDataFrame([(0, f"token: {long} end")], "doc_id long, text string")
+    assert long[-40:] not in pii.redact(df).collect()[0]["text"]
+
+
 def test_pii_trees_agree_with_their_columns(spark):
     trees, _ = pii.fitted()
     x, y = pii.generated_sample(240, 99)
