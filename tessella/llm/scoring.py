@@ -4,7 +4,7 @@ A text is a chain of words and an end. Each preceding word opens a restaurant wh
 that follow it; all these context restaurants share one parent, the root, whose base is uniform over the
 training vocabulary and one unknown word. The number of tables at which a dish's customers sit is sampled by
 Gibbs: a dish of a restaurant is seated anew given all other tables, exactly (by generalised Stirling
-numbers) up to ``EXACT`` customers and step by step above; the tables are customers of the root, which is
+numbers) up to ``EXACT`` customers and in steps of an eighth of those seated above; the tables are customers of the root, which is
 seated in the same way. Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
 Words and restaurants are told apart by 64-bit hashes and are not bounded. What bears on a whole restaurant
 is a few numbers of it: every part sends its own to the task that owns the context, and gets the sums back.
@@ -12,8 +12,9 @@ is a few numbers of it: every part sends its own to the task that owns the conte
 Everything about a word - its counts, its tables in all restaurants, all its occurrences in texts to be
 scored - is dealt to one task by one exchange, which every later pass reads again. Words so frequent that
 they would outgrow a task are dealt by word and context; which ones is estimated on a bounded sample and
-changes where things are computed, not what. Tasks sweep side by side against the restaurants' totals of the
-pass before (as in approximate distributed Gibbs sampling); a second pass over the same seeds gives the exact
+depends on the number of partitions; they have one root table instead of a drawn number, which bears on scores.
+Tasks sweep side by side against the first pass's totals, scaled by their own mean growth (approximate
+distributed Gibbs sampling without an exchange between sweeps); a second pass over the same seeds gives the exact
 totals of each sweep, so that the probabilities that are averaged add up to one. Lost tasks are made again
 from the same seeds.
 
