@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,8 +75,25 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
-def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    return df.repartition(partitions or shuffle_partitions(df.sparkSession), *keys)
+def give_back() -> None:
+    """Returns what this Python worker has freed to the system: between tasks it waits beside the JVM's own memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow, with give_back() at the end of each task."""
+
+    def mapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return mapped
 
 
 HAS_ASCII_UPPER = re.compile(r"[A-Z]")

@@ -6,12 +6,12 @@ holds it. A text adds up, for each language, the n-grams that name it (those tha
 nothing and are left out), takes off the false positives that the filter's fill predicts, and the language
 with most remaining decides.
 
-Fitting reads a bounded sample (``DOCS_PER_LANGUAGE`` texts of a language, chosen by hash, texts over
-``SAMPLE_CHARS`` characters left out of the sample only). Predicting is one map over whole texts without a
-shuffle; what is sent to the executors is ``SLOTS`` masks, whatever the input's size.
+Fitting reads a bounded sample (``DOCS_PER_LANGUAGE`` whole texts of a language, chosen by hash). Predicting is one
+map over whole texts without a shuffle; what is sent to the executors is ``SLOTS`` masks, whatever the input's size.
 
 Defined cases: null or letterless texts are ``und`` with score 0; a text with letters but no known n-gram
-gets the commonest language with an even score; without any labelled row every text is ``und``; null
+gets the language with most texts in the sample (of equal ones the first by name) with an even score, and languages
+that are named equally often are told apart in that order; without any labelled row every text is ``und``; null
 languages are not learned; repeated rows give repeated rows; other columns pass untouched.
 """
 
@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, table
+from .common import crc_mod, lean, table
 from .sampling import bounded_sample
 
 N = 4
 SLOTS = 1 << 19
 HASHES = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
-DOCS_PER_LANGUAGE, SAMPLE_CHARS = 400, 50_000
+DOCS_PER_LANGUAGE = 400
 MIN_SHARE = 2e-6
 #: Texts handled at once, in characters.
 STEP_CHARS = 2_000_000
@@ -88,10 +88,13 @@ class LanguageFilters:
         names = sorted(texts_by_language, key=lambda x: (-len(texts_by_language[x]), x))
         masks = np.zeros((SLOTS, max(1, (len(names) + 7) // 8)), np.uint8)
         for i, name in enumerate(names):
-            found = ngrams(texts_by_language[name])[0]
-            if len(found):
-                gram, n = np.unique(found, return_counts=True)
-                keep = gram[n >= max(1, MIN_SHARE * len(found))]
+            gram, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+            for step in _in_steps(texts_by_language[name]):
+                new, count = np.unique(ngrams(step)[0], return_counts=True)
+                gram, at = np.unique(np.concatenate([gram, new]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([n, count]), minlength=len(gram)).astype(np.int64)
+            if len(gram):
+                keep = gram[n >= max(1, MIN_SHARE * n.sum())]
                 for k in range(len(HASHES)):
                     masks[slots(keep, k), i // 8] |= np.uint8(1 << (i % 8))
         return cls(names, masks)
@@ -129,11 +132,11 @@ class LanguageFilters:
 
 
 def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, learnable: Column, per_language: int = DOCS_PER_LANGUAGE) -> LanguageFilters:
-    rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-    sample = bounded_sample(rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")), "_lang", per_language, "_id")
+    rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    slim = rows.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     texts: dict[str, list[str]] = {}
-    for r in sample.select("_lang", "_text").toLocalIterator():  # bounded: per_language texts of each language
-        texts.setdefault(r[0], []).append(r[1])
+    for r in bounded_sample(slim, "_lang", per_language, ("_id", "_text")):
+        texts.setdefault(r["_lang"], []).append(r["_text"])
     return LanguageFilters.fit({k: sorted(v) for k, v in texts.items()})
 
 
@@ -164,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageFilters, text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(known)], names=[*batch.schema.names, *added])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

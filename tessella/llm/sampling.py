@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+WHOLE = 1 << 40
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int, id_col: str, salt: int = 0) -> DataFrame:
-    """At most per_label rows of each label, those with the smallest hash of the id.
 
-    A label is thinned by hash to about twice its share before its rows are ranked, so a label that holds
-    most rows does not meet in one task. Repeated ids rank side by side.
+def bounded_sample(rows: DataFrame, label: str, per_label: int, keys: tuple[str, ...], salt: int = 0) -> list[Row]:
+    """At most per_label rows of each label, those with the smallest hash of their keys, in order of that hash.
+
+    Labels are counted first; each is then thinned by hash to about twice its share while it is read, so that no
+    row is shuffled and a label with most rows costs no more than others. Of what is left, a top-k by hash goes to
+    the driver: ``labels * (3 * per_label + 300)`` rows at most, also where many rows have equal keys.
     """
-    h = F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(1 << 40))
-    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.least(F.lit(1.0), (2.0 * per_label + 200) / F.col("_n"))
-    thin = rows.withColumn("_hash", h).join(counts, F.col(label) == F.col("_label")).where(F.col("_hash") < share * float(1 << 40))
-    ranked = thin.withColumn("_rank", F.row_number().over(W.partitionBy("_label").orderBy("_hash", id_col)))
-    return ranked.where(F.col("_rank") <= per_label).drop("_hash", "_label", "_n", "_rank")
+    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(salt)), F.lit(WHOLE))
+    counts = {r[0]: r[1] for r in rows.where(F.col(label).isNotNull()).groupBy(label).count().toLocalIterator()}
+    if not counts:
+        return []
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, (2.0 * per_label + 200) / n) * WHOLE))])
+    thin = rows.withColumn("_hash", h).where(F.col("_hash") < F.element_at(share, F.col(label)))
+    found = thin.orderBy("_hash", *keys).limit(len(counts) * (3 * per_label + 300)).collect()
+    taken, out = dict.fromkeys(counts, 0), []
+    for r in found:
+        if taken[r[label]] < per_label:
+            taken[r[label]] += 1
+            out.append(r)
+    return out

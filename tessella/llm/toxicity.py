@@ -8,13 +8,16 @@ largest value of each filter in the whole text is kept, and a logistic layer tur
 score is calibrated on labelled rows that training did not see, so that 0.3 is the dividing line; a
 threshold for each language is fitted on the same rows and serves ``flagged`` only, never the score.
 
-Training uses a bounded sample (``PER_LABEL`` rows of each label, chosen by hash) on the driver; buckets in
-fewer than ``MIN_DOCS`` of its texts share the zero embedding, so what is sent to the executors is bounded by
-the sample. Scoring is one map over whole texts without a shuffle.
+Training uses a bounded sample on the driver: ``PER_LABEL`` labelled ids of each label, chosen by hash from the
+labels alone, and then their texts, whatever their length; no text is shuffled. Buckets in fewer than ``MIN_DOCS``
+of its texts share the zero embedding, so what is sent to the executors is bounded by the sample. Scoring is one
+map over whole texts without a shuffle.
 
 Defined cases: null and empty texts have no words, so every filter is 0 and they get the score of that;
-null labels are not learned; without both labels every score is the share of label 1 (0 without labels);
-repeated rows give repeated rows; other columns pass untouched.
+null labels, labels other than 0 and 1, and labels of null ids are not learned; an id that is labelled twice, or
+stands in several rows, is learned with each label and each text; equal hashes are ordered by id; without both
+labels every score is the share of label 1 (0 without labels); repeated rows give repeated rows; other columns
+pass untouched.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, table
+from .common import crc_mod, lean, table
 from .sampling import bounded_sample
 
 BUCKETS = 1 << 22
@@ -36,7 +39,7 @@ DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 #: Lengths of the prefixes; the last goes with the word's length (up to LONGEST) as well.
 PREFIXES, LONGEST = (4, 6), 12
 PARTS = 2 + len(PREFIXES)
-PER_LABEL, SAMPLE_CHARS, MIN_DOCS = 1500, 50_000, 3
+PER_LABEL, MIN_DOCS = 1500, 3
 EPOCHS, STEPS, BATCH, RATE, SEED = 8, 400, 32, 0.01, 5
 LIMIT = 0.3
 STEP_WORDS = 60_000
@@ -209,13 +212,19 @@ class TextCNN:
                 self.thresholds[lang] = float(1 / (1 + np.exp(-np.clip(self.scale * best_cut(z[own], y[own]) + self.shift, -30, 30))))
 
 
-def learn(rows: DataFrame, text_col="text", label_col="toxic", lang_col="lang", id_col="doc_id", per_label: int = PER_LABEL) -> TextCNN:
-    """A classifier fitted on a bounded sample of rows (of labels 0 and 1)."""
-    slim = rows.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(label_col).cast("int").alias("_y"), F.col(lang_col).alias("_lang")
-    )
-    found = sorted(bounded_sample(slim, "_y", per_label, "_id").toLocalIterator(), key=lambda r: (r["_id"] is None, r["_id"] or 0, r["_text"]))
-    return fit_rows([r["_text"] for r in found], np.array([r["_y"] for r in found], float), [r["_lang"] for r in found])
+def learn(docs: DataFrame, labels: DataFrame, text_col="text", label_col="toxic", lang_col="lang", id_col="doc_id", per_label: int = PER_LABEL) -> TextCNN:
+    """A classifier fitted on the texts of a bounded sample of labels (id_col, label_col)."""
+    slim = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
+    known: dict = {}
+    for r in bounded_sample(slim, "_y", per_label, ("_id",)):
+        known.setdefault(r["_id"], []).append(r["_y"])
+    if not known:
+        return fit_rows([], np.zeros(0), [])
+    # 2 * per_label ids at most: a set in the scan's filter
+    texts = docs.where(F.col(id_col).isin(list(known)) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
+    found = texts.orderBy(F.xxhash64("_id", "_text"), "_id", "_text").limit(6 * per_label).collect()
+    rows = [(r, y) for r in sorted(found, key=lambda r: (r["_id"], r["_text"])) for y in known[r["_id"]]]
+    return fit_rows([r["_text"] for r, _ in rows], np.array([y for _, y in rows], float), [r["_lang"] for r, _ in rows])
 
 
 def fit_rows(texts: list[str], labels: np.ndarray, langs: list[str | None]) -> TextCNN:
@@ -266,7 +275,7 @@ def classify(docs: DataFrame, model: TextCNN, text_col: str = "text") -> DataFra
             out.append(m.score(step))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def flag(scored: DataFrame, model: TextCNN, lang_col: str, limit: float = LIMIT) -> DataFrame:
@@ -279,8 +288,6 @@ def flag(scored: DataFrame, model: TextCNN, lang_col: str, limit: float = LIMIT)
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
-    learnable = labels.where(~held_out & F.col("toxic").isNotNull()).select(F.col("doc_id").alias("_doc"), "toxic")
-    rows = docs.where(~held_out).join(learnable, F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "lang", "toxic")
-    model = learn(rows)
+    model = learn(docs.where(~held_out), labels.where(~held_out))
     scored = flag(classify(docs.select("doc_id", "text", "lang"), model), model, "lang")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"), "lang_threshold", "flagged")
