@@ -31,7 +31,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, shuffle_partitions, table, words_of
+from .common import lean, shuffle_partitions, stored, table, words_of
 from .components import components
 from .suffixes import Hashes, mixed, prefix_hashes
 
@@ -114,7 +114,7 @@ def signatures(keyed: DataFrame) -> DataFrame:
                 out.extend(new)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_key"), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["_id", "_key", "sig", "bands"])
 
-    return keyed.mapInArrow(run, "_id long, _key binary, sig binary, bands array<long>")
+    return keyed.mapInArrow(lean(run), "_id long, _key binary, sig binary, bands array<long>")
 
 
 def agreement(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -133,7 +133,7 @@ def _likely(pairs: DataFrame, floor: float) -> DataFrame:
             keep = pa.array(agreement(batch.column("sa"), batch.column("sb")) >= floor)
             yield batch.select(["a", "b"]).filter(keep)
 
-    return pairs.mapInArrow(run, "a binary, b binary")
+    return pairs.mapInArrow(lean(run), "a binary, b binary")
 
 
 def _packed(h: np.ndarray) -> bytes:
@@ -158,7 +158,7 @@ def shingle_sets(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [_packed(shingles(words_of(t.as_py()), hashes)) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sets, pa.binary())], names=["_key", "set"])
 
-    return one.mapInArrow(run, "_key binary, set binary")
+    return one.mapInArrow(lean(run), "_key binary, set binary")
 
 
 def long_signatures(sets: DataFrame, registers: int = LONG) -> DataFrame:
@@ -173,7 +173,7 @@ def long_signatures(sets: DataFrame, registers: int = LONG) -> DataFrame:
                 sig.append((made[0] & np.uint64(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sig, pa.binary())], names=["_key", "sig"])
 
-    return sets.mapInArrow(run, "_key binary, sig binary")
+    return sets.mapInArrow(lean(run), "_key binary, sig binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -194,7 +194,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     joined = pairs.join(sets.select(F.col("_key").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("_key").alias("b"), F.col("set").alias("sb")), "b")
-    return joined.select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(lean(compare), "a binary, b binary")
 
 
 def _across(part: pa.Table, floor: float, nearest: bool) -> pa.Table:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 K = 5
 PIVOTS = 24
@@ -153,7 +153,7 @@ def _pass(candidates: DataFrame, shared, dim: int, k: int, scale: float) -> Data
         flat = [p for mine in kept for p in mine]
         yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array([-p[1] for p in flat], pa.int64()), pa.array([p[0] for p in flat], pa.int64())], names=["query_id", "vec_id", "score"])
 
-    return candidates.mapInArrow(run, "query_id long, vec_id long, score long")
+    return candidates.mapInArrow(lean(run), "query_id long, vec_id long, score long")
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
