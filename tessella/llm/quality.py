@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, let, table, word_array
+from .common import WS_CHARS, let, stored, table, word_array
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -102,7 +102,7 @@ def host_verdicts(measured: DataFrame, host: str, limit: float = HOST_LIMIT) ->
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row for each document: carried columns, measures, base_failed, host_failed and kept."""
     slim = docs.select(*[F.col(c) for c in carry], F.col(host_col).alias("_h"), F.col(text_col).alias("_text"))
-    measured = measures(slim, "_text").drop("_text")
+    measured = stored(measures(slim, "_text").drop("_text"))  # texts are measured once; the slim table is read twice
     hosts = host_verdicts(measured, "_h")
     joined = measured.join(hosts, F.col("_h").eqNullSafe(F.col("_host")), "left").drop("_host", "_h")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False)))
