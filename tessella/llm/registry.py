@@ -11,9 +11,10 @@ QUERIES = {
     "op4_substrings": suffixes.op4_substrings,
     "op5_mix": mixing.op5_mix,
     "op6_pii": pii.op6_pii,
+    "pii_base_spans": pii.pii_base_spans,
     "op7_packing": packing.op7_packing,
     "op8_neardup": neardup.op8_neardup,
     "op9_host_quality": quality.op9_host_quality,
     "op10_langid": langid.op10_langid,
 }
-SQL = {"op2_topk": search.OP2_SQL, "op5_mix": mixing.OP5_SQL, "op9_host_quality": quality.OP9_SQL}
+SQL = {"op2_topk": search.OP2_SQL, "op5_mix": mixing.OP5_SQL, "pii_base_spans": pii.BASE_SQL, "op9_host_quality": quality.OP9_SQL}

@@ -160,3 +160,9 @@ def top_k(rows, k=5, every=50):
     """{query: [(vec_id, score)]}; rows are (vec_id, vector)."""
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     return {q: sorted(((i, sum(a * b for a, b in zip(v, w))) for i, w in good if i != q), key=lambda p: (-p[1], p[0]))[:k] for q, v in good if q % every == 0}
+
+
+def pii_row(text):
+    """(n_email, n_ip, n_card, n_phone, base_sha256, base spans)"""
+    counts, spans, digest = pii_base(text)
+    return (*(counts[k] for k in ("email", "ip", "card", "phone")), digest, spans)

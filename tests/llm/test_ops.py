@@ -150,7 +150,13 @@ def test_pii(spark, sf_dir, docs, hostile, empty):
         for r in df.select("text", *[c.alias(k) for k, c in columns.items()]).collect():
             want = brute.pii_base(r["text"])[1]
             assert [f"{x['kind']}:{x['start']}:{x['end']}" for k in pii.KINDS for x in r[k]] == want
-    assert all(r["base_sha256"] and r["n_email"] >= 0 for r in rows_of(spark, sf_dir, "op6_pii"))
+    text = dict(pairs_of(docs))
+    for r in rows_of(spark, sf_dir, "op6_pii"):
+        *want, spans = brute.pii_row(text[r["doc_id"]])
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]] == want
+        found = [x.split(":") for x in r["spans"].split(",") if x]
+        assert found == sorted(found, key=lambda x: (pii.ALL_KINDS.index(x[0]), int(x[1]))) and r["n_spans"] == len(found)
+        assert {*spans} <= {":".join(x) for x in found} and all(text[r["doc_id"]][int(a) : int(b)] for _, a, b in found)
     clean = {r["doc_id"]: r for r in pii.redact(hostile.withColumn("_base", F.lit("kept")), "text", "n_chars").collect()}
     assert clean[12]["text"] == "mail [EMAIL]_b@y.org now [IP].[IP] or [CARD] call [PHONE]".replace("[EMAIL]_b@y.org", "[EMAIL][EMAIL]") and clean[12]["_base"] == "kept" and clean[0]["text"] is None
     assert pii.redact(empty).count() == 0
@@ -163,6 +169,40 @@ def test_long_secrets_go_as_a_whole(spark):
     assert long[-40:] not in pii.redact(df).collect()[0]["text"]
 
 
+def test_base_spans_of_made_up_texts(spark):
+    """Zero octets, leading zeros, long runs and many spans, and the secrets that the keyword before them gives away."""
+    r = np.random.default_rng(8)
+    octet = lambda: ["0", "00", "000255", "256", "10", "192", "1", "255", "0000000000000000000000"][r.integers(9)]
+    some = lambda: [".".join(octet() for _ in range(r.integers(3, 10))), f"u{r.integers(99)}.@x-{r.integers(9)}.de.", "".join(str(r.integers(10)) for _ in range(r.integers(8, 22))), f"+{r.integers(1, 99)} ({r.integers(999)}) {r.integers(10**7)}", "@", "+1", "x"][r.integers(7)]
+    texts = [["", " ", "\n"][k % 3].join(some() for _ in range(40)) for k in range(120)]
+    texts += [" ".join(f"10.0.{i % 256}.{i // 256}" for i in range(3000)), "7" * 30_000, "10.0.0.1", "a.b-" * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    columns = pii.base_spans(F.coalesce("text", F.lit("")))
+    for row in df.select("text", *[c.alias(k) for k, c in columns.items()]).collect():
+        assert [f"{x['kind']}:{x['start']}:{x['end']}" for k in pii.KINDS for x in row[k]] == brute.pii_base(row["text"])[1]
+    key = "a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5P6q7R8s9T0u1"
+    forms = [f"api_key={key} x", f"api_key: {key} x", f"token: {key * 8} x", f"token: {''.join(map(chr, 97 + r.integers(26, size=70)))}1bbbbefghijklmnopqr x", f'secret="{key}" x']
+    for row in pii.redact(spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")).collect():
+        assert "[SECRET]" in row["text"] and key[:12] not in row["text"] and "bbbb" not in row["text"]
+
+
+def brute_redacted(text, spans):
+    out, at = "", 0
+    for start, end, kind in sorted(spans):
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_replaces_the_spans(spark, docs):
+    many = docs.select("doc_id", "text").union(spark.createDataFrame([(10**6, " ".join(f"user{i}@x.com token={i}a1B2c3D4e5F6g7H8i9J0k1 10.0.0.{i % 256}" for i in range(500)))], "doc_id long, text string"))
+    spans = {r["doc_id"]: [(x["start"], x["end"], x["kind"]) for k in pii.KINDS for x in r["_base"][k]] + [(x["start"], x["end"], x["kind"]) for x in r["_extra"]] for r in pii.detect(many).collect()}
+    text = dict(pairs_of(many))
+    assert len(spans[10**6]) >= 1500
+    assert {r["doc_id"]: r["text"] for r in pii.redact(many).collect()} == {i: t and brute_redacted(t, spans[i]) for i, t in text.items()}
+
+
 def test_pii_trees_agree_with_their_columns(spark):
     trees, _ = pii.fitted()
     x, y = pii.generated_sample(240, 99)
@@ -205,6 +245,27 @@ def test_packing(spark, sf_dir, docs, hostile, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_loss_limit_of_instruction_data(spark):
+    """Answers alone bear loss; their limit binds in every full sequence, and every token lies in one piece."""
+    rows = [(i, "Explain the thing. " * (i % 7), "It is so. " * (i % 40) if i % 9 else None) for i in range(300)] + [(300, "", "long answer " * 3000), (301, "long prompt " * 3000, "yes")]
+    df = spark.createDataFrame(rows, "doc_id long, prompt string, reply string").repartition(2)
+    got = packing.pack(df, text_col="prompt", answer_col="reply", loss=600, with_ids=True).collect()
+    from tokenizers import Tokenizer
+
+    encode = lambda t: Tokenizer.from_file(packing.tokenizer_path()).encode(t or "", add_special_tokens=False).ids
+    tokens = {i: (encode(p), [*encode(a), 1]) for i, p, a in rows}
+    bins, pieces = defaultdict(list), defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append(r)
+        pieces[r["doc_id"]].append(r)
+        free = len(tokens[r["doc_id"]][0])
+        assert r["loss_tokens"] == max(0, r["start"] + r["length"] - max(r["start"], free))
+    for i, (prompt, answer) in tokens.items():
+        assert [x for r in sorted(pieces[i], key=lambda r: r["start"]) for x in r["ids"]] == prompt + answer
+    loss = [sum(r["loss_tokens"] for r in own) for own in bins.values()]
+    assert max(loss) == 600 and all(sum(r["length"] for r in own) <= 2048 for own in bins.values())
+
+
 def test_packer_limits():
     packer = packing.Packer(length=64, segments=3, loss=40, waiting=8, cut=False)
     r = np.random.default_rng(1)
