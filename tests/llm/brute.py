@@ -56,13 +56,26 @@ def substrings(docs, window=13):
 
 
 def shingles(text, size=5):
+    """Counter of a text's shingles."""
     w = words(text)
     k = min(size, len(w))
-    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+    return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else Counter()
+
+
+def probability_jaccard(x, y):
+    """Of two weightings, by its definition: sum_i 1 / sum_j max(x_j / x_i, y_j / y_i)."""
+    every = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in x.keys() & y.keys())
+
+
+def similar(x, y):
+    """The larger of the probability Jaccard by counts and that of even weights, which is the Jaccard of the sets."""
+    even = len(x.keys() & y.keys()) / len(x.keys() | y.keys())
+    return max(even, probability_jaccard(x, y)) if max(*x.values(), *y.values()) > 1 else even
 
 
 def near_classes(docs, threshold=0.8):
-    """[class id of each row], by all pairs; wordless rows are alone."""
+    """[class id of each row], by all pairs that share a shingle; wordless rows are alone."""
     sets = [shingles(t) for _, t in docs]
     parent = list(range(len(docs)))
 
@@ -85,7 +98,7 @@ def near_classes(docs, threshold=0.8):
                     continue
                 seen.add(pair)
                 x, y = sets[pair[0]], sets[pair[1]]
-                if min(len(x), len(y)) >= threshold * max(len(x), len(y)) and len(x & y) >= threshold * len(x | y) - 1e-9:
+                if x == y or similar(x, y) >= threshold - 1e-9:
                     parent[root(pair[0])] = root(pair[1])
     least = {}
     for i, (d, _) in enumerate(docs):

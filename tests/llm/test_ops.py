@@ -299,7 +299,7 @@ def test_chains_of_near_copies(spark):
 
 
 def test_near_copies_that_repeat_a_passage(spark):
-    """A link counts distinct shingles: how often a copy repeats a passage does not hide it."""
+    """By even weights they are near: how often a copy repeats a passage does not hide it."""
     texts = []
     for k in range(12):
         base = [f"p{k}x{i}" for i in range(200)]
@@ -310,6 +310,39 @@ def test_near_copies_that_repeat_a_passage(spark):
     assert {r["_id"]: r["class"] for r in neardup.classes(df)[0].collect()} == want
 
 
+def test_probability_jaccard():
+    """The verified similarity against its definition, and registers agree as often as it says."""
+    r = np.random.default_rng(4)
+    for _ in range(30):
+        x, y = (Counter({int(k): int(n) for k, n in zip(r.choice(40, 25, replace=False), r.integers(1, 6, 25))}) for _ in range(2))
+        sets = [(np.array(sorted(c), np.uint64), np.array([c[k] for k in sorted(c)], np.int64)) for c in (x, y)]
+        assert math.isclose(neardup.similarity(*sets), brute.similar(x, y))
+    hashed = [(h[np.argsort(h)], n[np.argsort(h)]) for h, n in ((neardup.mixed(h), n) for h, n in sets)]
+    own, even = neardup._signed(hashed, 20_000)
+    assert abs((own[0] == own[1]).mean() - brute.probability_jaccard(x, y)) < 0.02
+    assert abs((even[0] == even[1]).mean() - len(x.keys() & y.keys()) / len(x.keys() | y.keys())) < 0.02
+
+
+def test_weights_link_as_well(spark):
+    """Texts that agree in what they repeat are near by their weights, though their sets differ."""
+    texts = []
+    for k in range(10):
+        passage = " ".join(f"r{k}x{i}" for i in range(30))
+        texts += [" ".join([passage] * 20 + [f"{side}{k}x{i}" for i in range(30)]) for side in "ab"]
+    want = dict(enumerate(brute.near_classes(list(enumerate(texts)))))
+    assert set(want.values()) == set(range(0, 20, 2))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["_id"]: r["class"] for r in neardup.classes(df)[0].collect()} == want
+
+
+def test_keep_one_keeps_texts_apart_that_share_an_id(spark):
+    a, c = " ".join(f"a{i}" for i in range(60)), " ".join(f"c{i}" for i in range(60))
+    rows = [(5, a, "x"), (5, c, "y"), (3, c + " tail", "z"), (None, a + " more", "n"), (None, "alone without id", "n"), (None, "alone without id", "m"), (8, "", "e"), (8, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"], r["source"]) for r in neardup.keep_one(df).collect()), key=repr)
+    assert kept == sorted([(5, a, "x"), (3, c + " tail", "z"), (None, "alone without id", "m"), (8, "", "e"), (8, "", "e")], key=repr)
+
+
 def test_quality(spark, sf_dir, docs, hostile, empty):
     for df in (docs, hostile):
         got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in quality.judge(df).collect())
