@@ -11,14 +11,18 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..functions import windows as C
 from .dedup import first_wins
+from .shared import stored
 
-RIGHTS = "user_asserted_authorized"
+# Fixed value.
+RIGHTS = "unknown_review_required"
 
 
 def with_first_copy(docs: DataFrame, key: str, order: str) -> DataFrame:
     """duplicate_of: the earliest document with the same content, null for that one itself."""
-    first = F.min(order).over(W.partitionBy(key))
-    return docs.withColumn("duplicate_of", F.when(F.col(order) != first, first))
+    slim = docs.select(key, order)
+    firsts = slim.groupBy(key).agg(F.min(order).alias("duplicate_of"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    later = slim.join(firsts, key).where(F.col(order) != F.col("duplicate_of")).select(order, "duplicate_of")
+    return docs.join(later, order, "left")
 
 
 def windows(docs: DataFrame, size: int = C.RAG_CHARS, overlap: int = C.RAG_OVERLAP) -> DataFrame:
@@ -31,10 +35,16 @@ def judged_windows(wins: DataFrame, domain: str) -> DataFrame:
 
     Quality comes first; among the good ones the first by document and window wins, over all documents of a domain.
     """
-    scored = wins.withColumn("quality", R.chunk_quality(F.col("chunk_text"))).withColumn("content_sha256", F.sha2(T.canonical_text(F.col("chunk_text")), 256))
-    same = W.partitionBy("content_sha256", F.col("quality.keep")).orderBy("document_id", "win_pos")
-    status = F.when(~F.col("quality.keep"), "rejected_quality").when(F.row_number().over(same) > 1, "rejected_duplicate").otherwise("indexed")
-    return scored.withColumn("status", status).withColumn("domain", F.lit(domain))
+    # cut and judged once, in a table: firsts are then found on keys alone, and every later step reads the table
+    scored = stored(wins.withColumn("quality", R.chunk_quality(F.col("chunk_text"))).withColumn("content_sha256", F.sha2(T.canonical_text(F.col("chunk_text")), 256)))
+    place = F.struct("document_id", "win_pos")
+    firsts = scored.where("quality.keep").groupBy("content_sha256").agg(F.min(place).alias("f")).select("f.document_id", "f.win_pos", F.lit(True).alias("_first"))
+    status = F.when(~F.col("quality.keep"), "rejected_quality").when(F.col("_first").isNull(), "rejected_duplicate").otherwise("indexed")
+    return scored.join(firsts, ["document_id", "win_pos"], "left").withColumn("status", status).withColumn("domain", F.lit(domain)).drop("_first")
+
+
+#: Where a chunk comes from, in builds from files.
+PROVENANCE = ("section", "page_start", "page_end", "extraction_method", "source_sha256", "rights_status")
 
 
 def chunks(judged: DataFrame) -> DataFrame:
@@ -43,10 +53,10 @@ def chunks(judged: DataFrame) -> DataFrame:
     kept = judged.where("status = 'indexed'").withColumn("chunk_index", F.row_number().over(w) - 1)
     text = F.col("chunk_text")
     return kept.select(
-        F.sha2(F.concat_ws(":", "domain", "source_sha256", F.col("chunk_index").cast("string"), "content_sha256"), 256).alias("chunk_uid"),
+        F.concat(F.lit("sha256:"), F.sha2(F.concat_ws(":", "domain", "source_sha256", F.col("chunk_index").cast("string"), "content_sha256"), 256)).alias("chunk_uid"),
         "document_id", "chunk_index", "category", "title", text.alias("text"), "content_sha256",
         F.length(text).alias("char_count"), F.col("quality.words").alias("word_count"), T.token_estimate(text).alias("token_estimate"),
-        F.bround(F.col("quality.score"), 4).alias("quality_score"),
+        F.bround(F.col("quality.score"), 4).alias("quality_score"), *[c for c in PROVENANCE if c in judged.columns and "section" in judged.columns],
     )
 
 
@@ -120,7 +130,7 @@ def bm25_search(chunk_table: DataFrame, query: str, k: int = 10, id_col: str = "
     df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    return hits.join(F.broadcast(df), "term").crossJoin(F.broadcast(whole)).groupBy("id").agg(F.bround(F.sum(weight), 6).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+    return hits.join(F.broadcast(df), "term").crossJoin(F.broadcast(whole)).groupBy("id").agg(F.bround(F.sum(weight.cast("decimal(28,12)")), 6).cast("double").alias("score")).orderBy(F.desc("score"), "id").limit(k)
 
 
 def register(spark: SparkSession) -> None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,11 +9,14 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import rules as R
 from ..functions import text as T
+from .dedup import first_wins
+from .shared import stored
 
 # The limits of the export.
 MIN_QUALITY, MIN_CHARS, MIN_WORDS, CAP = 0.80, 400, 50, 600
 ANCHOR, TAIL = 80, 600
 CONTEXT, ANSWER, AROUND = 140, 220, 240
+ENDS = r"(?:\n\n|[.?!:]\x20)"
 
 
 def evenly_spaced(chunks: DataFrame, group: str, order: str, limit: int) -> DataFrame:
@@ -71,46 +72,43 @@ def judged(chunks: DataFrame, title: str = "title", domain: str = "domain", min_
     good = chunks.where(F.col("quality_score") >= min_quality).withColumn("_doc", R.document_rejection(F.col(domain), F.coalesce(F.col(title), F.lit(""))))
     picked = trimmed(evenly_spaced(good.where("_doc is null"), "document_id", "chunk_index", cap))
     reason = T.let(F.col("trimmed"), lambda t: R.training_rejection(t, min_chars, min_words))
-    told = picked.withColumn("reason", reason).withColumn("content_key", F.sha2(T.canonical_text(F.col("trimmed")), 256)).withColumn("title_key", T.canonical_text(F.coalesce(F.col(title), F.lit(""))))
-    passed, failed = told.where("reason is null"), told.where("reason is not null")
-    rejected_documents = good.where("_doc is not null").withColumns({"overlap_removed": F.lit(0), "trimmed": F.col("text"), "reason": F.col("_doc"), "content_key": F.lit(None).cast("string"), "title_key": T.canonical_text(F.coalesce(F.col(title), F.lit("")))})
-    return decided(passed, cap).unionByName(failed).unionByName(rejected_documents).drop("_doc")
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/tessella-checkpoints'}/tessella-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    keys = {"content_key": F.sha2(T.canonical_text(F.col("trimmed")), 256), "title_key": T.canonical_text(F.coalesce(F.col(title), F.lit("")))}
+    told = stored(picked.withColumn("reason", reason).withColumns(keys).drop("_doc"))
+    late = decided(told.where("reason is null").select("content_key", "title_key", "document_id", "chunk_index"), cap).where("reason is not null")
+    told = told.join(late.select("document_id", "chunk_index", F.col("reason").alias("_late")), ["document_id", "chunk_index"], "left").withColumn("reason", F.coalesce("reason", "_late")).drop("_late")
+    of_documents = {"overlap_removed": F.lit(0), "trimmed": F.col("text"), "reason": F.col("_doc"), "content_key": F.lit(None).cast("string"), "title_key": keys["title_key"]}
+    return told.unionByName(good.where("_doc is not null").withColumns(of_documents).drop("_doc"))
 
 
 def decided(passed: DataFrame, cap: int) -> DataFrame:
     """duplicate and title_cap reasons among rows that pass otherwise, in the order of document and chunk.
 
-    Round by round: of each content the earliest undecided row is written unless its title is full by then. Rows of
-    a title that can never reach the cap are settled in the first round, so one round is enough unless caps bind.
+    passed needs no more than content_key, title_key, document_id and chunk_index. Round by round: of each content the
+    earliest undecided row is written unless its title is full by then. A capped row passes its turn to the next copy,
+    in another title. Titles with fewer rows than the cap are never ranked, so one round is enough unless caps bind.
     """
-    order = [F.col("document_id"), F.col("chunk_index")]
-    copies = W.partitionBy("content_key").orderBy(*order)
-    titles = W.partitionBy("title_key").orderBy(*order)
-    open_rows = passed.withColumn("_copy", F.row_number().over(copies))
-    first = open_rows.where("_copy = 1").withColumn("_written", F.row_number().over(titles))
-    if first.where(F.col("_written") > cap).isEmpty():
-        return open_rows.withColumn("reason", F.when(F.col("_copy") > 1, "duplicate")).drop("_copy")
-    # caps bind: a capped first copy passes its turn to the next copy, in another title
-    slim = _stored(passed.select("content_key", "title_key", "document_id", "chunk_index"))
-    out, seen = slim.limit(0).select("document_id", "chunk_index"), slim.limit(0).select("document_id", "chunk_index")
+    keys = ["document_id", "chunk_index"]
+    place = F.struct(*keys)
+    titles = W.partitionBy("title_key").orderBy(*keys)
+    slim = stored(passed.select("content_key", "title_key", *keys))
+    large = stored(slim.groupBy("title_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cap).select("title_key"))
+    if large.isEmpty():
+        first = first_wins(slim, ["content_key"], keys).select(*keys, F.lit(True).alias("_w"))
+        return passed.drop("reason").join(first, keys, "left").withColumn("reason", F.when(F.col("_w").isNull(), "duplicate")).drop("_w")
+    rest, written, capped = slim, slim.limit(0), slim.limit(0).select(*keys)
     while True:
-        rest = slim.join(seen, ["document_id", "chunk_index"], "left_anti")
-        heads = rest.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
-        ranked = heads.withColumn("_written", F.row_number().over(titles))
-        capped = _stored(ranked.where(F.col("_written") > cap).select("document_id", "chunk_index"))
-        out, seen = _stored(ranked.where(F.col("_written") <= cap).select("document_id", "chunk_index")), _stored(seen.union(capped))
-        if capped.isEmpty():
+        heads = rest.groupBy("content_key").agg(F.min_by("title_key", place).alias("title_key"), F.min(place).alias("_p")).select("content_key", "title_key", "_p.*")
+        ranked = heads.join(large, "title_key", "left_semi").withColumn("_written", F.row_number().over(titles))
+        over = stored(ranked.where(F.col("_written") > cap).select(*keys))
+        # what stands before a title's first capped row is final; a freed place is taken by a later copy in the next round
+        written = stored(heads.join(over, keys, "left_anti").select(*slim.columns))
+        if over.isEmpty():
             break
-    mark = out.withColumn("_w", F.lit(True)).unionByName(seen.withColumn("_w", F.lit(False)))
-    told = passed.join(mark, ["document_id", "chunk_index"], "left")
-    return told.withColumn("reason", F.when(F.col("_w").isNull(), "duplicate").when(~F.col("_w"), "title_cap")).drop("_w")
+        capped = stored(capped.union(over))
+        rest = slim.join(capped, keys, "left_anti")
+    mark = written.select(*keys, F.lit(True).alias("_w")).unionByName(capped.withColumn("_w", F.lit(False)))
+    out = passed.drop("reason").join(mark, keys, "left")
+    return out.withColumn("reason", F.when(F.col("_w").isNull(), "duplicate").when(~F.col("_w"), "title_cap")).drop("_w")
 
 
 def report(rows: DataFrame) -> DataFrame:
@@ -143,14 +141,16 @@ def _split_point(c: Column) -> Column:
     target = F.least(upper, F.greatest(F.lit(CONTEXT), F.bround(n * F.lit(0.30)).cast("int")))
     low, high = F.greatest(F.lit(CONTEXT), target - AROUND), F.least(upper, target + AROUND)
 
-    def ends(mark: str) -> Column:
-        k = len(mark)
-        here = F.filter(F.sequence(low, high - k), lambda i: F.substr(c, i + 1, F.lit(k)) == mark)
-        return F.when(high - k < low, F.array().cast("array<int>")).otherwise(F.transform(here, lambda i: i + k))
+    # only the characters around the mark are looked at: the last end before it, and the first after it
+    def nearest(x: Column) -> Column:
+        start = F.greatest(x["low"], x["target"] - 1)
+        before = F.length(F.regexp_extract(F.substr(c, x["low"] + 1, x["target"] - x["low"]), rf"(?s)^.*{ENDS}", 0))
+        after = F.length(F.regexp_extract(F.substr(c, start + 1, x["high"] - start), rf"(?s)^.*?{ENDS}", 0))
+        choice = F.array(F.when(before > 0, x["low"] + before), F.when(after > 0, start + after))
+        return F.array_min(F.transform(F.array_compact(choice), lambda e: F.struct(F.abs(e - x["target"]).alias("far"), e.alias("at"))))["at"]
 
-    every = F.concat(*[ends(m) for m in ("\n\n", ". ", "? ", "! ", ": ")])
-    best = F.array_min(F.transform(every, lambda e: F.struct(F.abs(e - target).alias("far"), e.alias("at"))))
-    return F.when(upper > CONTEXT, F.coalesce(best["at"], target))
+    best = T.let(F.struct(low.alias("low"), target.alias("target"), high.alias("high")), nearest)
+    return F.when(upper > CONTEXT, F.coalesce(best, target))
 
 
 def chat_records(records: DataFrame, text: str = "trimmed") -> DataFrame:

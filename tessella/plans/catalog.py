@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_repair, patterns as P
@@ -18,6 +18,14 @@ DOMAIN = "finance"
 QUERIES: dict = {}
 
 
+def mean_of(column: str, places: int) -> Column:
+    """The mean of scores, each taken to 6 places, rounded half up; sums of whole numbers do not depend on their order."""
+    total = F.sum(F.bround(F.col(column) * 1_000_000).cast("long"))
+    unit = 10 ** (6 - places)
+    n = F.count(column)
+    return F.floor((total + F.expr(f"{unit // 2}L") * n) / (n * unit)).cast("double") / 10**places
+
+
 def query(f):
     QUERIES[f.__name__] = f
     return f
@@ -46,7 +54,7 @@ def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By source: chunks that survive quality and deduplication, their tokens and mean quality."""
     return chunk_table(spark, sf_dir).groupBy(F.col("title").alias("source")).agg(
-        F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"), F.bround(F.avg("quality_score"), 3).alias("mean_quality")
+        F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"), mean_of("quality_score", 3).alias("mean_quality")
     )
 
 
@@ -223,7 +231,7 @@ def path_rules(spark, sf_dir):
 def label_join_quality(spark, sf_dir):
     d = documents(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
     q = d.select("quality", R.chunk_quality(T.clean_text(F.col("text"))).alias("q"))
-    return q.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.count_if("q.keep").alias("kept"), F.bround(F.avg("q.score"), 4).alias("mean_score"))
+    return q.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.count_if("q.keep").alias("kept"), mean_of("q.score", 4).alias("mean_score"))
 
 
 # --- training records --------------------------------------------------------------------------------------------
@@ -496,8 +504,8 @@ def parser_score(spark, sf_dir):
 def parser_summary(spark, sf_dir):
     parsers = spark.createDataFrame([("native",), ("layout",)], "parser string")
     scored = scoring.on_every_parser(scoring.scored(_cases(spark, sf_dir)), parsers).withColumns({"status": F.lit("success"), "elapsed_seconds": F.lit(0.5)})
-    out = scoring.summary(scored)
-    return out.withColumn("mean_score", F.bround("mean_score", 4))
+    exact = scored.groupBy("parser").agg(mean_of("score", 4).alias("_exact"))
+    return scoring.summary(scored).join(F.broadcast(exact), "parser").withColumn("mean_score", F.col("_exact")).drop("_exact")
 
 
 @query

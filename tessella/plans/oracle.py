@@ -180,7 +180,7 @@ w AS (SELECT *, CASE WHEN NOT keep THEN 'rejected_quality' WHEN row_number() OVE
 c AS (SELECT w.document_id, o.category, o.title, o.source_sha256, piece AS text, content_sha256, words, round_even(score, 4) AS quality_score,
       CAST(row_number() OVER (PARTITION BY w.document_id ORDER BY win_pos) - 1 AS INTEGER) AS chunk_index FROM w JOIN o USING (document_id) WHERE status = 'indexed')"""
 WITH_RAG = f"WITH RECURSIVE {DOCS}, {RAG}"
-UID = f"sha256({q(DOMAIN)} || ':' || source_sha256 || ':' || chunk_index || ':' || content_sha256)"
+UID = f"'sha256:' || sha256({q(DOMAIN)} || ':' || source_sha256 || ':' || chunk_index || ':' || content_sha256)"
 
 RDOCS = f"""rd AS (SELECT r.document_id, 'sha256:' || source_sha256 || ':' || substr(sha256(coalesce(title, '')), 1, 12) AS document_uid, {q(DOMAIN)} AS domain, category, title, source_sha256,
   CASE WHEN duplicate_of IS NOT NULL THEN 'duplicate' WHEN text = '' THEN 'no_native_text' ELSE 'indexed' END AS extraction_status,
@@ -344,8 +344,14 @@ z AS (SELECT doc_id, pos, {body} AS p, b >= n AS last FROM cut WHERE n > 0)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS pos, CAST(length(p) AS INTEGER) AS chars, sha256(p) AS sha FROM z WHERE {where}"""
 
 
+def mean_of(x: str, places: int) -> str:
+    """The mean of scores, each taken to 6 places, rounded half up, in whole numbers."""
+    unit = 10 ** (6 - places)
+    return f"CAST((CAST(sum(CAST(round_even({x} * 1000000, 0) AS BIGINT)) AS BIGINT) + {unit // 2} * count({x})) // (count({x}) * {unit}) AS DOUBLE) / {10**places}"
+
+
 SQL: dict[str, str] = {
-    "chunks_by_source": f"{WITH_RAG} SELECT title AS source, count(*) AS chunks, CAST(sum(CAST(ceil(length(text) / 4.0) AS BIGINT)) AS BIGINT) AS tokens, round_even(avg(quality_score), 3) AS mean_quality FROM c GROUP BY title",
+    "chunks_by_source": f"{WITH_RAG} SELECT title AS source, count(*) AS chunks, CAST(sum(CAST(ceil(length(text) / 4.0) AS BIGINT)) AS BIGINT) AS tokens, {mean_of('quality_score', 3)} AS mean_quality FROM c GROUP BY title",
     "clean_text": f"WITH {DOCS} SELECT doc_id, {clean('text')} AS text FROM d",
     "canonical_hash": f"WITH {DOCS} SELECT doc_id, sha256({canon('text')}) AS sha FROM d",
     "words_ngrams": f"WITH {DOCS}, w AS (SELECT doc_id, {words('text')} AS w, {words('text', True)} AS topic FROM d) SELECT doc_id, len(w) AS n_words, len(topic) AS n_topic, len({grams('topic', 4)}) AS n_grams, sha256(coalesce(array_to_string(w, ' '), '')) AS sha FROM w",
@@ -366,10 +372,10 @@ SQL: dict[str, str] = {
     "rag_stats": f"{WITH_RAG}, {RDOCS} SELECT * FROM (SELECT count(*) AS documents_total, CAST(count_if(extraction_status = 'indexed') AS BIGINT) AS documents_indexed, CAST(count_if(extraction_status = 'duplicate') AS BIGINT) AS documents_duplicate, CAST(count_if(extraction_status = 'no_native_text') AS BIGINT) AS documents_no_native_text, CAST(sum(extracted_char_count) AS BIGINT) AS extracted_chars FROM rd), (SELECT CAST(count_if(status = 'indexed') AS BIGINT) AS chunks_indexed, CAST(count_if(status = 'rejected_quality') AS BIGINT) AS chunks_rejected_quality, CAST(count_if(status = 'rejected_duplicate') AS BIGINT) AS chunks_rejected_duplicate FROM w)",
     "rag_category_counts": f"{WITH_RAG} SELECT category, count(*) AS chunks FROM c GROUP BY category",
     "fts_terms": f"{WITH_RAG}, x AS (SELECT document_id, chunk_index, unnest({TERMS}) AS term FROM c) SELECT term, count(DISTINCT (document_id, chunk_index)) AS chunks, count(*) AS occurrences FROM x GROUP BY term",
-    "bm25_search": f"{WITH_RAG}, x AS (SELECT {UID} AS id, {TERMS} AS t FROM c), a AS (SELECT DISTINCT unnest({TERMS.replace('text', q(SEARCH))}) AS term), n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM x), h AS (SELECT id, term, len, count(*) AS tf FROM (SELECT id, len(t) AS len, unnest(t) AS term FROM x) JOIN a USING (term) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM h GROUP BY term) SELECT id, round_even(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score FROM h JOIN f USING (term), n GROUP BY id ORDER BY score DESC, id LIMIT 10",
+    "bm25_search": f"{WITH_RAG}, x AS (SELECT {UID} AS id, {TERMS} AS t FROM c), a AS (SELECT DISTINCT unnest({TERMS.replace('text', q(SEARCH))}) AS term), n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM x), h AS (SELECT id, term, len, count(*) AS tf FROM (SELECT id, len(t) AS len, unnest(t) AS term FROM x) JOIN a USING (term) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM h GROUP BY term) SELECT id, CAST(round_even(sum(CAST(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean)) AS DECIMAL(28, 12))), 6) AS DOUBLE) AS score FROM h JOIN f USING (term), n GROUP BY id ORDER BY score DESC, id LIMIT 10",
     "finance_category": f"SELECT p_partkey, {finance_stem('p_name')} AS category FROM part",
     "path_rules": f"WITH {DOCS}, z AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, {_fam} AS f FROM d) SELECT doc_id, CASE WHEN contains(path, '/') THEN upper(split_part(path, '/', 1)) ELSE 'CYBER' END AS category, CASE WHEN contains({fold('path')}, 'finance') THEN 'finance' WHEN contains({fold('path')}, 'cyber') THEN 'cyber' ELSE 'unknown' END AS domain, {FAMILY} AS family FROM z",
-    "label_join_quality": f"WITH {DOCS}, z AS (SELECT quality, {clean('text')} AS t FROM d JOIN labels USING (doc_id)), y AS (SELECT quality, {_dq['keep']} AS keep, {_dq['score']} AS score FROM z) SELECT quality, count(*) AS n, CAST(count_if(keep) AS BIGINT) AS kept, round_even(avg(score), 4) AS mean_score FROM y GROUP BY quality",
+    "label_join_quality": f"WITH {DOCS}, z AS (SELECT quality, {clean('text')} AS t FROM d JOIN labels USING (doc_id)), y AS (SELECT quality, {_dq['keep']} AS keep, {_dq['score']} AS score FROM z) SELECT quality, count(*) AS n, CAST(count_if(keep) AS BIGINT) AS kept, {mean_of('score', 4)} AS mean_score FROM y GROUP BY quality",
     "doc_reject": f"WITH {DOCS}, z AS (SELECT doc_id, {fold(_title)} AS t FROM d) SELECT doc_id, {first_of([('presentation_layout', chr(40) + 'contains(t, ' + q('powerpoint') + ') OR contains(t, ' + q('.ppt') + '))'), ('catalog_or_poster', 'contains(t, ' + q('catalog') + ') OR contains(t, ' + q('poster') + ')'), ('lab_setup_or_reference_card', 'contains(t, ' + q('lab setup') + ') OR contains(t, ' + q('quick find chart') + ')'), ('off_domain', 't IN (' + ', '.join(map(q, P.OFF_DOMAIN_TITLES)) + ')')], q('none'))} AS cyber, CASE WHEN contains(t, 'creature from jekyll island') THEN 'untrusted_source' ELSE 'none' END AS finance FROM z",
     "train_reject_reason": f"WITH {DOCS} SELECT doc_id, coalesce({training_reason('text')}, 'none') AS reason FROM d",
     "train_reject_hist": f"WITH {DOCS} SELECT coalesce({training_reason('text')}, 'none') AS reason, count(*) AS n FROM d GROUP BY 1",
@@ -403,7 +409,7 @@ SQL: dict[str, str] = {
     "json_pairs": f"WITH {TURNS} SELECT * FROM p WHERE question IS NOT NULL AND answer IS NOT NULL",
     "json_enrichment": f"WITH {TURNS} SELECT conv_id, turn, question AS input, answer AS output FROM p",
     "parser_score": f"WITH {SCORES} SELECT * FROM sc",
-    "parser_summary": f"WITH {SCORES} SELECT parser, count(*) AS cases, count(*) AS successes, round_even(avg(score), 4) AS mean_score, 0.5::DOUBLE AS mean_seconds FROM sc, (SELECT unnest(['native', 'layout']) AS parser) GROUP BY parser",
+    "parser_summary": f"WITH {SCORES} SELECT parser, count(*) AS cases, count(*) AS successes, {mean_of('score', 4)} AS mean_score, 0.5::DOUBLE AS mean_seconds FROM sc, (SELECT unnest(['native', 'layout']) AS parser) GROUP BY parser",
     "incremental_pending": f"WITH {DOCS} SELECT CAST(doc_id AS VARCHAR) AS source_id, sha256(text) AS source_sha256 FROM d WHERE doc_id % 2 <> 0 OR doc_id % 10 = 0",
     "run_summary": f"WITH {DOCS} SELECT count(*) AS documents_total, CAST(count_if(doc_id % 3 = 0) AS BIGINT) AS documents_success, CAST(count_if(doc_id % 3 = 1) AS BIGINT) AS documents_skipped, CAST(count_if(doc_id % 3 = 2) AS BIGINT) AS documents_failed, CAST(sum(CASE WHEN doc_id % 3 = 0 THEN length(text) ELSE 0 END) AS BIGINT) AS total_characters, CAST(2 * count_if(doc_id % 3 = 0) AS BIGINT) AS total_chunks FROM d",
 }
