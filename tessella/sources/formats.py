@@ -27,7 +27,11 @@ VIDEO_SUFFIXES = (".mp4", ".mkv", ".avi", ".mov", ".webm", ".flv", ".wmv")
 HIDDEN_TAGS = ("script", "style", "noscript", "template")
 TITLE_TAGS = ("h1", "h2", "h3", "title")
 
-Unit = dict  # text, page (or None), section
+Unit = dict  # text, page (or None), section, and method where a decoder says it
+METHODS = {
+    **dict.fromkeys((".txt", ".md", ".rst"), "plain-text"), **dict.fromkeys((".html", ".htm"), "html-text"), ".epub": "epub-zip", ".pptx": "pptx-xml", ".docx": "docx-xml", ".xlsx": "xlsx-xml",
+    ".doc": "antiword", ".pdf": "pdf-native",
+}
 
 
 def decode(raw: bytes) -> str:
@@ -120,7 +124,7 @@ def read_pptx(raw: bytes) -> list[Unit]:
     with zipfile.ZipFile(io.BytesIO(raw)) as archive:
         slides = sorted(n for n in archive.namelist() if re.fullmatch(r"ppt/slides/slide\d+\.xml", n))
         texts = ["\n".join(e.text for e in ET.fromstring(archive.read(n)).iter() if e.tag.endswith("}t") and e.text) for n in slides]
-    return [u for i, t in enumerate(texts, 1) for u in _unit(t, page=i)]
+    return [u for i, t in enumerate(texts, 1) for u in _unit(t, page=i, section=f"Slide {i}")]
 
 
 def read_docx(raw: bytes) -> list[Unit]:
@@ -197,17 +201,40 @@ def pages_decoder(page_texts: Callable[[bytes], list[str]], ocr_page: Callable[[
     return read
 
 
-def images_in_archive(ocr: Callable[[bytes], str]) -> Decoder:
-    """Comic archives: the images by name, each through an injected reader."""
+def zip_members(raw: bytes) -> dict[str, Callable[[], bytes]]:
+    archive = zipfile.ZipFile(io.BytesIO(raw))
+    return {n: lambda n=n: archive.read(n) for n in archive.namelist()}
+
+
+def images_in_archive(ocr: Callable[[bytes], str], members: Callable[[bytes], dict[str, Callable[[], bytes]]] = zip_members) -> Decoder:
+    """Comic archives: the images by name, each through an injected reader. members opens other archives than zip."""
 
     def read(raw: bytes) -> list[Unit]:
-        with zipfile.ZipFile(io.BytesIO(raw)) as archive:
-            names = sorted(n for n in archive.namelist() if n.lower().endswith((".png", ".jpg", ".jpeg", ".webp", ".bmp", ".gif")))
-            return [u for i, n in enumerate(names, 1) for u in _unit(ocr(archive.read(n)), page=i)]
+        found = members(raw)
+        names = sorted(n for n in found if n.lower().endswith((".png", ".jpg", ".jpeg", ".webp", ".bmp", ".gif")))
+        return [u for i, n in enumerate(names, 1) for u in _unit(ocr(found[n]()), page=i)]
 
     return read
 
 
+def extract_document(suffix: str, stem: str, raw: bytes, registry: dict[str, Decoder] | None = None) -> dict:
+    """{title, units (with method), page_count, parser, diagnostics, error}; a decoder may give all of these, or units alone."""
+    whole = {"title": stem, "units": [], "page_count": None, "parser": None, "diagnostics": [], "error": None}
+    reader = (DECODERS if registry is None else registry).get(suffix)
+    if reader is None:
+        return whole | {"error": f"ValueError: Unsupported extension: {suffix}"}
+    try:
+        found = reader(raw)
+    except Exception as e:
+        return whole | {"error": f"{type(e).__name__}: {e}"}
+    method = METHODS.get(suffix, suffix.lstrip("."))
+    whole |= {"parser": method} | (found if isinstance(found, dict) else {"units": found})
+    if suffix == ".pptx" and whole["page_count"] is None:
+        whole["page_count"] = len(whole["units"])
+    whole["units"] = [{"text": u["text"], "page": u.get("page"), "section": u.get("section") or "", "method": u.get("method") or method} for u in whole["units"] if u["text"]]
+    return whole
+
+
 def extract(suffix: str, raw: bytes, registry: dict[str, Decoder] | None = None) -> tuple[list[Unit], str | None]:
     """(units, error)."""
     reader = (DECODERS if registry is None else registry).get(suffix)

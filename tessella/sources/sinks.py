@@ -50,13 +50,54 @@ def write_text_atomically(path: str, text: str) -> None:
         raise
 
 
+def write_json(found: dict, path: str, sort_keys: bool = False) -> None:
+    write_text_atomically(path, json.dumps(found, ensure_ascii=False, indent=2, sort_keys=sort_keys) + "\n")
+
+
 def write_report(row: DataFrame, path: str) -> dict:
     """A one-row report as JSON."""
     found = json.loads(row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0])
-    write_text_atomically(path, json.dumps(found, ensure_ascii=False, indent=2) + "\n")
+    write_json(found, path)
     return found
 
 
+def run_report(results: DataFrame, configuration: dict, elapsed_seconds: float) -> dict:
+    """A run as one object: its settings, the summary, and a row for each document (status, counts, seconds, error).
+
+    Characters and chunks are added up over successes only. The rows are the report itself, so it is for runs whose
+    documents one file can list; the summary alone comes from :func:`tessella.operators.scoring.run_summary`.
+    """
+    rows = [json.loads(r[0]) for r in results.orderBy("source_id").select(F.to_json(F.struct("*"))).toLocalIterator()]
+    good = [r for r in rows if r.get("status") == "success"]
+    summary = {"document_count": len(rows), **{s: sum(r.get("status") == s for r in rows) for s in ("success", "skipped", "failed")}, "total_characters": sum(r.get("char_count") or 0 for r in good), "total_chunks": sum(r.get("chunk_count") or 0 for r in good)}
+    return {"schema_version": 1, "configuration": configuration, "elapsed_seconds": round(elapsed_seconds, 6), "summary": summary, "documents": rows}
+
+
+def write_cleaned(rows: DataFrame, values: DataFrame, output: str, stem: str, report: dict) -> dict:
+    """Kept lines as they were, rejected lines with their reasons, and the report, of one cleaning run.
+
+    rows: line, instruction, reasons; values: line, value.
+    """
+    kept = values.join(rows.where(F.size("reasons") == 0).select("line"), "line", "left_semi").orderBy("line")
+    kept.select("value").write.mode("overwrite").text(f"{output}/{stem}.clean.jsonl")
+    write_json_lines(rows.where(F.size("reasons") > 0).orderBy("line").select("line", "reasons", "instruction"), f"{output}/{stem}.rejected.jsonl")
+    write_json(report, f"{output}/{stem}.cleaning-report.json")
+    return report
+
+
+def write_documents(documents: DataFrame, path: str) -> None:
+    """document.json texts (source_id, value) as files' lines: one line a document, its source beside it."""
+    documents.select("source_id", "value").write.mode("overwrite").json(path)
+
+
+def qa_markdown(pairs: DataFrame, path: str, heading: str = "source_id") -> None:
+    """Pairs as one Markdown file for each source, led by its name as a heading."""
+    blocks = F.concat(F.lit("**Q: "), F.trim("question"), F.lit("**\n\n**A:** "), F.trim("answer"), F.lit("\n\n---\n"))
+    by_file = pairs.select(heading, F.struct("pos", blocks.alias("b")).alias("s")).groupBy(heading).agg(F.array_sort(F.collect_list("s")).alias("s"))
+    text = F.concat(F.lit("# "), F.col(heading), F.lit("\n\n"), F.array_join(F.transform("s", lambda x: x["b"]), "\n"))
+    by_file.select(F.col(heading).alias("source_id"), text.alias("value")).write.mode("overwrite").partitionBy("source_id").text(path)
+
+
 def export_sqlite(tables: dict[str, DataFrame], path: str, search: tuple[str, str] | None = ("chunks", "text")) -> None:
     """Tables as one SQLite file, streamed row by row through the driver; for hand-over of small builds."""
     folder = os.path.dirname(os.path.abspath(path))

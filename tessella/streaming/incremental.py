@@ -86,3 +86,33 @@ def ingest(stream: DataFrame, state_path: str, output_path: str, mark: str, buil
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def nothing_to_do(todo: DataFrame, outputs: list[str], exists: Callable[[str], bool]) -> bool:
+    """Whether later phases can be skipped: nothing is pending and every output is there."""
+    return all(exists(p) for p in outputs) and todo.isEmpty()
+
+
+def shut_down(queries: list[StreamingQuery], seconds: int = 300) -> None:
+    """Ends streams after the batch that runs; what a batch has not published yet is done again at the next start.
+
+    A batch that takes longer than the wait is cut off: its folder is overwritten then, so nothing is lost or doubled.
+    """
+    for query in queries:
+        try:
+            query.processAllAvailable() if seconds <= 0 else query.awaitTermination(seconds)
+        finally:
+            query.stop()
+
+
+def in_batches(rows: DataFrame, key: str, batches: int, work: Callable[[DataFrame], DataFrame], output_path: str) -> DataFrame:
+    """work over rows in batches by hash of the key, each saved when it is done: an interrupted run resumes at its batch.
+
+    Each batch overwrites its own folder and is marked as done by Spark's committer; finished ones are not done again.
+    """
+    spark = rows.sparkSession
+    place = F.pmod(F.xxhash64(key), F.lit(batches))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for k in range(batches):
+        mark = jvm.org.apache.hadoop.fs.Path(f"{output_path}/batch={k}/_SUCCESS")
+        if not mark.getFileSystem(conf).exists(mark):
+            work(rows.where(place == k)).write.mode("overwrite").parquet(f"{output_path}/batch={k}")
+    return spark.read.parquet(output_path).drop("batch")
