@@ -2,21 +2,26 @@
 
 A text is a chain of words and an end. Each preceding word opens a restaurant whose customers are the words
 that follow it; all these context restaurants share one parent, the root, whose base is uniform over the
-training vocabulary and one unknown word. The number of tables at which a dish's customers sit is sampled by
-Gibbs: a dish of a restaurant is seated anew given all other tables, exactly (by generalised Stirling
-numbers) up to ``EXACT`` customers and in steps of an eighth of those seated above; the tables are customers of the root, which is
-seated in the same way. Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
-Words and restaurants are told apart by 64-bit hashes and are not bounded. What bears on a whole restaurant
-is a few numbers of it: every part sends its own to the task that owns the context, and gets the sums back.
-
-Everything about a word - its counts, its tables in all restaurants, all its occurrences in texts to be
-scored - is dealt to one task by one exchange, which every later pass reads again. Words so frequent that
-they would outgrow a task are dealt by word and context; which ones is estimated on a bounded sample and
-depends on the number of partitions; they have one root table instead of a drawn number, which bears on scores.
-Tasks sweep side by side against the first pass's totals, scaled by their own mean growth (approximate
-distributed Gibbs sampling without an exchange between sweeps); a second pass over the same seeds gives the exact
-totals of each sweep, so that the probabilities that are averaged add up to one. Lost tasks are made again
-from the same seeds.
+training vocabulary and one unknown word. The tables at which a dish's customers sit are customers of the root.
+
+The number of tables of every dish is drawn by Gibbs sampling, sweep by sweep. Given an auxiliary gamma variable for each
+restaurant, its dishes do not depend on each other: c customers sit at t tables with weight S(c, t) * y**t, where
+y = d * x * (the parent's probability of the dish) and S are the generalised Stirling numbers. The discount d is 1/2, at
+which S(c, t) = Gamma(2c - t) / (Gamma(c - t + 1) * Gamma(t) * 4**(c - t)), so that dishes of any number of customers are
+drawn by one and the same rule (:func:`seat`). Predictive probabilities are averaged over ``SAMPLES`` sweeps after
+``BURN_IN``; those of a context add up to one in each sweep.
+
+Two things are approximate. All restaurants of a sweep are drawn side by side, given the root's predictive probabilities
+after the sweep before (not after each draw); and gamma variables are cubes of normal ones (Wilson and Hilferty). Random
+numbers are hashes of what they are drawn for (sweep, context, word), so scores depend neither on the number of
+partitions nor on the order of rows.
+
+Words and restaurants are told apart by 64-bit hashes and are not bounded. Everything about a word - its counts, its
+tables in all restaurants, all its occurrences - is dealt to one task by one exchange, which every sweep reads again.
+Words so frequent that they would outgrow a task are dealt by word and context; which ones is estimated on a bounded
+sample, which moves work about and changes no result. After every sweep each part sends the tables of its contexts (and
+its share of the frequent words' root customers) to the tasks that own these keys and gets the sums back: keys cross the
+network once, sums once a sweep. Lost tasks are made again from the same hashes.
 
 Defined cases: a null text counts as empty and consists of an end; a null id counts as an empty text for the
 split; repeated rows are scored and learned each; without training texts all probabilities are the base's; an
@@ -25,6 +30,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -35,17 +41,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, shuffle_partitions, table
+from .common import ASCII_LOWER, give_back, lean, shuffle_partitions, table
 from .suffixes import Hashes, mixed
 
-EXACT, BURN_IN, SAMPLES, SEED = 24, 2, 3, 17
-STRENGTH = 1.0
+BURN_IN, SAMPLES, SEED = 2, 2, 17
+SWEEPS = BURN_IN + SAMPLES
+DISCOUNT, STRENGTH = 0.5, 1.0
 BATCH_TOKENS, BATCH_TEXTS = 500_000, 60_000
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 20_000
 #: A part holds about 50 bytes an event, all at once: parts are made smaller than usual partitions.
 PARTS_PER_PARTITION = 2
 END, START = np.uint64(1), np.uint64(2)
 HELD_OUT = (7, 2)
+#: Sums of logarithms are whole numbers of this fraction, so that they do not depend on the order of addition.
+UNIT = 1e-9
 
 
 def held_out(doc_id, modulus: int = HELD_OUT[0], rest: int = HELD_OUT[1]) -> bool:
@@ -81,7 +90,7 @@ def _dealt(docs: DataFrame, layout: Layout):
     shared = docs.sparkSession.sparkContext.broadcast(layout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lay, hashes, number = shared.value, Hashes(), TaskContext.get().partitionId() << 24
+        lay, hashes, number = shared.value, Hashes(), int(TaskContext.get().partitionId()) << 24
         zip_ = zstandard.ZstdCompressor(level=1).compress
 
         def sent(ids: list, arrays: list[np.ndarray], number: int) -> pa.RecordBatch:
@@ -96,7 +105,7 @@ def _dealt(docs: DataFrame, layout: Layout):
             w, u, doc, part = w[order], before[order], doc[order], part[order]
             train = np.array([not held_out(i) for i in ids])
             flags = np.packbits(train).tobytes()
-            out: tuple[list, list, list] = ([number % lay.n], [number], [b"H" + np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids]).tobytes() + size.astype("<i8").tobytes() + train.tobytes()])
+            out: tuple[list, list, list] = ([int(mixed(np.array([number], np.uint64))[0] % np.uint64(lay.n))], [number], [b"H" + np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids]).tobytes() + size.astype("<i8").tobytes() + train.tobytes()])
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             for a, b in zip(cuts, [*cuts[1:], len(w)], strict=True):
                 new = np.flatnonzero(np.r_[True, w[a + 1 : b] != w[a : b - 1]])
@@ -121,197 +130,201 @@ def _dealt(docs: DataFrame, layout: Layout):
         if ids:
             yield sent(ids, arrays, number)
 
-    rows = docs.mapInArrow(run, "part int, batch long, blob binary")
+    rows = docs.mapInArrow(lean(run), "part int, batch long, blob binary")
     return rows.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(layout.n, int)
 
 
 class Part:
     """All events of a part: words, contexts, texts; and the training entries (word, context) with their customers."""
 
-    def __init__(self, rows: list[tuple[int, bytes]]):
+    def __init__(self, blobs: list[tuple[int, bytes]]):
         undo = zstandard.ZstdDecompressor().decompress
-        words, u, doc, self.batches = [], [], [], []
-        train = []
-        for number, blob in sorted(rows):
+        words, contexts, w, u, doc, train, self.batches = [], [], [], [], [], [], []
+        n_words = n_contexts = 0
+        for number, blob in sorted(blobs):
             raw = undo(blob[1:])
-            texts, distinct, n, contexts = (int(x) for x in np.frombuffer(raw, "<u4", 4))
+            texts, distinct, n, some = (int(x) for x in np.frombuffer(raw, "<u4", 4))
             at = 16 + (texts + 7) // 8
             flags = np.unpackbits(np.frombuffer(raw, np.uint8, (texts + 7) // 8, 16))[:texts].astype(bool)
-            w = np.frombuffer(raw, "<u8", distinct, at)
+            words.append(np.frombuffer(raw, "<u8", distinct, at))
             count = np.frombuffer(raw, "<u4", distinct, at + 8 * distinct)
             at += 12 * distinct
-            context = np.frombuffer(raw, "<u8", contexts, at)
-            at += 8 * contexts
+            contexts.append(np.frombuffer(raw, "<u8", some, at))
+            at += 8 * some
             which = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
             own = np.frombuffer(raw, "<u2", n, at + 4 * n)
             self.batches.append((number, texts, n))
-            words.append(np.repeat(w, count))
-            u.append(context[which])
+            w.append(np.repeat(np.arange(n_words, n_words + distinct, dtype=np.int32), count))
+            u.append(which.astype(np.int32) + np.int32(n_contexts))
             doc.append(own)
             train.append(flags[own])
-        empty = np.zeros(0, np.uint64)
+            n_words, n_contexts = n_words + distinct, n_contexts + some
+        empty = np.zeros(0, np.int32)
         self.doc = np.concatenate([np.zeros(0, np.uint16), *doc])
         trained = np.concatenate([np.zeros(0, bool), *train])
-        self.context, self.u = np.unique(np.concatenate([empty, *u]), return_inverse=True)
-        del u, doc, train
-        self.word, self.w = np.unique(np.concatenate([empty, *words]), return_inverse=True)
-        del words
-        key = (self.w.astype(np.int64) << 32) | self.u
-        self.key, self.c = np.unique(key[trained], return_counts=True)
-        self.event = key
-        self.ew, self.eu = self.key >> 32, self.key & 0xFFFFFFFF
+        # of each batch the distinct ones: far fewer than events
+        self.word, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]), return_inverse=True)
+        self.w = at.astype(np.int32)[np.concatenate([empty, *w])]
+        self.context, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *contexts]), return_inverse=True)
+        self.u = at.astype(np.int32)[np.concatenate([empty, *u])]
+        del words, contexts, w, u, doc, train, at
+        self.event = (self.w.astype(np.int64) << 32) | self.u
+        self.key, self.c = np.unique(self.event[trained], return_counts=True)
+        self.ew, self.eu = (self.key >> 32).astype(np.int32), (self.key & 0xFFFFFFFF).astype(np.int32)
         self.count = np.bincount(self.ew, weights=self.c, minlength=len(self.word)).astype(np.int64)
 
     def by_context(self, of_entries: np.ndarray) -> np.ndarray:
         return np.bincount(self.eu, weights=of_entries, minlength=len(self.context)).astype(np.int64)
 
+    def by_word(self, of_entries: np.ndarray) -> np.ndarray:
+        return np.bincount(self.ew, weights=of_entries, minlength=len(self.word)).astype(np.int64)
 
-def stirling(d: float, most: int = EXACT) -> np.ndarray:
-    """log of the generalised Stirling numbers S_d(c, t)."""
-    out = np.full((most + 1, most + 2), -np.inf)
-    out[1, 1] = 0
-    for c in range(1, most):
-        t = np.arange(1, c + 2)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            out[c + 1, 1 : c + 2] = np.logaddexp(out[c, t - 1], np.log(np.maximum(c - t * d, 1e-300)) + out[c, t])
-        if c == 1:
-            out[2, 1] = np.log(1 - d)
-    return out
 
+# --- random numbers that are hashes of what they are drawn for -------------------------------------------------
 
-def seat(c: np.ndarray, old: np.ndarray, tables: np.ndarray, parent: np.ndarray, d: float, strength: float, r: np.random.Generator) -> np.ndarray:
-    """New numbers of tables of dishes with c customers, given their restaurants' tables and the parent's probability."""
+
+def uniform(h: np.ndarray) -> np.ndarray:
+    return ((mixed(h) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+
+
+def seeds(sweep: int, *keys: np.ndarray) -> np.ndarray:
+    h = mixed(np.array([SEED * 1000 + sweep], np.uint64))
+    for k in keys:
+        h = mixed(h ^ k) * np.uint64(0x9E3779B97F4A7C15)
+    return h
+
+
+def gamma(shape: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Gamma variables (of shapes of 2 and more) out of hashes."""
+    z = np.sqrt(-2 * np.log(uniform(h))) * np.cos(2 * np.pi * uniform(h ^ np.uint64(0x5851F42D4C957F2D)))
+    return shape * (1 - 1 / (9 * shape) + z / (3 * np.sqrt(shape))) ** 3
+
+
+def seat(c: np.ndarray, y: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Numbers of tables of dishes with c customers: t with weight S(c, t) * y**t, for any c.
+
+    Neighbouring weights have the ratio 4 y (c - t) / ((2c - t - 1) t), which falls with t: weights rise to one peak and
+    fall. Around it so many are added up that those left out are nothing in double precision.
+    """
     t = np.minimum(c, 1).astype(np.int64)
-    log_s = stirling(d)
-    others = np.maximum(tables - old, 0)
-    for n in range(2, EXACT + 1):
-        at = np.flatnonzero(c == n)
-        for some in np.array_split(at, max(1, len(at) * n // 2_000_000)):
-            if not len(some):
-                continue
-            k = np.arange(n)
-            weight = np.cumsum(np.log(strength + d * (others[some, None] + k)) + np.log(parent[some])[:, None], axis=1) + log_s[n, 1 : n + 1]
+    more = np.flatnonzero(c > 1)
+    if not len(more):
+        return t
+    n, v = c[more].astype(float), y[more]
+    b = 2 * n - 1 + 4 * v
+    peak = np.clip(8 * v * n / (b + np.sqrt(np.maximum(b * b - 16 * v * n, 0))), 1, n)  # the smaller root of ratio = 1
+    spread = np.sqrt(1 / np.maximum(1 / peak + 1 / (n - peak + 1) - 1 / (2 * n - peak), 1e-12))
+    low = np.maximum(1, np.floor(peak - 12 * spread - 12))
+    width = np.minimum(n, np.ceil(peak + 12 * spread + 12)) - low + 1
+    level = np.ceil(np.log2(width)).astype(np.int64)
+    draw = uniform(h[more])
+    for k in np.unique(level):
+        own = np.flatnonzero(level == k)
+        size = 1 << int(k)
+        for some in np.array_split(own, max(1, len(own) * size // 1_000_000)):
+            at = low[some, None] + np.arange(size - 1)
+            m, z = n[some, None], v[some, None]
+            with np.errstate(divide="ignore"):
+                ratio = np.log(np.where(at < m, 4 * z * (m - at) / np.maximum((2 * m - at - 1) * at, 1e-300), 0))
+            weight = np.concatenate([np.zeros((len(some), 1)), np.cumsum(ratio, axis=1)], axis=1)
             weight = np.exp(weight - weight.max(1, keepdims=True)).cumsum(1)
-            t[some] = 1 + (weight < (r.random(len(some)) * weight[:, -1])[:, None]).sum(1)
-    big = np.flatnonzero(c > EXACT)
-    if len(big):
-        total, rest, p = c[big], others[big], parent[big]
-        seated, now = np.ones(len(big), np.int64), np.ones(len(big), np.int64)
-        while len(go := np.flatnonzero(seated < total)):
-            step = np.minimum(np.maximum(1, seated[go] // 8), total[go] - seated[go])
-            fresh = (strength + d * (rest[go] + now[go])) * p[go]
-            now[go] += r.binomial(step, fresh / (fresh + seated[go] - d * now[go]))
-            seated[go] += step
-        t[big] = now
+            t[more[some]] = (low[some] + (weight < draw[some, None] * weight[:, -1:]).sum(1)).astype(np.int64)
     return t
 
 
-class Totals:
-    """What all parts must know of each other; frequent words' root customers and tables are kept by word."""
+# --- sums over parts --------------------------------------------------------------------------------------------
 
-    def __init__(self, n_tokens: int, vocabulary: int, entries: int, d: float, frequent: np.ndarray, frequent_count: np.ndarray, frequent_customers: np.ndarray):
-        self.n_tokens, self.vocabulary, self.entries, self.d = n_tokens, vocabulary, entries, d
-        self.frequent, self.frequent_count, self.frequent_customers = frequent, frequent_count, frequent_customers
 
+def _owner(keys: np.ndarray, n: int) -> np.ndarray:
+    return ((mixed(keys) >> np.uint64(24)) % np.uint64(n)).astype(np.int64)
 
-class Sweep:
-    def __init__(self, root_customers: int, root_tables: int, frequent_customers: np.ndarray, frequent_tables: np.ndarray):
-        self.root_customers, self.root_tables = root_customers, root_tables
-        self.frequent_customers, self.frequent_tables = frequent_customers, frequent_tables
 
+def packed(a: np.ndarray) -> bytes:
+    """Whole numbers, their bytes by place: small ones cost about one byte."""
+    a = np.ascontiguousarray(a, "<i8")
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, 8).T.tobytes())
 
-D_ROOT = 0.6
 
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
 
-def _frequent_at(words: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions in words, positions in frequent) of the words that are frequent."""
-    if not len(frequent) or not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-    mine = np.flatnonzero(frequent[at] == words)
-    return mine, at[mine]
 
+def word_keys(words: np.ndarray) -> np.ndarray:
+    """Keys of frequent words, apart from those of contexts."""
+    return mixed(words ^ np.uint64(0xA0761D6478BD642F))
 
-def sweeps(part: Part, tables: np.ndarray, totals: Totals, number: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """After each kept sweep: (tables of each entry, root customers of each word, root tables of each word).
 
-    tables are the first pass's, over all parts, of each context of this part.
-    A word that is dealt to several parts has root tables drawn from the same stream in all of them.
-    """
-    d, v = totals.d, totals.vocabulary
-    t = np.ones(len(part.key), np.int64)
-    mine, at = _frequent_at(part.word, totals.frequent)
-    root_t = np.minimum(part.count, 1)
-    base = 1 / (v + 1)
-    start_customers = float(totals.entries)
-    for k in range(BURN_IN + SAMPLES):
-        r = np.random.default_rng([SEED, number, k])
-        grown = t.sum() / max(1, len(t))  # tables for each first table, taken to hold for the other parts as well
-        root_c = np.bincount(part.ew, weights=t, minlength=len(part.word)).astype(np.int64)
-        seen_c = root_c.copy()
-        seen_c[mine] = (totals.frequent_customers[at] * grown).astype(np.int64)
-        all_c, all_t = start_customers * grown, float(v)
-        p0 = (np.maximum(seen_c - D_ROOT * root_t, 0) + (STRENGTH + D_ROOT * all_t) * base) / (STRENGTH + all_c)
-        t = seat(part.c, t, tables[part.eu] * grown, p0[part.ew], d, STRENGTH, r)
-        root_c = np.bincount(part.ew, weights=t, minlength=len(part.word)).astype(np.int64)
-        alone = root_c.copy()
-        alone[mine] = 0
-        root_t = seat(alone, root_t, np.full(len(alone), all_t), np.full(len(alone), base), D_ROOT, STRENGTH, r)
-        root_t[mine] = np.minimum(totals.frequent_count[at], 1)
-        if k >= BURN_IN:
-            yield t, root_c, root_t
-
-
-def _owner(context: np.ndarray, n: int) -> np.ndarray:
-    return ((mixed(context) >> np.uint64(24)) % np.uint64(n)).astype(np.int64)
-
-
-def _asked(part: Part, number: int, n: int, values: list[np.ndarray]) -> Iterator[tuple]:
-    """Rows (owner, request): a part's own numbers of its contexts, to the tasks that own them."""
-    owner = _owner(part.context, n)
-    order = np.argsort(owner, kind="stable")
-    zip_ = zstandard.ZstdCompressor(level=1).compress
-    rows = np.stack(values)[:, order].astype("<i8")
-    cuts = np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1]]) if len(order) else []
-    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
-        yield int(owner[order[a]]), (number, part.context[order[a:b]].tobytes(), zip_(rows[:, a:b].tobytes()))
-
-
-def _answered(requests, n: int):
-    """Rows (part, (owner, sums)), dealt by part: the sums over all parts, in the order the part asked."""
-
-    def run(rows: Iterator) -> Iterator:
-        pack, undo = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
-        asked = [(k, *r) for k, r in rows if r[0] is not None]
-        if not asked:
-            return
-        size = [len(r[2]) // 8 for r in asked]
-        _, at = np.unique(np.concatenate([np.frombuffer(r[2], "<u8") for r in asked]), return_inverse=True)
-        values = np.concatenate([np.frombuffer(undo(r[3]), "<i8").reshape(-1, m) for r, m in zip(asked, size, strict=True)], axis=1)
-        sums = np.zeros((len(values), int(at.max()) + 1), np.int64)
-        for own, v in zip(sums, values, strict=True):
-            np.add.at(own, at, v)
-        start = 0
-        for r, m in zip(asked, size, strict=True):
-            yield r[1], (r[0], pack(sums[:, at[start : start + m]].tobytes()))
-            start += m
+def root_draw(customers: np.ndarray, words: np.ndarray, sweep: int, tables_before: int, vocabulary: int) -> np.ndarray:
+    """Tables of words in the root, given its tables after the sweep before."""
+    x = gamma(np.array([STRENGTH / DISCOUNT + tables_before]), seeds(sweep))[0]
+    return seat(customers, np.full(len(customers), DISCOUNT * x / (vocabulary + 1)), seeds(sweep, words, np.array([7], np.uint64)))
+
+
+class Asking:
+    """The keys of a part, by the task that owns them: its contexts, and the frequent words it has a share of."""
 
-    return requests.mapPartitions(run).partitionBy(n, int)
+    def __init__(self, part: Part, frequent: np.ndarray, n: int):
+        at = np.minimum(np.searchsorted(frequent, part.word), max(0, len(frequent) - 1))
+        self.mine = np.flatnonzero(frequent[at] == part.word) if len(frequent) else np.zeros(0, np.int64)
+        self.rare = np.ones(len(part.word), bool)
+        self.rare[self.mine] = False
+        self.keys = np.concatenate([part.context, word_keys(part.word[self.mine])])
+        owner = _owner(self.keys, n)
+        self.order = np.argsort(owner, kind="stable")
+        self.cuts = np.searchsorted(owner[self.order], np.arange(n + 1))
+        self.n = n
 
+    def rows(self, number: int, values: list[tuple[np.ndarray, np.ndarray]], few: list[int], with_keys: bool) -> Iterator[tuple]:
+        """(owner, question) for every owner: values of contexts and of frequent words, and the part's few numbers."""
+        ordered = [np.concatenate(v)[self.order] for v in values]
+        keys = self.keys[self.order]
+        for o in range(self.n):
+            a, b = self.cuts[o], self.cuts[o + 1]
+            yield o, ("Q", number, keys[a:b].tobytes() if with_keys else None, [packed(v[a:b]) for v in ordered], few)
 
-def _sums_of(part: Part, answers: list[tuple], n: int, rows: int) -> np.ndarray:
-    """rows x contexts of the part, out of its answers."""
-    undo = zstandard.ZstdDecompressor().decompress
-    order = np.argsort(_owner(part.context, n), kind="stable")
-    found = [np.frombuffer(undo(blob), "<i8").reshape(rows, -1) for _, (_, blob) in sorted(answers, key=lambda r: r[1][0])]
-    out = np.zeros((rows, len(order)), np.int64)
-    out[:, order] = np.concatenate([np.zeros((rows, 0), np.int64), *found], axis=1)
-    return out
+    def sums(self, answers: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
+        """(each value's sums in the order of keys, the few numbers added up over owners or, where all say the same, as said)."""
+        answers = sorted(answers, key=lambda r: r[1])
+        out = []
+        for i in range(len(answers[0][2])):
+            ordered = np.concatenate([unpacked(r[2][i]) for r in answers])
+            v = np.zeros(len(ordered), np.int64)
+            v[self.order] = ordered
+            out.append(v)
+        return out, np.array(answers[0][3]), np.sum([r[4] for r in answers], axis=0)
 
 
-def _summed(requests) -> dict:
-    """The few numbers of parts that are sent beside their requests, added up."""
-    return requests.filter(lambda r: r[1][0] is None).map(lambda r: r[1][1]).reduceByKey(lambda a, b: a + b, numPartitions=16).collectAsMap()
+def answered(sweep: int, frequent: np.ndarray):
+    """The task of an owner: sums of what all parts say about its keys, and the root tables of its frequent words."""
+
+    def run(pairs: Iterator) -> Iterator:
+        for first, now in pairs:
+            keyed = sorted((r for _, r in first if r[0] == "Q"), key=lambda r: r[1])
+            asked = sorted((r for _, r in now if r[0] == "Q"), key=lambda r: r[1])
+            for _, state in ((k, r) for k, r in now if r[0] == "S"):
+                yield state[1], state
+            if not asked:
+                continue
+            sizes = [len(r[2]) // 8 for r in keyed]
+            keys, at = np.unique(np.concatenate([np.frombuffer(r[2], "<u8") for r in keyed]), return_inverse=True)
+            sums = [np.bincount(at, weights=np.concatenate([unpacked(r[3][i]) for r in asked]), minlength=len(keys)).astype(np.int64) for i in range(len(asked[0][3]))]
+            few = np.sum([r[4][:4] for r in asked], axis=0).tolist()
+            tables_before, vocabulary = asked[0][4][4:]
+            own = frequent[np.isin(word_keys(frequent), keys)] if len(frequent) else frequent
+            place = np.searchsorted(keys, word_keys(own))
+            if sweep == 0:
+                known = sums[0][place] > 0
+                mine = [int(known.sum()), int(known.sum())]
+            else:
+                mine = [int(root_draw(sums[-1][place], own, sweep, tables_before, vocabulary).sum()), 0]
+            start = 0
+            for r, m in zip(asked, sizes, strict=True):
+                yield r[1], ("A", TaskContext.get().partitionId(), [packed(v[at[start : start + m]]) for v in sums], few, mine)
+                start += m
+        give_back()
+
+    return run
 
 
 def _beside(parts, answers):
@@ -320,129 +333,188 @@ def _beside(parts, answers):
     return parts.mapPartitions(whole).zip(answers.mapPartitions(whole))
 
 
+class Sampler:
+    """What a part does between two exchanges. State: numbers that all parts share, its own tables, the samples kept."""
+
+    def __init__(self, frequent: np.ndarray, n: int):
+        self.frequent, self.n = frequent, n
+
+    def opened(self, rows: list) -> tuple[int, Part, Asking, list] | None:
+        heads = [r for _, r in rows if r[1][:1] == b"H"]
+        blobs = [r for _, r in rows if r[1][:1] == b"E"]
+        if not blobs:
+            return None if not heads else (-1, None, None, heads)
+        part = Part(blobs)
+        return int(next(k for k, r in rows if r[1][:1] == b"E")), part, Asking(part, self.frequent, self.n), heads
+
+    def first(self, rows: list) -> Iterator[tuple]:
+        """Every dish at one table: the state before the first sweep."""
+        opened = self.opened(rows)
+        if opened is None or opened[1] is None:
+            return
+        number, part, asking, _ = opened
+        ones = np.ones(len(part.key), np.int64)
+        entries = part.by_word(ones)
+        v = int((part.count[asking.rare] > 0).sum())
+        few = [len(part.key), v, int(part.c.sum()), v, 0, 0]
+        yield from asking.rows(number, [(part.by_context(part.c), part.count[asking.mine]), (part.by_context(ones), entries[asking.mine])], few, True)
+        yield number, ("S", number, pickle.dumps({"t": packed(ones), "t0": packed(np.minimum(part.count, 1)), "samples": []}))
+
+    def taken(self, sweep: int, part: Part, asking: Asking, answers: list) -> dict:
+        """The state after a sweep: its own tables and the sums over all parts."""
+        state = pickle.loads(next(r[2] for _, r in answers if r[0] == "S"))
+        sums, few, mine = asking.sums([r for _, r in answers if r[0] == "A"])
+        t, t0 = unpacked(state["t"]), unpacked(state["t0"]).copy()
+        k = len(part.context)
+        c0 = part.by_word(t)
+        c0[asking.mine] = sums[-1][k:]
+        if sweep == 0:
+            state |= {"n": int(few[2]), "v": int(few[3] + mine[1]), "before": 0}
+            state["count"] = packed(sums[0][k:])
+            t0[asking.mine] = np.minimum(sums[0][k:], 1)
+        else:
+            t0[asking.mine] = root_draw(c0[asking.mine], part.word[asking.mine], sweep, state["before"], state["v"])
+        state["now"] = {"t": t, "tables": sums[-1][:k], "c0": c0, "t0": t0, "C0": int(few[0]), "T0": int(few[1] + mine[0])}
+        state["customers"] = sums[0][:k] if len(sums) > 1 else None
+        return state
+
+    @staticmethod
+    def root(state: dict, now: dict) -> np.ndarray:
+        """The root's predictive probability of each word."""
+        base = (STRENGTH + DISCOUNT * now["T0"]) / (state["v"] + 1)
+        return (now["c0"] - DISCOUNT * now["t0"] + base) / (STRENGTH + now["C0"])
+
+    def sweep(self, number: int, rows: list, answers: list) -> Iterator[tuple]:
+        opened = self.opened(rows)
+        if opened is None or opened[1] is None:
+            return
+        own, part, asking, _ = opened
+        state = self.taken(number - 1, part, asking, answers)
+        now = state.pop("now")
+        state.pop("customers")
+        if number - 1 > BURN_IN:
+            state["samples"].append({k: packed(v) if isinstance(v, np.ndarray) else v for k, v in now.items()})
+        p0 = self.root(state, now)
+        x = gamma(STRENGTH / DISCOUNT + now["tables"], seeds(number, part.context))
+        h = seeds(number, part.word[part.ew], part.context[part.eu])
+        t = seat(part.c, DISCOUNT * x[part.eu] * p0[part.ew], h)
+        c0 = part.by_word(t)
+        alone = np.where(asking.rare, c0, 0)
+        t0 = root_draw(alone, part.word, number, now["T0"], state["v"])
+        few = [int(t.sum()), int(t0[asking.rare].sum()), 0, 0, now["T0"], state["v"]]
+        values = [(part.by_context(t), c0[asking.mine])]
+        if number == SWEEPS:  # the last answers also bring the customers, which no sweep needs
+            values.insert(0, (part.by_context(part.c), part.count[asking.mine]))
+        yield from asking.rows(own, values, few, False)
+        yield own, ("S", own, pickle.dumps(state | {"t": packed(t), "t0": packed(t0), "before": now["T0"]}))
+
+    def scores(self, rows: list, answers: list) -> Iterator[tuple]:
+        """(batch, (sums of its texts, None)) for each batch of events, and (batch, (None, heading))."""
+        opened = self.opened(rows)
+        if opened is None:
+            return
+        _, part, asking, heads = opened
+        for batch, blob in heads:
+            yield batch, (None, blob)
+        if part is None:
+            return
+        state = self.taken(SWEEPS, part, asking, answers)
+        samples = [{k: unpacked(v) if isinstance(v, bytes) else v for k, v in s.items()} for s in state["samples"]] + [state["now"]]
+        count = part.count.copy()
+        count[asking.mine] = unpacked(state["count"])
+        entry = np.minimum(np.searchsorted(part.key, part.event), max(0, len(part.key) - 1))
+        seen = part.key[entry] == part.event if len(part.key) else np.zeros(len(part.event), bool)
+        below = STRENGTH + state["customers"][part.u]
+        p = np.zeros(len(part.event))
+        for s in samples:
+            own = np.where(seen, part.c[entry] - DISCOUNT * s["t"][entry], 0) if len(part.key) else 0
+            p += (own + (STRENGTH + DISCOUNT * s["tables"][part.u]) * self.root(state, s)[part.w]) / below
+        whole = lambda logs: np.rint(logs / UNIT)
+        values = (whole(np.log10(count + 1.0))[part.w], (count > 0).astype(float)[part.w], whole(np.log10(p / len(samples))))
+        about = (state["n"], state["v"])
+        start = 0
+        for batch, texts, size in part.batches:
+            own = part.doc[start : start + size]
+            sums = [np.rint(np.bincount(own, weights=x[start : start + size], minlength=texts)).astype(np.int64) for x in values]
+            yield batch, (([packed(x) for x in sums], about), None)
+            start += size
+
+
+RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _added(a: tuple, b: tuple) -> tuple:
+    if a[0] is None or b[0] is None:
+        return a[0] or b[0], a[1] or b[1]
+    return ([packed(unpacked(x) + unpacked(y)) for x, y in zip(a[0][0], b[0][0], strict=True)], a[0][1]), a[1] or b[1]
+
+
+def _blob(pair: tuple) -> tuple:
+    (sums, about), head = pair[1]
+    return (bytearray(pickle.dumps((sums, about, head))),)
+
+
+def _texts(blobs: DataFrame, id_col: str) -> DataFrame:
+    """The rows of the batches' results."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("blob"):
+                sums, (n, v), head = pickle.loads(raw.as_py())
+                logs, known, score = map(unpacked, sums)
+                texts = (len(head) - 1) // 18
+                ids, size = np.frombuffer(head, "<i8", texts, 1), np.frombuffer(head, "<i8", texts, 1 + 9 * texts)
+                null, train = np.frombuffer(head, bool, texts, 1 + 8 * texts), np.frombuffer(head, bool, texts, 1 + 17 * texts)
+                base = logs * UNIT - size * float(np.log10(n + v + 1))
+                columns = [pa.array(ids, pa.int64(), mask=null), pa.array(~train), pa.array(size), pa.array(known), pa.array(np.full(texts, n)), pa.array(base), pa.array(score * UNIT)]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, *(f.split()[0] for f in RESULT.split(", "))])
+
+    return blobs.mapInArrow(lean(run), f"`{id_col}` long, {RESULT}")
+
+
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
     spark = docs.sparkSession
-    sc, n = spark.sparkContext, PARTS_PER_PARTITION * shuffle_partitions(spark)
+    n = PARTS_PER_PARTITION * shuffle_partitions(spark)
     slim = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     sample = slim.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).orderBy(F.xxhash64(F.col(id_col), F.length(text_col))).limit(SAMPLE_TEXTS).collect()
     hashes = Hashes()
     found = np.concatenate([np.array([END]), *(tokens(r[1], hashes) for r in sample)])
     words, counts = np.unique(found, return_counts=True)
     layout = Layout(n, words[counts > len(found) / (4 * n)])  # 4 * n words at most
+    sampler, frequent = Sampler(layout.frequent, n), layout.frequent
     parts = _dealt(slim, layout)
-    frequent = layout.frequent
-
-    def events(rows: Iterator) -> Iterator[tuple[int, list, list]]:
-        by_part: dict[int, list] = {}
-        heads = []
-        for number, (batch, blob) in rows:
-            (heads if blob[:1] == b"H" else by_part.setdefault(number, [])).append((batch, blob))
-        if heads and not by_part:
-            yield -1, [], heads
-        for i, number in enumerate(sorted(by_part)):
-            yield number, by_part.pop(number), heads if i == 0 else []
-
-    def counted(rows: Iterator) -> Iterator:
-        for number, blobs, _ in events(rows):
-            if not blobs:
-                continue
-            part = Part(blobs)
-            yield from _asked(part, number, n, [part.by_context(part.c), part.by_context(np.ones(len(part.key)))])
-            mine, at = _frequent_at(part.word, frequent)
-            rare = np.ones(len(part.word), bool)
-            rare[mine] = False
-            few = np.bincount(np.minimum(part.c, 3), minlength=4)
-            yield number, (None, ("sums", np.array([part.c.sum(), (part.count[rare] > 0).sum(), few[1], few[2], len(part.key)])))
-            by_word = np.zeros(2 * len(frequent), np.int64)
-            np.add.at(by_word, at, part.count[mine])
-            np.add.at(by_word, len(frequent) + at, np.bincount(part.ew, minlength=len(part.word))[mine])
-            yield number, (None, ("frequent", by_word))
-
-    asked = parts.mapPartitions(counted).partitionBy(n, int)
-    found_totals = _summed(asked)
-    sums, by_word = found_totals.get("sums", np.zeros(5, np.int64)), found_totals.get("frequent", np.zeros(2 * len(frequent), np.int64))
-    ones, twos = int(sums[2]), int(sums[3])
-    d = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))  # the discount by which singletons are overestimated
-    totals = Totals(int(sums[0]), int(sums[1]) + int((by_word[: len(frequent)] > 0).sum()), int(sums[4]), d, frequent, by_word[: len(frequent)], by_word[len(frequent) :])
-    known = sc.broadcast(totals)
-
-    def swept(pairs: Iterator) -> Iterator:
-        for rows, answers in pairs:
-            for number, blobs, _ in events(rows):
-                if not blobs:
-                    continue
-                part = Part(blobs)
-                _, tables = _sums_of(part, answers, n, 2)
-                mine, at = _frequent_at(part.word, frequent)
-                rare = np.ones(len(part.word), bool)
-                rare[mine] = False
-                values = [part.by_context(part.c), part.by_context(np.ones(len(part.key)))]
-                for k, (t, root_c, root_t) in enumerate(sweeps(part, tables, known.value, number)):
-                    values.append(part.by_context(t))
-                    by_word = np.zeros(len(frequent), np.int64)
-                    np.add.at(by_word, at, root_c[mine])
-                    yield number, (None, (f"root{k}", np.array([root_c.sum(), root_t[rare].sum()])))
-                    yield number, (None, (f"frequent{k}", by_word))
-                yield from _asked(part, number, n, values)
-
-    asked_again = _beside(parts, _answered(asked, n)).mapPartitions(swept).partitionBy(n, int)
-    got = _summed(asked_again)
-    kept = []
-    for k in range(SAMPLES):
-        root, by_word = got.get(f"root{k}", np.zeros(2, np.int64)), got.get(f"frequent{k}", np.zeros(len(frequent), np.int64))
-        word_tables = np.minimum(by_word, 1)
-        kept.append(Sweep(int(root[0]), int(root[1]) + int(word_tables.sum()), by_word, word_tables))
-    samples = sc.broadcast(kept)
-
-    def scored(pairs: Iterator) -> Iterator:
-        total = known.value
+
+    def opening(rows: Iterator) -> Iterator:
+        yield from sampler.first(list(rows))
+        give_back()
+
+    def sweeping(number: int):
+        def run(pairs: Iterator) -> Iterator:
+            for rows, answers in pairs:
+                yield from sampler.sweep(number, rows, answers)
+            give_back()
+
+        return run
+
+    def scoring(pairs: Iterator) -> Iterator:
         for rows, answers in pairs:
-            for number, blobs, heads in events(rows):
-                for batch, blob in heads:
-                    yield batch, (None, blob)
-                if not blobs:
-                    continue
-                part = Part(blobs)
-                customers, first, *later = _sums_of(part, answers, n, 2 + SAMPLES)
-                mine, at = _frequent_at(part.word, total.frequent)
-                count = part.count.copy()
-                count[mine] = total.frequent_count[at]
-                entry = np.minimum(np.searchsorted(part.key, part.event), max(0, len(part.key) - 1))
-                seen = part.key[entry] == part.event if len(part.key) else np.zeros(len(part.event), bool)
-                c = np.where(seen, part.c[entry], 0) if len(part.key) else np.zeros(len(part.event))
-                below = STRENGTH + customers[part.u]
-                p = np.zeros(len(part.event))
-                for (t, root_c, root_t), sample, tables in zip(sweeps(part, first, total, number), samples.value, later, strict=True):
-                    root_c, root_t = root_c.copy(), root_t.copy()
-                    root_c[mine], root_t[mine] = sample.frequent_customers[at], sample.frequent_tables[at]
-                    base = (STRENGTH + D_ROOT * sample.root_tables) / (total.vocabulary + 1)
-                    p0 = (root_c - D_ROOT * root_t + base) / (STRENGTH + sample.root_customers)
-                    own = np.where(seen, c - total.d * t[entry], 0) if len(part.key) else 0
-                    p += (own + (STRENGTH + total.d * tables[part.u]) * p0[part.w]) / below
-                values = (np.log10(count[part.w] + 1.0), (count[part.w] > 0).astype(float), np.log10(p / SAMPLES))
-                start = 0
-                for batch, texts, size in part.batches:
-                    own = part.doc[start : start + size]
-                    yield batch, (np.stack([np.bincount(own, weights=x[start : start + size], minlength=texts) for x in values]), None)
-                    start += size
-
-    def joined(a: tuple, b: tuple) -> tuple:
-        return (b[0] if a[0] is None else a[0] if b[0] is None else a[0] + b[0]), a[1] or b[1]
-
-    floor = float(np.log10(totals.n_tokens + totals.vocabulary + 1))
-    train_tokens = totals.n_tokens
-
-    def rows_of(pair: tuple) -> Iterator[tuple]:
-        sums, head = pair[1]
-        texts = (len(head) - 1) // 18
-        ids, size = np.frombuffer(head, "<i8", texts, 1), np.frombuffer(head, "<i8", texts, 1 + 9 * texts)
-        null, train = np.frombuffer(head, bool, texts, 1 + 8 * texts), np.frombuffer(head, bool, texts, 1 + 17 * texts)
-        for i in range(texts):
-            yield (None if null[i] else int(ids[i]), not bool(train[i]), int(size[i]), round(float(sums[1, i])), train_tokens, float(sums[0, i] - size[i] * floor), float(sums[2, i]))
-
-    out = _beside(parts, _answered(asked_again, n)).mapPartitions(scored).reduceByKey(joined, numPartitions=n).flatMap(rows_of)
-    return spark.createDataFrame(out, f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", verifySchema=False)
+            yield from sampler.scores(rows, answers)
+        give_back()
+
+    first = parts.mapPartitions(opening).partitionBy(n, int)
+    answers = _beside(first, first).mapPartitions(answered(0, frequent)).partitionBy(n, int)
+    for number in range(1, SWEEPS + 1):
+        asked = _beside(parts, answers).mapPartitions(sweeping(number)).partitionBy(n, int)
+        answers = _beside(first, asked).mapPartitions(answered(number, frequent)).partitionBy(n, int)
+    done = _beside(parts, answers).mapPartitions(scoring).reduceByKey(_added, numPartitions=n).map(_blob)
+    return _texts(spark.createDataFrame(done, "blob binary", verifySchema=False), id_col)
+
+
+def perplexity(scored: DataFrame) -> DataFrame:
+    """(held_out, tokens, base, model): perplexity per token of the texts learned from and of the others."""
+    of = lambda c: F.pow(F.lit(10.0), -F.sum(c) / F.sum("n_tokens"))
+    return scored.groupBy("held_out").agg(F.sum("n_tokens").alias("tokens"), of("base_score").alias("base"), of("score").alias("model"))
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

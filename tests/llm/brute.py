@@ -33,6 +33,67 @@ def lm_base(docs):
     return out
 
 
+def stirling(c, d=0.5):
+    """[S(c, t) for t = 1 .. c] by the recurrence S(c + 1, t) = S(c, t - 1) + (c - t d) S(c, t)."""
+    row = [1.0]
+    for n in range(1, c):
+        row = [(row[t - 2] if t > 1 else 0.0) + ((n - t * d) * row[t - 1] if t <= n else 0.0) for t in range(1, n + 2)]
+        top = max(row)
+        row = [x / top for x in row]
+    return row
+
+
+def tables(c, y, u):
+    """The number of tables drawn by u from the weights S(c, t) y^t."""
+    logs = [math.log(s) + t * math.log(y) if s > 0 else -math.inf for t, s in enumerate(stirling(c), 1)]
+    weights = [math.exp(x - max(logs)) for x in logs]
+    total, at = u * sum(weights), 0.0
+    for t, w in enumerate(weights, 1):
+        at += w
+        if at > total:
+            return t
+    return c
+
+
+def lm_scores(docs, draws, burn_in, samples, d=0.5, theta=1.0):
+    """({row: log10 probability}, {the sum over all words and the unknown one of p(word | context)}), customer by customer.
+
+    draws(kind, sweep, word, context) gives the random numbers: a gamma variable of a shape, or a uniform one.
+    """
+    tokens = [["<s>", *words((t or "").translate(UPPER)), "</s>"] for _, t in docs]
+    c = Counter((w, u) for ts, (i, _) in zip(tokens, docs) if crc(i) % 7 != 2 for u, w in zip(ts, ts[1:]))
+    vocabulary = {w for w, _ in c}
+    v, t, t0 = len(vocabulary), dict.fromkeys(c, 1), dict.fromkeys(vocabulary, 1)
+    total, out, sums = Counter(), [0.0] * len(docs), []
+    for (_, u), n in c.items():
+        total[u] += n
+    kept = []
+    for sweep in range(1, burn_in + samples + 1):
+        c0, of = Counter(), Counter()
+        for (w, u), n in t.items():
+            c0[w] += n
+            of[u] += n
+        before = sum(t0.values())
+        p0 = {w: (c0[w] - d * t0[w] + (theta + d * before) / (v + 1)) / (theta + sum(c0.values())) for w in vocabulary}
+        t = {(w, u): tables(n, d * draws("gamma", sweep, None, u, theta / d + of[u]) * p0[w], draws("seat", sweep, w, u, None)) for (w, u), n in c.items()}
+        c0, of = Counter(), Counter()
+        for (w, u), n in t.items():
+            c0[w] += n
+            of[u] += n
+        x0 = draws("gamma", sweep, None, None, theta / d + before)
+        t0 = {w: tables(c0[w], d * x0 / (v + 1), draws("root", sweep, w, None, None)) for w in vocabulary}
+        if sweep > burn_in:
+            rest = (theta + d * sum(t0.values())) / (v + 1)
+            below = theta + sum(c0.values())
+            parent = lambda w, c0=c0, t0=t0, rest=rest, below=below: (c0[w] - d * t0.get(w, 0) + rest) / below
+            kept.append(lambda w, u, t=t, of=of, parent=parent: (c[w, u] - d * t.get((w, u), 0) + (theta + d * of[u]) * parent(w)) / (theta + total[u]))
+    for p in kept:
+        sums += [sum(p(w, u) for w in (*vocabulary, "never seen")) for u in (*list(total)[:5], "no context")]
+    for k, ts in enumerate(tokens):
+        out[k] = sum(math.log10(sum(p(w, u) for p in kept) / len(kept)) for u, w in zip(ts, ts[1:]))
+    return out, sums
+
+
 def substrings(docs, window=13):
     """[(doc_id, n_words, n_removed, kept_sha256)] in order of the rows; null ids are after all others."""
     key = lambda i: (i is None, i or 0)

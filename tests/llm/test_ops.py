@@ -62,9 +62,65 @@ def test_lm(spark, sf_dir, docs, hostile, empty):
     assert scoring.fit_and_score(empty).count() == 0
 
 
-def test_lm_probabilities_add_up():
-    """The predictive probability of one restaurant over all words and the unknown one is 1."""
-    assert abs(np.exp(scoring.stirling(0.5)[3, 1:4]).sum() - (0.75 + 1.5 + 1)) < 1e-9
+def lm_draws(kind, sweep, word, context, shape):
+    """The operator's random numbers, one at a time."""
+    h = lambda x, end: np.array([end if x in ("<s>", "</s>") else scoring.Hashes()[x.encode()]], np.uint64)
+    w, u = (h(x, end) if x is not None else None for x, end in ((word, scoring.END), (context, scoring.START)))
+    if kind == "gamma":
+        return float(scoring.gamma(np.array([shape]), scoring.seeds(sweep, u) if u is not None else scoring.seeds(sweep))[0])
+    return float(scoring.uniform(scoring.seeds(sweep, w, u if kind == "seat" else np.array([7], np.uint64)))[0])
+
+
+def test_lm_against_one_customer_after_another(spark):
+    """The whole sampler in plain Python; in every kept state the probabilities of a context add up to one."""
+    r = np.random.default_rng(6)
+    names = [f"w{k}" for k in range(30)]
+    docs = [(i, " ".join(names[min(29, int(k))] for k in r.geometric(0.2, r.integers(0, 30)))) for i in range(70)] + [(None, "w1 w1 w1"), (3, None), (9, "Never W2")]
+    want, sums = brute.lm_scores(docs, lm_draws, scoring.BURN_IN, scoring.SAMPLES)
+    assert len(sums) > 5 and all(math.isclose(x, 1, rel_tol=1e-9) for x in sums)
+    df = spark.createDataFrame([(i, t) for i, t in docs], "doc_id long, text string").repartition(3)
+    found = sorted(((r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in scoring.fit_and_score(df).collect()), key=repr)
+    assert found == sorted(((i, len(brute.words(t)) + 1, round(x, 6)) for (i, t), x in zip(docs, want)), key=repr)
+
+
+def test_lm_seats():
+    """Draws of few and of many customers follow the weights S(c, t) y^t."""
+    h = np.arange(40_000, dtype=np.uint64) * np.uint64(77)
+    for c, y in ((2, 0.3), (7, 2.0), (60, 0.05), (60, 40.0), (200, 5.0)):
+        logs = [math.log(s) + t * math.log(y) if s > 0 else -math.inf for t, s in enumerate(brute.stirling(c), 1)]
+        weights = np.exp(np.array(logs) - max(logs))
+        mean = float((weights * np.arange(1, c + 1)).sum() / weights.sum())
+        t = scoring.seat(np.full(len(h), c), np.full(len(h), y), h)
+        assert t.min() >= 1 and t.max() <= c and abs(t.mean() - mean) < 0.03 * mean
+    big = scoring.seat(np.full(200, 10**9), np.full(200, 0.4), h[:200])
+    assert (big >= 1).all() and big.mean() < 50
+    x = scoring.gamma(np.full(len(h), 3.5), h)
+    assert abs(x.mean() - 3.5) < 0.05 and abs(x.var() - 3.5) < 0.15
+
+
+def test_lm_does_not_depend_on_partitions(spark, docs):
+    found = []
+    for n in (4, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            found.append(sorted((r["doc_id"], r["score"]) for r in scoring.fit_and_score(docs.repartition(n)).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+
+
+def test_lm_frequent_words_are_split_without_a_trace(spark, monkeypatch):
+    """A word that is a third of all tokens is dealt by its contexts too; the scores are those of whole words."""
+    rows = [(i, " ".join(f"hot c{(i * k) % 50}" for k in range(1, 30))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    split = sorted((r["doc_id"], r["score"]) for r in scoring.fit_and_score(df).collect())
+    monkeypatch.setattr(scoring, "SAMPLE_TEXTS", 0)  # nothing is found to be frequent
+    assert sorted((r["doc_id"], r["score"]) for r in scoring.fit_and_score(df).collect()) == split
+
+
+def test_lm_perplexity(spark, sf_dir):
+    got = {r["held_out"]: r for r in scoring.perplexity(scoring.op1_lm_score(spark, sf_dir)).collect()}
+    assert got[True]["model"] < 0.6 * got[True]["base"] and got[False]["model"] < got[True]["model"]
 
 
 def test_lm_contexts_are_not_merged(spark):
