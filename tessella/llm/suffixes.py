@@ -1,17 +1,22 @@
 """Operator 4: substring deduplication by prefix-partitioned suffix trees.
 
-Every word starts a suffix. Suffixes are split into groups by variable-length prefixes: a suffix belongs to
-the group of its shortest prefix that is not frequent, so that no group outgrows a task's memory; which
-prefixes are frequent is estimated on a bounded sample, which moves groups about but changes no result. The
-tree of a group is cut off at ``WINDOW`` words: a suffix is carried as a 56-bit fingerprint of its first
-``WINDOW`` words, and an internal node of that depth is a run of equal fingerprints. (Two different windows of
-one group meet with a probability of group size / 2**56, about 4e-11.) Of such a node only the first document
-matters; documents are dealt into ranges of ids, so a range that is not the first of a node is told that the
-node starts earlier. Adjacent windows then join to maximal repeats.
-
-Before anything is sent, the windows of a range are reduced to distinct ones, so a passage with any number of
-copies is one fingerprint for each range. The texts cross the network once: both passes over them, and the
-answer, are grouped by the same exchange.
+Every word starts a suffix. Suffixes are split into groups by variable-length prefixes: a suffix belongs to the group of
+its shortest prefix that is not frequent, so that no group outgrows a task's memory. How many groups there are follows
+from the size of all texts (``GROUP_CHARS``); which prefixes are frequent is estimated on a bounded sample, which moves
+groups about but changes no result.
+
+The tree of a group is cut off at ``WINDOW`` words and kept in sorted order: a suffix is the labels of its path, hashes of
+its words 1-4, 5-8 and 9-13 (32, 24 and 24 bits), and suffixes are sorted by these labels, so that every node is a run of
+neighbours. Runs that agree in all three labels are the nodes of depth ``WINDOW``. Two things depart from trees over
+letters: labels are hashes, so that two different windows of one group meet with a probability of 2**-80 a pair (1e-7 of
+one false match expected among 5e9 windows in 1000 groups), and longer repeats show as overlapping nodes of that depth,
+which the documents join again to maximal repeats, instead of as deeper nodes.
+
+Of a node only the earliest document matters. Documents are dealt into ranges of ids whose bounds come from a bounded
+sample; an id (or no id) that many rows share gets several ranges of one class, and a range is told of those of its
+windows that a range of an earlier class has as well. Before anything is sent, the windows of a range are reduced to
+distinct ones, so a passage with any number of copies is one suffix for each range. The texts cross the network once:
+both passes over them, and the answer, are grouped by the same exchange.
 
 Defined cases: a null text has no words; a null id is after all others and as late as other nulls; rows that
 repeat an id do not remove each other's windows; a text of fewer words than a window keeps all; an empty
@@ -21,21 +26,26 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table, words_of
+from .common import give_back, shuffle_partitions, table, words_of
 
 WINDOW = 13
+#: Where the labels of a path end, and their bits.
+LABELS = ((4, 32), (8, 24), (WINDOW, 24))
 #: Most words of a variable-length prefix, and the texts (of at most so many characters) that are sampled to find the frequent ones.
 DEPTH, SAMPLE_TEXTS, SAMPLE_CHARS = 4, 400, 20_000
+#: Characters of text for each group and each range (about five million suffixes, 100 MB), and ids sampled for each range.
+GROUP_CHARS, RANGE_IDS = 32_000_000, 64
 CACHE = 300_000
-_LOW56 = np.uint64((1 << 56) - 1)
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -98,105 +108,177 @@ class Prefixes:
         return (out >> np.uint64(32)) % np.uint64(self.groups)
 
 
-def _pack(fp: np.ndarray) -> bytes:
-    return fp.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
-    return out.view("<u8").ravel()
-
-
-def _windows(texts: list[str | None], window: int) -> tuple[list[list[bytes]], list[np.ndarray]]:
-    hashes, words, arrays = Hashes(), [], []
-    for t in texts:
-        words.append(words_of(t))
-        arrays.append(hashes.of(words[-1]))
-    return words, arrays
-
-
-def dealt(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataFrame:
-    """(_id, _text, _range), the ranges ascending with the id; nulls in a range of their own. One exchange, by range."""
-    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    cuts = slim.approxQuantile("_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_b", handleInvalid="keep").transform(slim.withColumn("_key", F.col("_id").cast("double")))
-    return bucketed.select("_id", "_text", F.col("_b").cast("int").alias("_range")).repartition(ranges, "_range")
+def labels(h: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Of every window, the labels of its path as 64 and 16 bits that sort like the labels; h are hashes of words."""
+    last = len(h) - window + 1
+    if last <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
+    ends = [(min(end, window), bits) for end, bits in LABELS]
+    ends[-1] = (window, ends[-1][1])
+    start, parts = 0, []
+    for end, bits in ends:
+        size = max(1, end - start)
+        parts.append(prefix_hashes(h[min(start, window - 1) :], size, last) >> np.uint64(64 - bits))
+        start = end
+    high = (parts[0] << np.uint64(32)) | (parts[1] << np.uint64(8)) | (parts[2] >> np.uint64(16))
+    return high, (parts[2] & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def _pack(high: np.ndarray, low: np.ndarray) -> bytes:
+    """Sorted labels: their first 16 bits as differences, the rest as it is."""
+    top = (high >> np.uint64(48)).astype(np.int32)
+    steps = zstandard.ZstdCompressor(level=1).compress(np.diff(top, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes())
+    rest = np.ascontiguousarray(high, "<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return len(high).to_bytes(8, "little") + len(steps).to_bytes(8, "little") + steps + rest.tobytes() + low.astype("<u2").tobytes()
+
+
+def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, size = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[16 : 16 + size]), np.uint8).reshape(2, -1) if n else np.zeros((2, 0), np.uint8)
+    top = np.cumsum(np.ascontiguousarray(steps.T).view("<u2").ravel().astype(np.int64)).astype(np.uint64)
+    high = np.zeros((n, 8), np.uint8)
+    high[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 16 + size).reshape(-1, 6)
+    return high.view("<u8").ravel() | (top << np.uint64(48)), np.frombuffer(raw, "<u2", n, 16 + size + 6 * n)
+
+
+def _joined(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in arrays)]), np.concatenate([np.zeros(0, np.uint16), *(b for _, b in arrays)])
+
+
+def _again(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Of sorted labels, whether each equals the one before."""
+    return np.r_[False, (high[1:] == high[:-1]) & (low[1:] == low[:-1])] if len(high) else np.zeros(0, bool)
+
+
+def _among(high: np.ndarray, low: np.ndarray, known_high: np.ndarray, known_low: np.ndarray) -> np.ndarray:
+    """Whether each pair of labels is one of the known, which are sorted."""
+    found = np.zeros(len(high), bool)
+    if not len(known_high):
+        return found
+    at = np.searchsorted(known_high, high)
+    steps = int(np.diff(np.flatnonzero(np.r_[True, known_high[1:] != known_high[:-1], True])).max())
+    for k in range(steps):  # as many as there are equal first labels
+        here = np.minimum(at + k, len(known_high) - 1)
+        found |= (known_high[here] == high) & (known_low[here] == low)
+    return found
+
+
+def plan(docs: DataFrame, id_col: str, text_col: str) -> tuple[int, list[float], dict[float, int], int]:
+    """(groups, bounds of id ranges, ids with several ranges -> how many, ranges of rows without id), from sizes and a bounded sample of ids."""
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars")).first()
+    n = max(shuffle_partitions(docs.sparkSession), -(-size["chars"] // GROUP_CHARS))
+    if not size["ids"]:
+        return n, [], {}, n
+    share = min(1.0, RANGE_IDS * n / size["ids"])
+    some = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("double"))
+    ids = sorted(r[0] for r in (some.sample(share, 7) if share < 1 else some).collect()) or [0.0]  # about RANGE_IDS * n numbers
+    cuts = Counter(ids[len(ids) * i // n] for i in range(1, n))
+    return n, sorted(cuts), {v: m for v, m in cuts.items() if m > 1}, 1 + n * (size["rows"] - size["ids"]) // size["rows"]
+
+
+def dealt(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], several: dict[float, int], without: int) -> tuple[DataFrame, np.ndarray]:
+    """((_id, _text, _range), the class of each range). Ranges and classes ascend with the id. One exchange, by range."""
+    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_key", F.col("_id").cast("double"))
+    splits = [float("-inf"), *(bounds or [0.0]), float("inf")]
+    # every bucket between two bounds is a range; the ranges of an id that has several come before that of its bucket
+    classes, first, own = [], [], {}
+    for i in range(len(splits) - 1):
+        if splits[i] in several:
+            own[splits[i]] = len(classes)
+            classes += [len(classes)] * several[splits[i]]
+        first.append(len(classes))
+        classes.append(len(classes))
+    rest = len(classes)
+    classes += [rest] * without
+    spread = F.pmod(F.xxhash64("_text"), F.lit(1 << 30))
+    bucket = F.element_at(F.array(*map(F.lit, first)), F.col("_b").cast("int") + 1)
+    number = bucket
+    if own:
+        start, many = (F.element_at(F.create_map(*[F.lit(x) for v, k in pairs.items() for x in (v, k)]), F.col("_key")) for pairs in (own, several))
+        number = F.coalesce((start + spread % many).cast("int"), bucket)
+    number = F.when(F.col("_key").isNull(), F.lit(rest) + spread % without).otherwise(number)
+    bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_b", handleInvalid="keep").transform(slim)
+    return bucketed.select("_id", "_text", number.cast("int").alias("_range")).repartition(len(classes), "_range"), np.array(classes, np.int64)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of each document, with the kept words as text on demand."""
     spark = docs.sparkSession
-    n = shuffle_partitions(spark)
-    rows = dealt(docs, id_col, text_col, n)
+    n, bounds, several, without = plan(docs, id_col, text_col)
+    rows, classes = dealt(docs, id_col, text_col, bounds, several, without)
     sample = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(text_col).orderBy(F.xxhash64(F.col(id_col), F.length(text_col))).limit(SAMPLE_TEXTS)
-    prefixes = spark.sparkContext.broadcast(Prefixes([r[0] for r in sample.collect()], n))
+    shared = spark.sparkContext.broadcast((Prefixes([r[0] for r in sample.collect()], n), classes))
 
     def suffixes(part: pa.Table) -> pa.Table:
-        """The distinct windows of a range, by group."""
-        split = prefixes.value
-        fps, groups = [], []
-        hashes = Hashes()
+        """The distinct suffixes of a range, by group."""
+        split = shared.value[0]
+        hashes, found, groups = Hashes(), [], []
         for t in part.column("_text"):
             h = hashes.of(words_of(t.as_py()))
-            last = len(h) - window + 1
-            if last > 0:
-                fps.append(prefix_hashes(h, window, last) & _LOW56)
-                groups.append(split.group(h, last).astype(np.uint64))
-        out: dict[str, list] = {"_group": [], "_range": [], "fp": []}
-        if fps:
-            fp, group = np.concatenate(fps), np.concatenate(groups)
-            del fps, groups
-            order = np.lexsort((fp, group))
-            fp, group = fp[order], group[order]
-            new = np.ones(len(fp), bool)
-            new[1:] = (fp[1:] != fp[:-1]) | (group[1:] != group[:-1])
-            fp, group = fp[new], group[new]
+            if len(h) >= window:
+                found.append(labels(h, window))
+                groups.append(split.group(h, len(h) - window + 1).astype(np.int64))
+        out: dict[str, list] = {"_group": [], "_range": [], "suffixes": []}
+        if found:
+            (high, low), group = _joined(found), np.concatenate(groups)
+            del found, groups
+            order = np.lexsort((low, high, group))
+            high, low, group = high[order], low[order], group[order]
+            new = ~_again(high, low) | np.r_[True, group[1:] != group[:-1]]
+            high, low, group = high[new], low[new], group[new]
             cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             own = part.column("_range")[0].as_py()
-            for a, b in zip(cuts, [*cuts[1:], len(fp)], strict=True):
+            for a, b in zip(cuts, [*cuts[1:], len(high)], strict=True):
                 out["_group"].append(int(group[a]))
                 out["_range"].append(own)
-                out["fp"].append(_pack(fp[a:b]))
-        return pa.table(out, pa.schema([("_group", pa.int32()), ("_range", pa.int32()), ("fp", pa.binary())]))
+                out["suffixes"].append(_pack(high[a:b], low[a:b]))
+        give_back()
+        return pa.table(out, pa.schema([("_group", pa.int32()), ("_range", pa.int32()), ("suffixes", pa.binary())]))
 
     def nodes(part: pa.Table) -> pa.Table:
-        """To each range, those of its windows that an earlier range has as well."""
-        ranges, arrays = part.column("_range").to_pylist(), [_unpack(x.as_py()) for x in part.column("fp")]
-        owner = np.repeat(np.array(ranges, np.int32), [len(a) for a in arrays])
-        fp = np.concatenate(arrays)
+        """The tree of a group; to each range, those of its suffixes whose deepest node starts in a range of an earlier class."""
+        class_of = shared.value[1]
+        ranges, arrays = part.column("_range").to_pylist(), [_unpack(x.as_py()) for x in part.column("suffixes")]
+        owner = np.repeat(np.array(ranges, np.int32), [len(a) for a, _ in arrays])
+        high, low = _joined(arrays)
         del arrays
-        order = np.lexsort((owner, fp))
-        fp, owner = fp[order], owner[order]
-        later = np.r_[False, fp[1:] == fp[:-1]]  # the first of a run of equal windows is in the earliest range
-        fp, owner = fp[later], owner[later]
-        out: dict[str, list] = {"_range": [], "fp": []}
+        order = np.lexsort((owner, low, high))
+        high, low, owner = high[order], low[order], owner[order]
+        again = _again(high, low)
+        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(high))))  # of a node the suffix of the earliest range
+        later = class_of[owner] > class_of[owner[first]]
+        high, low, owner = high[later], low[later], owner[later]
+        out: dict[str, list] = {"_range": [], "suffixes": []}
         for r in np.unique(owner):
+            own = owner == r
             out["_range"].append(int(r))
-            out["fp"].append(_pack(fp[owner == r]))
-        return pa.table(out, pa.schema([("_range", pa.int32()), ("fp", pa.binary())]))
+            out["suffixes"].append(_pack(high[own], low[own]))
+        give_back()
+        return pa.table(out, pa.schema([("_range", pa.int32()), ("suffixes", pa.binary())]))
 
     names = [id_col, "n_words", "n_removed", "kept_sha256"]
     schema = pa.schema([(id_col, pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *([("kept_text", pa.string())] if keep_text else [])])
 
     def removed(part: pa.Table, told: pa.Table) -> pa.Table:
         ids = part.column("_id").to_pylist()
-        earlier = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_unpack(x.as_py()) for x in told.column("fp"))]))
+        known = _joined([_unpack(x.as_py()) for x in told.column("suffixes")])
+        by = np.lexsort(known[::-1])
+        known = known[0][by], known[1][by]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
-        words, arrays = _windows([part.column("_text")[i].as_py() for i in order], window)
-        last = [max(0, len(a) - window + 1) for a in arrays]
-        fp = np.concatenate([np.zeros(0, np.uint64), *(prefix_hashes(a, window, k) & _LOW56 for a, k in zip(arrays, last, strict=True) if k)])
-        rank = np.cumsum([0, *(ids[order[i]] != ids[order[i - 1]] for i in range(1, len(order)))]) if order else np.zeros(0)
+        hashes, words, found = Hashes(), [], []
+        for i in order:
+            words.append(words_of(part.column("_text")[i].as_py()))
+            found.append(labels(hashes.of(words[-1]), window))
+        last = [len(a) for a, _ in found]
+        high, low = _joined(found)
+        del found
+        rank = np.cumsum([0, *(ids[order[i]] != ids[order[i - 1]] for i in range(1, len(order)))]) if order else np.zeros(0, np.int64)
         owner = np.repeat(rank, last)
-        gone = np.zeros(len(fp), bool)
-        if len(fp):
-            if len(earlier):
-                at = np.minimum(np.searchsorted(earlier, fp), len(earlier) - 1)
-                gone |= earlier[at] == fp
-            by = np.argsort(fp, kind="stable")  # stable: within a window by rank
-            same = np.r_[False, fp[by][1:] == fp[by][:-1]]
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
+        gone = _among(high, low, *known)
+        if len(high):
+            by = np.lexsort((low, high))  # stable: within a window by rank
+            again = _again(high[by], low[by])
+            first = np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
             gone[by] |= owner[by] > owner[by][first]
         out: list[list] = [[], [], [], [], []]
         at = 0
@@ -211,10 +293,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kept = b" ".join([x for x, y in zip(w, keep, strict=True) if y]) if len(hit) else b" ".join(w)
             for column, value in zip(out, (ids[i], len(w), int(len(w) - keep.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass") if keep_text else None), strict=True):
                 column.append(value)
+        give_back()
         return pa.table(dict(zip(schema.names, out, strict=False)), schema)
 
-    sent = rows.groupBy("_range").applyInArrow(suffixes, "_group int, _range int, fp binary")
-    answers = sent.repartition(n, "_group").groupBy("_group").applyInArrow(nodes, "_range int, fp binary").repartition(n, "_range")
+    sent = rows.groupBy("_range").applyInArrow(suffixes, "_group int, _range int, suffixes binary")
+    answers = sent.repartition(n, "_group").groupBy("_group").applyInArrow(nodes, "_range int, suffixes binary").repartition(len(classes), "_range")
     result = rows.groupBy("_range").cogroup(answers.groupBy("_range")).applyInArrow(removed, f"{id_col} long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if keep_text else ""))
     return result if keep_text else result.select(*names)
 

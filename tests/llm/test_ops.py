@@ -179,6 +179,33 @@ def test_substrings(spark, sf_dir, docs, hostile, empty):
     assert suffixes.deduplicate(empty).count() == 0
 
 
+def test_substrings_of_hot_ids(spark):
+    """One id, or no id, for a third of all rows: several ranges of one class, which do not remove from each other."""
+    r = np.random.default_rng(2)
+    passages = [" ".join(f"p{k}w{i}" for i in range(20)) for k in range(12)]
+    text = lambda i: f"start{i} {passages[r.integers(12)]} middle{i} {passages[r.integers(12)]} end{i}"
+    rows = [(7, text(i)) for i in range(80)] + [(None, text(i)) for i in range(80)] + [(int(r.integers(100)), text(i)) for i in range(60)] + [(50, None), (51, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    n, bounds, several, without = suffixes.plan(df, "doc_id", "text")
+    assert several.get(7.0, 0) > 1 and without > 1
+    tuples = lambda rows: sorted((tuple(r) for r in rows), key=repr)
+    assert tuples(suffixes.deduplicate(df).collect()) == tuples(brute.substrings(rows))
+
+
+def test_labels_sort_like_their_path():
+    r = np.random.default_rng(1)
+    h = r.integers(0, 3, 5000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for window in (2, 5, 8, 13, 20):
+        high, low = suffixes.labels(h, window)
+        windows = [tuple(h[i : i + window]) for i in range(len(h) - window + 1)]
+        pairs = list(zip(high.tolist(), low.tolist()))
+        assert len(pairs) == len(windows) and len(set(pairs)) == len(set(windows)) == len(set(zip(pairs, windows)))
+        order = np.lexsort((low, high))
+        a, b = suffixes._unpack(suffixes._pack(high[order], low[order]))
+        assert (a == high[order]).all() and (b == low[order]).all()
+        assert suffixes._among(high, low, a[::2], b[::2]).sum() >= len(a) // 2
+
+
 def check_mix(rows, docs):
     size = brute.mix(docs)
     taken = Counter()
