@@ -1,18 +1,21 @@
 """Operator 5: mixing sources to target weights by weighted fair queueing.
 
-Every source is a queue with a weight. Its documents stand in an order drawn from a hash of their id, and
-are queued ``passes`` times over (a source smaller than its target is repeated). A copy's virtual finish
-time is the number of source words queued up to its end, divided by the source's weight. The copies of all
-sources, sorted by that time and cut where their sum reaches the total budget, are the mix.
+Every source is a queue with a weight. Its documents stand in an order drawn from a hash of their id and text, and
+are queued ``cap`` times over (a source smaller than its target is repeated). A copy is served from its virtual start time,
+the number of source words queued before it divided by the source's weight, to its virtual finish time, the same with
+its own words. The copies of all sources, sorted by finish time and cut where the words served reach the total budget, are
+the mix (:func:`mix_documents` sorts and cuts); ``taken`` counts the words of a document's copies served before the cut.
 
 No source is ever gathered in one task: a running sum is taken inside (source, hash bucket) groups and
-shifted by the sum of the buckets before, so that a source with a third of all rows is spread evenly. The
-cut needs only one row for each source: the virtual time at which the budget is used up solves
-sum(min(cap_s, v * w_s)) = budget.
-
-Defined cases: a null text has size 0 and is never taken; null sources form one source, last in order; a
-null id hashes as an empty text; repeated rows are queued one by one; an empty table gives an empty mix;
-other columns are carried by :func:`mix_documents` and ignored by :func:`schedule`.
+shifted by the sum of the buckets before, so that a source with a third of all rows is spread evenly. Texts are measured
+once, into a slim table; rows that share id and text are added up before anything is shuffled and are one entry with as
+many copies. The virtual time of the cut needs only one row for each source: it solves
+sum(min(cap_s, v * w_s)) = budget, which is where the sorted copies' sum reaches the budget.
+
+Defined cases: a null text has size 0 and is never taken; null sources form one source, last in order; a null id hashes as
+an empty text; repeated rows are queued one after the other, and a mix gives them the other columns of the first by their
+JSON form; an empty table gives an empty mix; other columns are carried by :func:`mix_documents` and ignored by
+:func:`schedule`, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table, word_count
+from .common import shuffle_partitions, stored, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -29,8 +32,18 @@ CAP = 2
 SEED = "mix-1"
 
 
-def _hash(id_col: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f"/{seed}")).cast("binary"))
+#: Copies of repeated rows that one row stands for at most.
+CHUNK = 1000
+
+
+def _hash(id_col: Column, text_col: Column, seed: str) -> Column:
+    text = F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f"/{seed}/"), text).cast("binary"))
+
+
+def _key(source: Column) -> Column:
+    """Stands for the source and is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -53,37 +66,43 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     )
 
 
-def _queue(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, cap: int, seed: str, with_row: bool) -> DataFrame:
-    """Every document with its place in its source's queue. _key stands for the source and is never null, so that
-    the running sums and the join need one exchange between them."""
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if with_row else []
-    src = F.col(source_col).cast("string")
-    slim = docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), F.coalesce(F.concat(F.lit("="), src), F.lit("")).alias("_key"),
-        word_count(F.col(text_col)).alias("size"), _hash(F.col(id_col), seed).alias("_h"), *row,
-    ).withColumn("_bucket", F.substring("_h", 1, 3))
-    sums = slim.groupBy("_key", "_bucket").agg(F.first("_src").alias("_src"), F.sum("size").alias("_sum"))
+def _queue(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, cap: int, seed: str) -> DataFrame:
+    """Every entry (id, source, hash; n rows of size words) with the words queued before it and the plan of its source."""
+    text = F.col(text_col)
+    slim = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), _key(F.col(source_col)).alias("_key"), word_count(text).alias("size"), _hash(F.col(id_col), text, seed).alias("_h"))
+    entries = slim.groupBy("_key", "_h").agg(F.first("_id").alias("_id"), F.first("_src").alias("_src"), F.first("size").alias("size"), F.count(F.lit(1)).alias("_n"))
+    entries = stored(entries.withColumn("_bucket", F.substring("_h", 1, 3)))
+    words = F.col("size") * F.col("_n")
+    sums = entries.groupBy("_key", "_bucket").agg(F.first("_src").alias("_src"), F.sum(words).alias("_sum"))
     offsets = sums.withColumn("_offset", F.sum("_sum").over(W.partitionBy("_key").orderBy("_bucket")) - F.col("_sum")).drop("_src")
     by_source = sums.groupBy("_key").agg(F.first("_src").alias("_src"), F.sum("_sum").alias("source_size"))
     targets = source_targets(by_source, weights, share, cap)
     plan = offsets.join(targets, "_key").select("_key", "_bucket", "_offset", "source_size", "weight", "cut", "target")
-    inside = W.partitionBy("_key", "_bucket").orderBy("_h", "_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    queued = slim.withColumn("_cum", F.sum("size").over(inside))
-    both = queued.join(plan, ["_key", "_bucket"])
-    before, words, taken = F.col("_offset") + F.col("_cum") - F.col("size"), F.floor("target").cast("long"), F.lit(0).cast("long")
+    inside = W.partitionBy("_key", "_bucket").orderBy("_h").rowsBetween(W.unboundedPreceding, 0)
+    queued = entries.withColumn("_cum", F.sum(words).over(inside)).join(plan, ["_key", "_bucket"])
+    chunks = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / CHUNK)))
+    each = queued.withColumn("_chunk", chunks).withColumn("_before", F.col("_offset") + F.col("_cum") - words + F.col("_chunk") * CHUNK * F.col("size"))
+    return each.withColumn("_n", F.least(F.col("_n") - F.col("_chunk") * CHUNK, F.lit(CHUNK))).drop("_offset", "_cum", "_chunk", "_bucket")
+
+
+def _served(before: Column, cap: int) -> Column:
+    """The words of all copies of a document that are served before the cut; before: words queued before its first copy."""
+    words, none = F.floor("target").cast("long"), F.lit(0).cast("long")
+    out = none
     for k in range(cap):
-        taken = taken + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), words - F.col("source_size") * k - before))
-    return both.withColumn("taken", taken.cast("long")).withColumn("finish_time", (before + F.col("size")) / F.col("weight"))
+        out = out + F.greatest(none, F.least(F.col("size"), words - F.col("source_size") * k - before))
+    return out.cast("long")
 
 
 def schedule(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED) -> DataFrame:
-    """Each document with its size, its source's size, weight and target, virtual finish time and words taken.
+    """Each document with its size, its source's size, weight and target, the virtual start and finish time of its first copy, and the words taken.
 
-    ``taken`` counts the words of the document's copies that lie before the cut; only the copy that
-    straddles the cut, one for each source, is counted in part.
+    The copy that straddles the cut, one for each source, is counted in part.
     """
-    q = _queue(docs, id_col, text_col, source_col, weights, share, cap, seed, False)
-    return q.select(F.col("_id").alias(id_col), F.col("_src").alias(source_col), "size", "source_size", "weight", "target", "finish_time", "taken")
+    q = _queue(docs, id_col, text_col, source_col, weights, share, cap, seed)
+    each = q.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).withColumn("_start", F.col("_before") + F.col("_i") * F.col("size"))
+    times = [(F.col("_start") / F.col("weight")).alias("start_time"), ((F.col("_start") + F.col("size")) / F.col("weight")).alias("finish_time")]
+    return each.select(F.col("_id").alias(id_col), F.col("_src").alias(source_col), "size", "source_size", "weight", "target", *times, _served(F.col("_start"), cap).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED) -> DataFrame:
@@ -91,11 +110,23 @@ def mix_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_col=
 
     The straddling copy is taken whole if at least half of it lies before the cut.
     """
-    q = _queue(docs, id_col, text_col, source_col, weights, share, cap, seed, True)
-    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0)).cast("int")
-    each = q.where(copies > 0).withColumn("_pass", F.explode(F.sequence(F.lit(0), copies - 1)))
-    timed = each.select("_row", "_id", (F.col("finish_time") + F.col("_pass") * F.col("source_size") / F.col("weight")).alias("_time"))
-    return timed.repartitionByRange(shuffle_partitions(docs.sparkSession), "_time").sortWithinPartitions("_time", "_id").select("_row.*")
+    q = _queue(docs, id_col, text_col, source_col, weights, share, cap, seed)
+    words = F.floor("target").cast("long")
+
+    def copy(i: Column, k: Column) -> Column:
+        """The finish time of pass k of the i-th of the repeated rows, where half of it at least is served before the cut."""
+        start = F.col("source_size") * k + F.col("_before") + i * F.col("size")
+        return F.when(2 * (words - start) >= F.col("size"), (start + F.col("size")) / F.col("weight"))
+
+    number = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)
+    times = F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda k: F.transform(number, lambda i: copy(i, k)))))
+    place = lambda key, h: F.md5(F.concat(h, key).cast("binary")).alias("_place")
+    copies = q.where(F.col("size") > 0).select(place(F.col("_key"), F.col("_h")), F.col("_h"), times.alias("_times")).where(F.size("_times") > 0)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(place(_key(F.col(source_col)), _hash(F.col(id_col), F.col(text_col), seed)), F.to_json(F.struct(*others)).alias("_order"), row).groupBy("_place").agg(F.min_by("_row", "_order").alias("_row"))
+    timed = rows.join(copies, "_place").select("_row", "_h", F.explode("_times").alias("_time"))
+    return timed.repartitionByRange(shuffle_partitions(docs.sparkSession), "_time", "_h").sortWithinPartitions("_time", "_h").select("_row.*")
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +136,7 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '/{SEED}')) AS h
+         md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '/{SEED}/', md5(coalesce(text, '')))) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rk FROM d GROUP BY source),
 w AS (SELECT *, CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),

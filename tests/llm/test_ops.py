@@ -227,6 +227,27 @@ def test_mix(spark, sf_dir, docs, hostile, empty):
     assert mixing.mix_documents(hostile).columns == hostile.columns and mixing.mix_documents(empty).count() == 0
 
 
+def test_mix_like_a_queue(spark):
+    """taken, against serving all copies word by word in the order of virtual finish times until the budget is used up."""
+    r = np.random.default_rng(3)
+    rows = [(int(i) if i % 9 else None, " ".join(["x"] * int(r.integers(0, 9))) + f" t{i % 40}", [None, "a", "b", "c"][min(3, int(r.geometric(0.4)) - 1)]) for i in range(120)] * 2 + [(7, None, "a"), (8, "", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash")).withColumn("target", F.lit(0)).withColumn("taken", F.lit(0)).withColumn("weight", F.lit(9)).withColumn("_key", F.lit(1))
+    got = mixing.schedule(df).collect()
+    sizes = brute.mix([(s, t) for _, t, s in rows])
+    budget = round(sum(t for _, t in sizes.values()))
+    words = sorted((x["start_time"] + (k * x["source_size"] + w + 1) / x["weight"], n) for n, x in enumerate(got) for k in range(mixing.CAP) for w in range(x["size"]))
+    served = Counter(n for _, n in words[:budget])
+    assert len(got) == len(rows) and abs(sum(x["taken"] for x in got) - budget) <= len(sizes)
+    assert sum(abs(served[n] - x["taken"]) for n, x in enumerate(got)) <= 2 * len(sizes)
+    mixed = mixing.mix_documents(df)
+    assert mixed.columns == df.columns
+    texts = Counter()
+    for x in mixed.collect():
+        texts[x["source"]] += len(brute.words(x["text"]))
+    assert all(abs(texts[s] - t) <= 10 for s, (_, t) in sizes.items())
+    assert sorted(map(repr, mixed.collect())) == sorted(map(repr, mixing.mix_documents(df.repartition(7)).collect()))
+
+
 def test_pii(spark, sf_dir, docs, hostile, empty):
     for df in (docs, hostile):
         columns = pii.base_spans(F.coalesce("text", F.lit("")))
