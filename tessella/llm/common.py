@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import ctypes
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.shared import passing_place, stored  # noqa: F401
+
 #: A word is a maximal run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 WS_CHARS = " \t\n\x0b\x0c\r"
-#: Set by the session the tool or cluster gives; else this folder is used (tests, local mode).
-FALLBACK_CHECKPOINT_DIR = "/tmp/tessella-checkpoints"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,28 +52,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; sets one only where the session has none."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = FALLBACK_CHECKPOINT_DIR
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(place)
-    return place
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df, written once as a table in the shared folder and read again.
-
-    Unlike a checkpoint, a table brings none of the constraints and partitionings of the plan that made it, which
-    loops would pile up in the driver; and it survives lost executors just as well.
-    """
-    spark = df.sparkSession
-    place = f"{shared_dir(spark)}/tessella-{uuid.uuid4().hex}"
-    df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
-
-
 def give_back() -> None:
     """Returns what this Python worker has freed to the system: between tasks it waits beside the JVM's own memory."""
     pa.default_memory_pool().release_unused()
