@@ -20,14 +20,15 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no language (null, or without a letter); a lang that was missing is filled in.
 
-    Without any labelled row no language is known and every text goes; repeated rows stay; languages that a text is
+    Without any labelled row no language is known, and texts with a letter stay; repeated rows stay; languages that a text is
     equally like are taken in the order of their sample's size, then name; other columns pass untouched.
     """
     model = langid.learn(docs, "text", "lang", "doc_id", F.lit(True))
     others = [c for c in docs.columns if c != "text"]
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text")
-    found = langid.identify(held, model).where(F.col("lang_pred") != "und")
-    named = {"text": F.col("text"), "lang": F.coalesce(F.col("row.lang"), "lang_pred")}
+    found = langid.identify(held, model)
+    found = found.where(F.col("lang_pred") != "und" if model.languages else F.col("text").rlike(r"\p{L}"))
+    named = {"text": F.col("text"), "lang": F.coalesce(F.col("row.lang"), F.nullif("lang_pred", F.lit("und")))}
     return found.select(*[named.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
