@@ -28,3 +28,15 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, keys: tuple[str,
             taken[r[label]] += 1
             out.append(r)
     return out
+
+
+def few_texts(docs: DataFrame, id_col: str, text_col: str, rows: int, most: int, chars: int) -> list[str]:
+    """At most `most` texts of up to `chars` characters, with the smallest hashes; rows is how many docs has.
+
+    For estimates that only move work about. Rows are thinned by hash as they are read, so that no task sends more than its
+    share of about 4 * most texts.
+    """
+    h = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(WHOLE))
+    share = int(min(1.0, 4 * most / max(1, rows)) * WHOLE)
+    some = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= chars)).select(F.col(text_col).alias("t"), h.alias("h")).where(F.col("h") < share)
+    return [r["t"] for r in some.orderBy("h", "t").limit(most).collect()]

@@ -21,7 +21,8 @@ tables in all restaurants, all its occurrences - is dealt to one task by one exc
 Words so frequent that they would outgrow a task are dealt by word and context; which ones is estimated on a bounded
 sample, which moves work about and changes no result. After every sweep each part sends the tables of its contexts (and
 its share of the frequent words' root customers) to the tasks that own these keys and gets the sums back: keys cross the
-network once, sums once a sweep. Lost tasks are made again from the same hashes.
+network once, sums once a sweep. All of this is one plan of grouped maps, in which the exchanges of the events and of the
+keys are made once and used by every sweep; lost tasks are made again from the same hashes.
 
 Defined cases: a null text counts as empty and consists of an end; a null id counts as an empty text for the
 split; repeated rows are scored and learned each; without training texts all probabilities are the base's; an
@@ -41,16 +42,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, give_back, lean, shuffle_partitions, table
+from .common import ASCII_LOWER, give_back, lean, table
+from .sampling import few_texts
 from .suffixes import Hashes, mixed
 
-BURN_IN, SAMPLES, SEED = 2, 2, 17
+BURN_IN, SAMPLES, SEED = 1, 2, 17
 SWEEPS = BURN_IN + SAMPLES
 DISCOUNT, STRENGTH = 0.5, 1.0
-BATCH_TOKENS, BATCH_TEXTS = 500_000, 60_000
+BATCH_TOKENS, BATCH_TEXTS = 1_000_000, 60_000
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 20_000
-#: A part holds about 50 bytes an event, all at once: parts are made smaller than usual partitions.
-PARTS_PER_PARTITION = 2
+#: Characters of text for each part: about two million events at 50 bytes, all at once; and the least number of parts.
+PART_CHARS, LEAST_PARTS = 12_000_000, 8
 END, START = np.uint64(1), np.uint64(2)
 HELD_OUT = (7, 2)
 #: Sums of logarithms are whole numbers of this fraction, so that they do not depend on the order of addition.
@@ -85,7 +87,7 @@ class Layout:
         return (key >> np.uint64(24)) % np.uint64(self.n)
 
 
-def _dealt(docs: DataFrame, layout: Layout):
+def _dealt(docs: DataFrame, layout: Layout) -> DataFrame:
     """Rows (part, batch, blob): the events of a batch of texts, by part, and one heading for each batch."""
     shared = docs.sparkSession.sparkContext.broadcast(layout)
 
@@ -130,8 +132,7 @@ def _dealt(docs: DataFrame, layout: Layout):
         if ids:
             yield sent(ids, arrays, number)
 
-    rows = docs.mapInArrow(lean(run), "part int, batch long, blob binary")
-    return rows.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(layout.n, int)
+    return docs.mapInArrow(lean(run), "part int, batch long, blob binary").repartition(layout.n, "part")
 
 
 class Part:
@@ -261,6 +262,21 @@ def root_draw(customers: np.ndarray, words: np.ndarray, sweep: int, tables_befor
     return seat(customers, np.full(len(customers), DISCOUNT * x / (vocabulary + 1)), seeds(sweep, words, np.array([7], np.uint64)))
 
 
+ASKED = pa.schema([("to", pa.int32()), ("kind", pa.string()), ("part", pa.int32()), ("keys", pa.binary()), ("a", pa.binary()), ("b", pa.binary()), ("few", pa.list_(pa.int64()))])
+ANSWERS = pa.schema([("to", pa.int32()), ("kind", pa.string()), ("owner", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("few", pa.list_(pa.int64())), ("mine", pa.list_(pa.int64()))])
+SCORED = pa.schema([("batch", pa.int64()), ("sums", pa.binary()), ("head", pa.binary())])
+SQL_TYPES = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>"}
+
+
+def _ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"`{f.name}` {SQL_TYPES[f.type]}" for f in schema)
+
+
+def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 class Asking:
     """The keys of a part, by the task that owns them: its contexts, and the frequent words it has a share of."""
 
@@ -275,62 +291,56 @@ class Asking:
         self.cuts = np.searchsorted(owner[self.order], np.arange(n + 1))
         self.n = n
 
-    def rows(self, number: int, values: list[tuple[np.ndarray, np.ndarray]], few: list[int], with_keys: bool) -> Iterator[tuple]:
-        """(owner, question) for every owner: values of contexts and of frequent words, and the part's few numbers."""
+    def rows(self, number: int, values: list[tuple[np.ndarray, np.ndarray]], few: list[int], with_keys: bool) -> list[tuple]:
+        """A question to every owner: values of contexts and of frequent words, and the part's few numbers."""
         ordered = [np.concatenate(v)[self.order] for v in values]
         keys = self.keys[self.order]
+        out = []
         for o in range(self.n):
             a, b = self.cuts[o], self.cuts[o + 1]
-            yield o, ("Q", number, keys[a:b].tobytes() if with_keys else None, [packed(v[a:b]) for v in ordered], few)
+            said = [packed(v[a:b]) for v in ordered] + [None] * (2 - len(ordered))
+            out.append((o, "Q", number, keys[a:b].tobytes() if with_keys else None, *said, few))
+        return out
 
-    def sums(self, answers: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
-        """(each value's sums in the order of keys, the few numbers added up over owners or, where all say the same, as said)."""
-        answers = sorted(answers, key=lambda r: r[1])
+    def sums(self, answers: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """(each value's sums in the order of keys, the numbers that all owners say alike, those added up over owners)."""
+        answers = sorted(answers, key=lambda r: r["owner"])
         out = []
-        for i in range(len(answers[0][2])):
-            ordered = np.concatenate([unpacked(r[2][i]) for r in answers])
-            v = np.zeros(len(ordered), np.int64)
-            v[self.order] = ordered
-            out.append(v)
-        return out, np.array(answers[0][3]), np.sum([r[4] for r in answers], axis=0)
+        for name in ("a", "b"):
+            if answers[0][name] is not None:
+                v = np.zeros(len(self.order), np.int64)
+                v[self.order] = np.concatenate([unpacked(r[name]) for r in answers])
+                out.append(v)
+        return out, np.array(answers[0]["few"]), np.sum([r["mine"] for r in answers], axis=0)
 
 
-def answered(sweep: int, frequent: np.ndarray):
+def _answers(sweep: int, owner: int, first: pa.Table, now: pa.Table, frequent: np.ndarray) -> pa.Table:
     """The task of an owner: sums of what all parts say about its keys, and the root tables of its frequent words."""
-
-    def run(pairs: Iterator) -> Iterator:
-        for first, now in pairs:
-            keyed = sorted((r for _, r in first if r[0] == "Q"), key=lambda r: r[1])
-            asked = sorted((r for _, r in now if r[0] == "Q"), key=lambda r: r[1])
-            for _, state in ((k, r) for k, r in now if r[0] == "S"):
-                yield state[1], state
-            if not asked:
-                continue
-            sizes = [len(r[2]) // 8 for r in keyed]
-            keys, at = np.unique(np.concatenate([np.frombuffer(r[2], "<u8") for r in keyed]), return_inverse=True)
-            sums = [np.bincount(at, weights=np.concatenate([unpacked(r[3][i]) for r in asked]), minlength=len(keys)).astype(np.int64) for i in range(len(asked[0][3]))]
-            few = np.sum([r[4][:4] for r in asked], axis=0).tolist()
-            tables_before, vocabulary = asked[0][4][4:]
-            own = frequent[np.isin(word_keys(frequent), keys)] if len(frequent) else frequent
-            place = np.searchsorted(keys, word_keys(own))
-            if sweep == 0:
-                known = sums[0][place] > 0
-                mine = [int(known.sum()), int(known.sum())]
-            else:
-                mine = [int(root_draw(sums[-1][place], own, sweep, tables_before, vocabulary).sum()), 0]
-            start = 0
-            for r, m in zip(asked, sizes, strict=True):
-                yield r[1], ("A", TaskContext.get().partitionId(), [packed(v[at[start : start + m]]) for v in sums], few, mine)
-                start += m
-        give_back()
-
-    return run
-
-
-def _beside(parts, answers):
-    """One row for each part: (its rows, its answers); both are dealt alike."""
-    whole = lambda rows: iter([list(rows)])
-    return parts.mapPartitions(whole).zip(answers.mapPartitions(whole))
+    keyed = sorted((r for r in first.select(["kind", "part", "keys"]).to_pylist() if r["kind"] == "Q"), key=lambda r: r["part"])
+    said = now.select(["kind", "part", "a", "b", "few"]).to_pylist()
+    asked = sorted((r for r in said if r["kind"] == "Q"), key=lambda r: r["part"])
+    out = [(r["part"], "S", owner, r["a"], None, None, None) for r in said if r["kind"] == "S"]
+    if asked:
+        sizes = [len(r["keys"]) // 8 for r in keyed]
+        keys, at = np.unique(np.concatenate([np.frombuffer(r["keys"], "<u8") for r in keyed]), return_inverse=True)
+        names = ["a"] if asked[0]["b"] is None else ["a", "b"]
+        sums = [np.bincount(at, weights=np.concatenate([unpacked(r[i]) for r in asked]), minlength=len(keys)).astype(np.int64) for i in names]
+        few = np.sum([r["few"][:4] for r in asked], axis=0).tolist()
+        tables_before, vocabulary = asked[0]["few"][4:]
+        own = frequent[np.isin(word_keys(frequent), keys)] if len(frequent) else frequent
+        place = np.searchsorted(keys, word_keys(own))
+        if sweep == 0:
+            known = int((sums[0][place] > 0).sum())
+            mine = [known, known]
+        else:
+            mine = [int(root_draw(sums[-1][place], own, sweep, tables_before, vocabulary).sum()), 0]
+        start = 0
+        for r, m in zip(asked, sizes, strict=True):
+            told = [packed(v[at[start : start + m]]) for v in sums] + [None] * (2 - len(sums))
+            out.append((r["part"], "A", owner, *told, few, mine))
+            start += m
+    give_back()
+    return _arrow(out, ANSWERS)
 
 
 class Sampler:
@@ -339,31 +349,29 @@ class Sampler:
     def __init__(self, frequent: np.ndarray, n: int):
         self.frequent, self.n = frequent, n
 
-    def opened(self, rows: list) -> tuple[int, Part, Asking, list] | None:
-        heads = [r for _, r in rows if r[1][:1] == b"H"]
-        blobs = [r for _, r in rows if r[1][:1] == b"E"]
-        if not blobs:
-            return None if not heads else (-1, None, None, heads)
-        part = Part(blobs)
-        return int(next(k for k, r in rows if r[1][:1] == b"E")), part, Asking(part, self.frequent, self.n), heads
+    def opened(self, events: pa.Table) -> tuple[Part | None, Asking | None, list[tuple[int, bytes]]]:
+        rows = list(zip(events.column("batch").to_pylist(), events.column("blob").to_pylist(), strict=True))
+        heads, blobs = [r for r in rows if r[1][:1] == b"H"], [r for r in rows if r[1][:1] == b"E"]
+        part = Part(blobs) if blobs else None
+        return part, part and Asking(part, self.frequent, self.n), heads
 
-    def first(self, rows: list) -> Iterator[tuple]:
+    def first(self, number: int, events: pa.Table) -> pa.Table:
         """Every dish at one table: the state before the first sweep."""
-        opened = self.opened(rows)
-        if opened is None or opened[1] is None:
-            return
-        number, part, asking, _ = opened
+        part, asking, _ = self.opened(events)
+        if part is None:
+            return _arrow([], ASKED)
         ones = np.ones(len(part.key), np.int64)
         entries = part.by_word(ones)
         v = int((part.count[asking.rare] > 0).sum())
         few = [len(part.key), v, int(part.c.sum()), v, 0, 0]
-        yield from asking.rows(number, [(part.by_context(part.c), part.count[asking.mine]), (part.by_context(ones), entries[asking.mine])], few, True)
-        yield number, ("S", number, pickle.dumps({"t": packed(ones), "t0": packed(np.minimum(part.count, 1)), "samples": []}))
+        out = asking.rows(number, [(part.by_context(part.c), part.count[asking.mine]), (part.by_context(ones), entries[asking.mine])], few, True)
+        state = {"t": packed(ones), "t0": packed(np.minimum(part.count, 1)), "samples": []}
+        return _arrow([*out, (number, "S", number, None, pickle.dumps(state), None, None)], ASKED)
 
     def taken(self, sweep: int, part: Part, asking: Asking, answers: list) -> dict:
         """The state after a sweep: its own tables and the sums over all parts."""
-        state = pickle.loads(next(r[2] for _, r in answers if r[0] == "S"))
-        sums, few, mine = asking.sums([r for _, r in answers if r[0] == "A"])
+        state = pickle.loads(next(r["a"] for r in answers if r["kind"] == "S"))
+        sums, few, mine = asking.sums([r for r in answers if r["kind"] == "A"])
         t, t0 = unpacked(state["t"]), unpacked(state["t0"]).copy()
         k = len(part.context)
         c0 = part.by_word(t)
@@ -384,12 +392,11 @@ class Sampler:
         base = (STRENGTH + DISCOUNT * now["T0"]) / (state["v"] + 1)
         return (now["c0"] - DISCOUNT * now["t0"] + base) / (STRENGTH + now["C0"])
 
-    def sweep(self, number: int, rows: list, answers: list) -> Iterator[tuple]:
-        opened = self.opened(rows)
-        if opened is None or opened[1] is None:
-            return
-        own, part, asking, _ = opened
-        state = self.taken(number - 1, part, asking, answers)
+    def sweep(self, number: int, own: int, events: pa.Table, answers: pa.Table) -> pa.Table:
+        part, asking, _ = self.opened(events)
+        if part is None:
+            return _arrow([], ASKED)
+        state = self.taken(number - 1, part, asking, answers.to_pylist())
         now = state.pop("now")
         state.pop("customers")
         if number - 1 > BURN_IN:
@@ -405,20 +412,16 @@ class Sampler:
         values = [(part.by_context(t), c0[asking.mine])]
         if number == SWEEPS:  # the last answers also bring the customers, which no sweep needs
             values.insert(0, (part.by_context(part.c), part.count[asking.mine]))
-        yield from asking.rows(own, values, few, False)
-        yield own, ("S", own, pickle.dumps(state | {"t": packed(t), "t0": packed(t0), "before": now["T0"]}))
-
-    def scores(self, rows: list, answers: list) -> Iterator[tuple]:
-        """(batch, (sums of its texts, None)) for each batch of events, and (batch, (None, heading))."""
-        opened = self.opened(rows)
-        if opened is None:
-            return
-        _, part, asking, heads = opened
-        for batch, blob in heads:
-            yield batch, (None, blob)
+        state |= {"t": packed(t), "t0": packed(t0), "before": now["T0"]}
+        return _arrow([*asking.rows(own, values, few, False), (own, "S", own, None, pickle.dumps(state), None, None)], ASKED)
+
+    def scores(self, events: pa.Table, answers: pa.Table) -> pa.Table:
+        """(batch, the sums of its texts) for each batch of events, and (batch, heading)."""
+        part, asking, heads = self.opened(events)
+        out = [(batch, None, blob) for batch, blob in heads]
         if part is None:
-            return
-        state = self.taken(SWEEPS, part, asking, answers)
+            return _arrow(out, SCORED)
+        state = self.taken(SWEEPS, part, asking, answers.to_pylist())
         samples = [{k: unpacked(v) if isinstance(v, bytes) else v for k, v in s.items()} for s in state["samples"]] + [state["now"]]
         count = part.count.copy()
         count[asking.mine] = unpacked(state["count"])
@@ -436,79 +439,66 @@ class Sampler:
         for batch, texts, size in part.batches:
             own = part.doc[start : start + size]
             sums = [np.rint(np.bincount(own, weights=x[start : start + size], minlength=texts)).astype(np.int64) for x in values]
-            yield batch, (([packed(x) for x in sums], about), None)
+            out.append((batch, pickle.dumps(([packed(x) for x in sums], about)), None))
             start += size
+        return _arrow(out, SCORED)
 
 
-RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
+RESULT = pa.schema([("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
-def _added(a: tuple, b: tuple) -> tuple:
-    if a[0] is None or b[0] is None:
-        return a[0] or b[0], a[1] or b[1]
-    return ([packed(unpacked(x) + unpacked(y)) for x, y in zip(a[0][0], b[0][0], strict=True)], a[0][1]), a[1] or b[1]
 
-
-def _blob(pair: tuple) -> tuple:
-    (sums, about), head = pair[1]
-    return (bytearray(pickle.dumps((sums, about, head))),)
-
-
-def _texts(blobs: DataFrame, id_col: str) -> DataFrame:
-    """The rows of the batches' results."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw in batch.column("blob"):
-                sums, (n, v), head = pickle.loads(raw.as_py())
-                logs, known, score = map(unpacked, sums)
-                texts = (len(head) - 1) // 18
-                ids, size = np.frombuffer(head, "<i8", texts, 1), np.frombuffer(head, "<i8", texts, 1 + 9 * texts)
-                null, train = np.frombuffer(head, bool, texts, 1 + 8 * texts), np.frombuffer(head, bool, texts, 1 + 17 * texts)
-                base = logs * UNIT - size * float(np.log10(n + v + 1))
-                columns = [pa.array(ids, pa.int64(), mask=null), pa.array(~train), pa.array(size), pa.array(known), pa.array(np.full(texts, n)), pa.array(base), pa.array(score * UNIT)]
-                yield pa.RecordBatch.from_arrays(columns, names=[id_col, *(f.split()[0] for f in RESULT.split(", "))])
-
-    return blobs.mapInArrow(lean(run), f"`{id_col}` long, {RESULT}")
+def _texts(rows: pa.Table, id_col: str) -> pa.Table:
+    """The texts of a batch: its parts' sums added up."""
+    head = next(x for x in rows.column("head").to_pylist() if x is not None)
+    said = [pickle.loads(x) for x in rows.column("sums").to_pylist() if x is not None]
+    n, v = said[0][1]
+    logs, known, score = (np.sum([unpacked(sums[i]) for sums, _ in said], axis=0) for i in range(3))
+    texts = (len(head) - 1) // 18
+    ids, size = np.frombuffer(head, "<i8", texts, 1), np.frombuffer(head, "<i8", texts, 1 + 9 * texts)
+    null, train = np.frombuffer(head, bool, texts, 1 + 8 * texts), np.frombuffer(head, bool, texts, 1 + 17 * texts)
+    base = logs * UNIT - size * float(np.log10(n + v + 1))
+    columns = [pa.array(ids, pa.int64(), mask=null), pa.array(~train), pa.array(size), pa.array(known), pa.array(np.full(texts, n)), pa.array(base), pa.array(score * UNIT)]
+    return pa.table(columns, schema=pa.schema([(id_col, pa.int64()), *RESULT]))
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
-    spark = docs.sparkSession
-    n = PARTS_PER_PARTITION * shuffle_partitions(spark)
     slim = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    sample = slim.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).orderBy(F.xxhash64(F.col(id_col), F.length(text_col))).limit(SAMPLE_TEXTS).collect()
+    about = slim.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars")).first()
+    n = max(LEAST_PARTS, -(-about["chars"] // PART_CHARS))
     hashes = Hashes()
-    found = np.concatenate([np.array([END]), *(tokens(r[1], hashes) for r in sample)])
+    found = np.concatenate([np.array([END]), *(tokens(t, hashes) for t in few_texts(slim, id_col, text_col, about["rows"], SAMPLE_TEXTS, SAMPLE_CHARS))])
     words, counts = np.unique(found, return_counts=True)
     layout = Layout(n, words[counts > len(found) / (4 * n)])  # 4 * n words at most
     sampler, frequent = Sampler(layout.frequent, n), layout.frequent
-    parts = _dealt(slim, layout)
+    events = _dealt(slim, layout)
+
+    def opening(key: tuple, rows: pa.Table) -> pa.Table:
+        return sampler.first(key[0].as_py(), rows)
 
-    def opening(rows: Iterator) -> Iterator:
-        yield from sampler.first(list(rows))
-        give_back()
+    def owning(sweep: int):
+        return lambda key, first, now: _answers(sweep, key[0].as_py(), first, now, frequent)
 
     def sweeping(number: int):
-        def run(pairs: Iterator) -> Iterator:
-            for rows, answers in pairs:
-                yield from sampler.sweep(number, rows, answers)
-            give_back()
-
-        return run
-
-    def scoring(pairs: Iterator) -> Iterator:
-        for rows, answers in pairs:
-            yield from sampler.scores(rows, answers)
-        give_back()
-
-    first = parts.mapPartitions(opening).partitionBy(n, int)
-    answers = _beside(first, first).mapPartitions(answered(0, frequent)).partitionBy(n, int)
-    for number in range(1, SWEEPS + 1):
-        asked = _beside(parts, answers).mapPartitions(sweeping(number)).partitionBy(n, int)
-        answers = _beside(first, asked).mapPartitions(answered(number, frequent)).partitionBy(n, int)
-    done = _beside(parts, answers).mapPartitions(scoring).reduceByKey(_added, numPartitions=n).map(_blob)
-    return _texts(spark.createDataFrame(done, "blob binary", verifySchema=False), id_col)
+        return lambda key, rows, answers: sampler.sweep(number, key[0].as_py(), rows, answers)
+
+    def scoring(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        return sampler.scores(rows, answers)
+
+    def texts(rows: pa.Table) -> pa.Table:
+        return _texts(rows, id_col)
+
+    dealt = lambda df: df.repartition(n, "to")
+    first = dealt(events.groupBy("part").applyInArrow(opening, _ddl(ASKED)))
+    asked = first
+    for number in range(SWEEPS + 1):
+        if number:
+            asked = dealt(events.groupBy("part").cogroup(answers.groupBy("to")).applyInArrow(sweeping(number), _ddl(ASKED)))
+        answers = dealt(first.groupBy("to").cogroup(asked.groupBy("to")).applyInArrow(owning(number), _ddl(ANSWERS)))
+    done = events.groupBy("part").cogroup(answers.groupBy("to")).applyInArrow(scoring, _ddl(SCORED))
+    kinds = {pa.bool_(): "boolean", pa.float64(): "double", pa.int64(): "long"}
+    schema = ", ".join([f"`{id_col}` long", *(f"{f.name} {kinds[f.type]}" for f in RESULT)])
+    return done.repartition(n, "batch").groupBy("batch").applyInArrow(texts, schema)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import give_back, shuffle_partitions, table, words_of
+from .sampling import few_texts
 
 WINDOW = 13
 #: Where the labels of a path end, and their bits.
@@ -163,17 +164,17 @@ def _among(high: np.ndarray, low: np.ndarray, known_high: np.ndarray, known_low:
     return found
 
 
-def plan(docs: DataFrame, id_col: str, text_col: str) -> tuple[int, list[float], dict[float, int], int]:
-    """(groups, bounds of id ranges, ids with several ranges -> how many, ranges of rows without id), from sizes and a bounded sample of ids."""
+def plan(docs: DataFrame, id_col: str, text_col: str) -> tuple[int, list[float], dict[float, int], int, int]:
+    """(groups, bounds of id ranges, ids with several ranges -> how many, ranges of rows without id, rows), from sizes and a bounded sample of ids."""
     size = docs.agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars")).first()
     n = max(shuffle_partitions(docs.sparkSession), -(-size["chars"] // GROUP_CHARS))
     if not size["ids"]:
-        return n, [], {}, n
+        return n, [], {}, n, size["rows"]
     share = min(1.0, RANGE_IDS * n / size["ids"])
     some = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("double"))
     ids = sorted(r[0] for r in (some.sample(share, 7) if share < 1 else some).collect()) or [0.0]  # about RANGE_IDS * n numbers
     cuts = Counter(ids[len(ids) * i // n] for i in range(1, n))
-    return n, sorted(cuts), {v: m for v, m in cuts.items() if m > 1}, 1 + n * (size["rows"] - size["ids"]) // size["rows"]
+    return n, sorted(cuts), {v: m for v, m in cuts.items() if m > 1}, 1 + n * (size["rows"] - size["ids"]) // size["rows"], size["rows"]
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], several: dict[float, int], without: int) -> tuple[DataFrame, np.ndarray]:
@@ -204,10 +205,10 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], seve
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of each document, with the kept words as text on demand."""
     spark = docs.sparkSession
-    n, bounds, several, without = plan(docs, id_col, text_col)
+    n, bounds, several, without, total = plan(docs, id_col, text_col)
     rows, classes = dealt(docs, id_col, text_col, bounds, several, without)
-    sample = docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(text_col).orderBy(F.xxhash64(F.col(id_col), F.length(text_col))).limit(SAMPLE_TEXTS)
-    shared = spark.sparkContext.broadcast((Prefixes([r[0] for r in sample.collect()], n), classes))
+    sample = few_texts(docs, id_col, text_col, total, SAMPLE_TEXTS, SAMPLE_CHARS)
+    shared = spark.sparkContext.broadcast((Prefixes(sample, n), classes))
 
     def suffixes(part: pa.Table) -> pa.Table:
         """The distinct suffixes of a range, by group."""

@@ -186,8 +186,8 @@ def test_substrings_of_hot_ids(spark):
     text = lambda i: f"start{i} {passages[r.integers(12)]} middle{i} {passages[r.integers(12)]} end{i}"
     rows = [(7, text(i)) for i in range(80)] + [(None, text(i)) for i in range(80)] + [(int(r.integers(100)), text(i)) for i in range(60)] + [(50, None), (51, "short")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    n, bounds, several, without = suffixes.plan(df, "doc_id", "text")
-    assert several.get(7.0, 0) > 1 and without > 1
+    n, bounds, several, without, total = suffixes.plan(df, "doc_id", "text")
+    assert several.get(7.0, 0) > 1 and without > 1 and total == len(rows) and total == len(rows)
     tuples = lambda rows: sorted((tuple(r) for r in rows), key=repr)
     assert tuples(suffixes.deduplicate(df).collect()) == tuples(brute.substrings(rows))
 
