@@ -9,7 +9,8 @@ from ..functions import json_repair, patterns as P
 from ..functions import rules as R
 from ..functions import text as T
 from ..functions import windows as C
-from ..operators import dedup, qa, rag, scoring, training
+from ..operators import build, dedup, gold, qa, rag, scoring, training
+from ..operators.shared import numbered
 from ..sources import files
 from ..streaming import incremental
 from .oracle import SEARCH, SQL  # noqa: F401
@@ -298,6 +299,53 @@ def chat_report(spark, sf_dir):
     return training.chat_report(_chat(spark, sf_dir))
 
 
+def _records(spark, sf_dir):
+    """Training rows out of stored documents and chunks; every document is its own title, so that no cap couples them."""
+    docs, judged = built(spark, sf_dir)
+    documents_table = rag.documents(docs, judged).withColumn("title", F.concat(F.lit("document "), F.col("document_id").cast("string")))
+    where = {"section": F.lit(""), "page_start": F.lit(None).cast("int"), "page_end": F.lit(None).cast("int"), "extraction_method": F.lit("plain-text")}
+    return documents_table, rag.chunks(judged).withColumns(where)
+
+
+@query
+def indexed_chunks(spark, sf_dir):
+    """Chunks of sufficient quality beside their documents."""
+    docs, chunks = _records(spark, sf_dir)
+    return files.indexed_chunks(docs, chunks.drop("title", "category"), 0.9).select("document_uid", "chunk_index", "chunk_uid", "category", "title", "rights_status", "quality_score")
+
+
+@query
+def train_records(spark, sf_dir):
+    """The fields of each training record."""
+    rows = build.training_records(build.training_rows(*_records(spark, sf_dir), DOMAIN))
+    return rows.withColumn("chars", F.length("text")).drop("text")
+
+
+@query
+def train_rejections(spark, sf_dir):
+    """Why chunks were not written, with at most two of a document; document_cap counts those an even choice left out."""
+    docs, chunks = _records(spark, sf_dir)
+    rows = build.training_rows(docs, chunks, DOMAIN, cap=2)
+    told = rows.where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    good = files.indexed_chunks(docs, chunks.drop("title", "category"), training.MIN_QUALITY).agg(F.count(F.lit(1)).alias("good"))
+    left_out = good.crossJoin(rows.agg(F.count(F.lit(1)).alias("judged"))).select(F.lit("document_cap").alias("reason"), (F.col("good") - F.col("judged")).alias("n"))  # one row each
+    return told.unionByName(left_out)
+
+
+@query
+def train_capped(spark, sf_dir):
+    """The export with real titles and a cap that binds: copies of capped rows may be written under another title."""
+    docs, judged = built(spark, sf_dir)
+    rows = build.training_rows(rag.documents(docs, judged), rag.chunks(judged), DOMAIN, cap=5)
+    return rows.groupBy("title_key", F.coalesce("reason", F.lit("written")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def chat_metadata(spark, sf_dir):
+    records = build.training_records(build.training_rows(*_records(spark, sf_dir), DOMAIN))
+    return build.chat_lines(records, DOMAIN).select("metadata.*", F.length("answer").alias("answer_chars"))
+
+
 # --- questions and answers ---------------------------------------------------------------------------------------
 
 
@@ -332,14 +380,18 @@ def _questions(spark, sf_dir):
     return users.select((F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _texts(spark, sf_dir):
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("pos"), "text")
+
+
 @query
 def minhash_bands(spark, sf_dir):
-    return _questions(spark, sf_dir).select("pos", F.array_join(dedup.bands(F.col("text")).cast("array<string>"), ",").alias("bands"))
+    return _texts(spark, sf_dir).select("pos", F.array_join(dedup.bands(F.col("text")).cast("array<string>"), ",").alias("bands"))
 
 
 @query
 def lsh_candidates(spark, sf_dir):
-    return dedup.candidates(_questions(spark, sf_dir), "pos", "text")
+    return dedup.candidates(_texts(spark, sf_dir), "pos", "text")
 
 
 @query
@@ -463,8 +515,32 @@ def gold_reasons(spark, sf_dir):
 
 @query
 def gold_select(spark, sf_dir):
-    chosen = qa.select_diverse(_candidates(spark, sf_dir), 100, P.FINANCE_CATEGORIES, False)
-    return chosen.select("gold_line", "stable_key", "category", "score")
+    """At most the target of finance records, with a category and a source file by conversation: the tables' own texts have none."""
+    source = F.concat(F.lit("source"), (F.col("conv_id") % 7).cast("string"), F.lit(".md"))
+    names = F.array(*map(F.lit, P.FINANCE_CATEGORIES))
+    eligible = _candidates(spark, sf_dir).withColumn("category", F.element_at(names, (F.col("conv_id") % len(P.FINANCE_CATEGORIES) + 1).cast("int"))).withColumn("source_file", source)
+    chosen = qa.select_diverse(eligible, gold.TARGETS["finance"], P.FINANCE_CATEGORIES, False)
+    return chosen.select("gold_line", "stable_key", "category", "score", "source_file")
+
+
+@query
+def top_sources(spark, sf_dir):
+    """The sources with most documents; of equal ones the one that comes first."""
+    return gold.top_sources(documents(spark, sf_dir).select(F.col("doc_id").alias("gold_line"), F.coalesce("source", F.lit("")).alias("source_file")))
+
+
+@query
+def trusted_source(spark, sf_dir):
+    names = F.array(*map(F.lit, ("investments.md", "my investments.md", "Macroéconomie 3e", "Security-Analysis (1934).md", "blog", "PRINCIPES DE L'ÉCONOMIE", "Financial Calculus.md")))
+    d = documents(spark, sf_dir).select("doc_id", F.concat(F.element_at(names, (F.col("doc_id") % 7 + 1).cast("int")), F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.coalesce("source", F.lit("")))).alias("source_file"))
+    return d.select("doc_id", gold.trusted().alias("trusted"))
+
+
+@query
+def dense_ids(spark, sf_dir):
+    """Consecutive numbers in the order of content hashes."""
+    d = documents(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("sha"))
+    return numbered(d, [F.col("sha"), F.col("doc_id")], "number", 1).select("doc_id", "number")
 
 
 @query

@@ -344,6 +344,10 @@ z AS (SELECT doc_id, pos, {body} AS p, b >= n AS last FROM cut WHERE n > 0)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS pos, CAST(length(p) AS INTEGER) AS chars, sha256(p) AS sha FROM z WHERE {where}"""
 
 
+_METHOD = ", 'plain-text' AS extraction_method"
+_RECORD = f"{q(DOMAIN)} AS domain, category, 'document ' || document_id AS source_title, '' AS section, CAST(NULL AS INTEGER) AS page_start, CAST(NULL AS INTEGER) AS page_end, source_sha256, {q(rag.RIGHTS)} AS rights_status, {UID} AS chunk_uid, quality_score{_METHOD}"
+
+
 def mean_of(x: str, places: int) -> str:
     """The mean of scores, each taken to 6 places, rounded half up, in whole numbers."""
     unit = 10 ** (6 - places)
@@ -386,6 +390,13 @@ SQL: dict[str, str] = {
     "chat_split": f"{WITH_RAG}, {CT}, {CHAT} SELECT document_id, chunk_index, CAST(length(context) AS INTEGER) AS context_chars, CAST(length(answer) AS INTEGER) AS answer_chars FROM h",
     "chat_messages": f"{WITH_RAG}, {CT}, {CHAT} SELECT document_id, chunk_index, sha256({nl(P.CONTINUE_INSTRUCTION + chr(10) * 2)} || context || chr(10) || answer) AS message_key, 2 AS n_messages FROM h",
     "chat_report": f"{WITH_RAG}, {CT}, {CHAT} SELECT count(*) AS records, CAST(coalesce(sum(length(context)), 0) AS BIGINT) AS context_chars, CAST(coalesce(sum(length(answer)), 0) AS BIGINT) AS answer_chars FROM h",
+    "indexed_chunks": f"{WITH_RAG}, {RDOCS} SELECT rd.document_uid, chunk_index, {UID.replace('source_sha256', 'c.source_sha256')} AS chunk_uid, c.category, 'document ' || c.document_id AS title, rd.rights_status, quality_score FROM c JOIN rd USING (document_id) WHERE quality_score >= 0.9",
+    "train_records": f"{WITH_RAG}, {CT}, {EXPORT} SELECT {_RECORD}, CAST(length(trimmed) AS INTEGER) AS chars FROM e WHERE reason IS NULL",
+    "chat_metadata": f"{WITH_RAG}, {CT}, {CHAT} SELECT {_RECORD.replace(_METHOD, '')}, 'grounded_document_continuation' AS task, CAST(length(answer) AS INTEGER) AS answer_chars FROM h",
+    "train_rejections": f"{WITH_RAG}, {CT}, n0 AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY chunk_index) AS p, count(*) OVER (PARTITION BY document_id) AS n FROM c0), n AS (SELECT * FROM n0 WHERE n <= 2 OR p IN (1, n)), {EXPORT.replace('FROM c0 WINDOW', 'FROM n WINDOW')} SELECT reason, count(*) AS n FROM e WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT 'document_cap', (SELECT count(*) FROM c0) - (SELECT count(*) FROM n)",
+    "top_sources": "SELECT source AS source_file, count(*) AS n FROM documents WHERE coalesce(source, '') <> '' GROUP BY source ORDER BY count(*) DESC, min(doc_id) LIMIT 25",
+    "trusted_source": f"WITH {DOCS}, z AS (SELECT doc_id, ['investments.md', 'my investments.md', 'Macroéconomie 3e', 'Security-Analysis (1934).md', 'blog', 'PRINCIPES DE L''ÉCONOMIE', 'Financial Calculus.md'][CAST(doc_id % 7 + 1 AS INTEGER)] || CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(source, '') END AS f FROM d) SELECT doc_id, regexp_matches(f, {q('(?i)' + P.TRUSTED_FINANCE_SOURCE)}) AS trusted FROM z",
+    "dense_ids": f"WITH {DOCS} SELECT doc_id, row_number() OVER (ORDER BY sha256(text), doc_id) AS number FROM d",
     "qa_pairs": f"WITH {TURNS} SELECT * FROM p",
     "junk_chunk": f"WITH {DOCS} SELECT doc_id, CASE WHEN {strip('text')} = '' THEN true WHEN {_alnum} >= 150 THEN false WHEN {_alnum} < 40 THEN true ELSE {_alnum} / length(text)::DOUBLE < 0.30 END AS junk FROM d",
     "junk_qa": f"WITH {TURNS}, z AS (SELECT conv_id, turn, {strip('question')} AS q, {strip('answer')} AS a FROM p) SELECT conv_id, turn, coalesce(length(q) < 10 OR length(a) < 10 OR {_bad('q')} OR {_bad('a')}, true) AS junk FROM z",
