@@ -6,6 +6,7 @@ import ctypes
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def even_keys(n: int) -> np.ndarray:
+    """n ascending numbers, of which repartition(n, key) deals one to each partition.
+
+    Numbers from 0 to n - 1 would fall on each other: Spark deals by pmod(murmur3(key), n), which is written out here.
+    """
+    mix = lambda h, k: h ^ (h >> np.uint32(k))
+    turn = lambda h, k: (h << np.uint32(k)) | (h >> np.uint32(32 - k))
+    found = np.zeros(0, np.int64)
+    for size in (32 * n + 64, 512 * n + 4096, 8192 * n):
+        keys = np.arange(size, dtype=np.uint32)
+        h = turn(keys * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = turn(h ^ np.uint32(42), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        h = mix(h ^ np.uint32(4), 16) * np.uint32(0x85EBCA6B)
+        h = mix(mix(h, 13) * np.uint32(0xC2B2AE35), 16)
+        _, found = np.unique(h.view(np.int32).astype(np.int64) % n, return_index=True)
+        if len(found) == n:
+            break
+    return np.sort(found)
+
+
 def give_back() -> None:
     """Returns what this Python worker has freed to the system: between tasks it waits beside the JVM's own memory."""
     pa.default_memory_pool().release_unused()

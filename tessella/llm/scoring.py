@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, give_back, lean, table
+from .common import ASCII_LOWER, even_keys, give_back, lean, table
 from .sampling import few_texts
 from .suffixes import Hashes, mixed
 
@@ -70,10 +70,10 @@ def tokens(text: str | None, hashes: Hashes) -> np.ndarray:
 
 
 class Layout:
-    """Which of n parts a word belongs to; frequent words are dealt by context as well."""
+    """Which of n parts a word belongs to, by the part's key; frequent words are dealt by context as well."""
 
     def __init__(self, n: int, frequent: np.ndarray):
-        self.n, self.frequent = n, np.sort(frequent)
+        self.n, self.frequent, self.keys = n, np.sort(frequent), even_keys(n)
 
     def is_frequent(self, w: np.ndarray) -> np.ndarray:
         if not len(self.frequent):
@@ -84,7 +84,7 @@ class Layout:
         key = mixed(w)
         often = self.is_frequent(w)
         key[often] = mixed(key[often] + mixed(u[often]))
-        return (key >> np.uint64(24)) % np.uint64(self.n)
+        return self.keys[((key >> np.uint64(24)) % np.uint64(self.n)).astype(np.int64)]
 
 
 def _dealt(docs: DataFrame, layout: Layout) -> DataFrame:
@@ -107,7 +107,7 @@ def _dealt(docs: DataFrame, layout: Layout) -> DataFrame:
             w, u, doc, part = w[order], before[order], doc[order], part[order]
             train = np.array([not held_out(i) for i in ids])
             flags = np.packbits(train).tobytes()
-            out: tuple[list, list, list] = ([int(mixed(np.array([number], np.uint64))[0] % np.uint64(lay.n))], [number], [b"H" + np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids]).tobytes() + size.astype("<i8").tobytes() + train.tobytes()])
+            out: tuple[list, list, list] = ([int(lay.keys[int(mixed(np.array([number], np.uint64))[0]) % lay.n])], [number], [b"H" + np.array([-1 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids]).tobytes() + size.astype("<i8").tobytes() + train.tobytes()])
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             for a, b in zip(cuts, [*cuts[1:], len(w)], strict=True):
                 new = np.flatnonzero(np.r_[True, w[a + 1 : b] != w[a : b - 1]])
@@ -280,24 +280,23 @@ def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 class Asking:
     """The keys of a part, by the task that owns them: its contexts, and the frequent words it has a share of."""
 
-    def __init__(self, part: Part, frequent: np.ndarray, n: int):
+    def __init__(self, part: Part, frequent: np.ndarray, owners: np.ndarray):
         at = np.minimum(np.searchsorted(frequent, part.word), max(0, len(frequent) - 1))
         self.mine = np.flatnonzero(frequent[at] == part.word) if len(frequent) else np.zeros(0, np.int64)
         self.rare = np.ones(len(part.word), bool)
         self.rare[self.mine] = False
         self.keys = np.concatenate([part.context, word_keys(part.word[self.mine])])
-        owner = _owner(self.keys, n)
+        owner = _owner(self.keys, len(owners))
         self.order = np.argsort(owner, kind="stable")
-        self.cuts = np.searchsorted(owner[self.order], np.arange(n + 1))
-        self.n = n
+        self.cuts = np.searchsorted(owner[self.order], np.arange(len(owners) + 1))
+        self.owners = owners.tolist()
 
     def rows(self, number: int, values: list[tuple[np.ndarray, np.ndarray]], few: list[int], with_keys: bool) -> list[tuple]:
         """A question to every owner: values of contexts and of frequent words, and the part's few numbers."""
         ordered = [np.concatenate(v)[self.order] for v in values]
         keys = self.keys[self.order]
         out = []
-        for o in range(self.n):
-            a, b = self.cuts[o], self.cuts[o + 1]
+        for o, a, b in zip(self.owners, self.cuts, self.cuts[1:], strict=False):
             said = [packed(v[a:b]) for v in ordered] + [None] * (2 - len(ordered))
             out.append((o, "Q", number, keys[a:b].tobytes() if with_keys else None, *said, few))
         return out
@@ -346,14 +345,14 @@ def _answers(sweep: int, owner: int, first: pa.Table, now: pa.Table, frequent: n
 class Sampler:
     """What a part does between two exchanges. State: numbers that all parts share, its own tables, the samples kept."""
 
-    def __init__(self, frequent: np.ndarray, n: int):
-        self.frequent, self.n = frequent, n
+    def __init__(self, layout: Layout):
+        self.frequent, self.owners = layout.frequent, layout.keys
 
     def opened(self, events: pa.Table) -> tuple[Part | None, Asking | None, list[tuple[int, bytes]]]:
         rows = list(zip(events.column("batch").to_pylist(), events.column("blob").to_pylist(), strict=True))
         heads, blobs = [r for r in rows if r[1][:1] == b"H"], [r for r in rows if r[1][:1] == b"E"]
         part = Part(blobs) if blobs else None
-        return part, part and Asking(part, self.frequent, self.n), heads
+        return part, part and Asking(part, self.frequent, self.owners), heads
 
     def first(self, number: int, events: pa.Table) -> pa.Table:
         """Every dish at one table: the state before the first sweep."""
@@ -470,7 +469,7 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = np.concatenate([np.array([END]), *(tokens(t, hashes) for t in few_texts(slim, id_col, text_col, about["rows"], SAMPLE_TEXTS, SAMPLE_CHARS))])
     words, counts = np.unique(found, return_counts=True)
     layout = Layout(n, words[counts > len(found) / (4 * n)])  # 4 * n words at most
-    sampler, frequent = Sampler(layout.frequent, n), layout.frequent
+    sampler, frequent = Sampler(layout), layout.frequent
     events = _dealt(slim, layout)
 
     def opening(key: tuple, rows: pa.Table) -> pa.Table:

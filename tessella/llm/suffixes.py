@@ -36,7 +36,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, shuffle_partitions, table, words_of
+from .common import even_keys, give_back, shuffle_partitions, table, words_of
 from .sampling import few_texts
 
 WINDOW = 13
@@ -84,7 +84,7 @@ class Prefixes:
     """Frequent prefixes of 1 to DEPTH - 1 words; a suffix's group comes from its shortest prefix that is not among them."""
 
     def __init__(self, texts: list[str], groups: int):
-        self.groups, self.frequent = groups, []
+        self.groups, self.frequent, self.keys = groups, [], even_keys(groups)
         hashes = Hashes()
         arrays = [hashes.of(words_of(t)) for t in texts]
         total = sum(map(len, arrays))
@@ -106,7 +106,7 @@ class Prefixes:
             for k in range(1, length + 1):
                 longer = longer * _MUL + h[more + k]
             out[more] = mixed(longer)
-        return (out >> np.uint64(32)) % np.uint64(self.groups)
+        return self.keys[((out >> np.uint64(32)) % np.uint64(self.groups)).astype(np.int64)]
 
 
 def labels(h: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +146,15 @@ def _joined(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in arrays)]), np.concatenate([np.zeros(0, np.uint16), *(b for _, b in arrays)])
 
 
+def _sorted(high: np.ndarray, low: np.ndarray, stable: bool = True) -> np.ndarray:
+    """The order of labels. Sorting by the first 64 bits is enough unless two different labels share them."""
+    order = np.argsort(high, kind="stable" if stable else None)
+    h, x = high[order], low[order]
+    if ((h[1:] == h[:-1]) & (x[1:] != x[:-1])).any():
+        return np.lexsort((low, high))
+    return order
+
+
 def _again(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Of sorted labels, whether each equals the one before."""
     return np.r_[False, (high[1:] == high[:-1]) & (low[1:] == low[:-1])] if len(high) else np.zeros(0, bool)
@@ -178,7 +187,7 @@ def plan(docs: DataFrame, id_col: str, text_col: str) -> tuple[int, list[float],
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], several: dict[float, int], without: int) -> tuple[DataFrame, np.ndarray]:
-    """((_id, _text, _range), the class of each range). Ranges and classes ascend with the id. One exchange, by range."""
+    """((_id, _text, _range), the keys of ranges, their classes). Keys and classes ascend with the id. One exchange, by range."""
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_key", F.col("_id").cast("double"))
     splits = [float("-inf"), *(bounds or [0.0]), float("inf")]
     # every bucket between two bounds is a range; the ranges of an id that has several come before that of its bucket
@@ -199,16 +208,18 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, bounds: list[float], seve
         number = F.coalesce((start + spread % many).cast("int"), bucket)
     number = F.when(F.col("_key").isNull(), F.lit(rest) + spread % without).otherwise(number)
     bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_b", handleInvalid="keep").transform(slim)
-    return bucketed.select("_id", "_text", number.cast("int").alias("_range")).repartition(len(classes), "_range"), np.array(classes, np.int64)
+    keys = even_keys(len(classes))
+    key = F.element_at(F.array(*[F.lit(int(k)) for k in keys]), number.cast("int") + 1)
+    return bucketed.select("_id", "_text", key.alias("_range")).repartition(len(classes), "_range"), keys, np.array(classes, np.int64)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of each document, with the kept words as text on demand."""
     spark = docs.sparkSession
     n, bounds, several, without, total = plan(docs, id_col, text_col)
-    rows, classes = dealt(docs, id_col, text_col, bounds, several, without)
+    rows, keys, classes = dealt(docs, id_col, text_col, bounds, several, without)
     sample = few_texts(docs, id_col, text_col, total, SAMPLE_TEXTS, SAMPLE_CHARS)
-    shared = spark.sparkContext.broadcast((Prefixes(sample, n), classes))
+    shared = spark.sparkContext.broadcast((Prefixes(sample, n), keys, classes))
 
     def suffixes(part: pa.Table) -> pa.Table:
         """The distinct suffixes of a range, by group."""
@@ -223,7 +234,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if found:
             (high, low), group = _joined(found), np.concatenate(groups)
             del found, groups
-            order = np.lexsort((low, high, group))
+            order = _sorted(high, low, stable=False)
+            place = np.searchsorted(split.keys, group).astype(np.uint16 if split.groups <= 1 << 16 else np.int64)
+            order = order[np.argsort(place[order], kind="stable")]
             high, low, group = high[order], low[order], group[order]
             new = ~_again(high, low) | np.r_[True, group[1:] != group[:-1]]
             high, low, group = high[new], low[new], group[new]
@@ -238,16 +251,18 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def nodes(part: pa.Table) -> pa.Table:
         """The tree of a group; to each range, those of its suffixes whose deepest node starts in a range of an earlier class."""
-        class_of = shared.value[1]
+        _, keys, classes = shared.value
+        part = part.sort_by("_range")  # suffixes of a range are sorted: of equal ones, a stable order has the earliest range first
         ranges, arrays = part.column("_range").to_pylist(), [_unpack(x.as_py()) for x in part.column("suffixes")]
         owner = np.repeat(np.array(ranges, np.int32), [len(a) for a, _ in arrays])
         high, low = _joined(arrays)
         del arrays
-        order = np.lexsort((owner, low, high))
+        order = _sorted(high, low)
         high, low, owner = high[order], low[order], owner[order]
         again = _again(high, low)
         first = np.maximum.accumulate(np.where(again, 0, np.arange(len(high))))  # of a node the suffix of the earliest range
-        later = class_of[owner] > class_of[owner[first]]
+        own_class = classes[np.searchsorted(keys, owner)]
+        later = own_class > own_class[first]
         high, low, owner = high[later], low[later], owner[later]
         out: dict[str, list] = {"_range": [], "suffixes": []}
         for r in np.unique(owner):
@@ -263,7 +278,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def removed(part: pa.Table, told: pa.Table) -> pa.Table:
         ids = part.column("_id").to_pylist()
         known = _joined([_unpack(x.as_py()) for x in told.column("suffixes")])
-        by = np.lexsort(known[::-1])
+        by = _sorted(*known)
         known = known[0][by], known[1][by]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
         hashes, words, found = Hashes(), [], []
@@ -277,7 +292,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         owner = np.repeat(rank, last)
         gone = _among(high, low, *known)
         if len(high):
-            by = np.lexsort((low, high))  # stable: within a window by rank
+            by = _sorted(high, low)  # stable: within a window by rank
             again = _again(high[by], low[by])
             first = np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
             gone[by] |= owner[by] > owner[by][first]

@@ -139,6 +139,15 @@ def test_lm_contexts_are_not_merged(spark):
     assert score[test[0]] - score[test[1]] > 1
 
 
+def test_even_keys(spark):
+    from tessella.llm.common import even_keys
+
+    for n in (1, 7, 51, 200):
+        keys = even_keys(n)
+        df = spark.createDataFrame([(int(k),) for k in keys], "k int").repartition(n, "k").withColumn("p", F.spark_partition_id())
+        assert len(keys) == n == len({r["p"] for r in df.collect()}) and (np.diff(keys) > 0).all()
+
+
 def test_top_k(spark, sf_dir):
     vectors = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     got = defaultdict(list)
