@@ -7,8 +7,8 @@ are evaluated in order of that bound and a query stops when its k-th best score
 candidate, so the answer is exact whatever the pivots are.
 
 Queries are a stated set. They are taken in blocks of at most ``BLOCK`` vectors, the only thing that is
-broadcast; each block passes over all candidates once, every task keeps its k best for each query, and a
-partial top-k is merged by query. Nothing is collected but one block of queries and the pivots.
+broadcast, one after the other; each block passes over all candidates once, every task keeps its k best for each query,
+and a partial top-k is merged by query. Nothing is collected but one block of queries and the pivots.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part; nor does a row
 without an id. Shorter vectors count as padded with zeros. Rows that repeat an id are candidates each; a
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import lean, table
+from .common import lean, stored, table
 
 K = 5
 PIVOTS = 24
@@ -131,9 +131,12 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
             break
         last = found[-1]["_id"]
         model = PivotTable(np.array([r["_id"] for r in found], np.int64), _matrix([r["_vec"] for r in found], dim, scale), table_of_pivots, k, scale)
-        parts.append(_pass(all_vectors, spark.sparkContext.broadcast(model), dim, k, scale))
+        shared = spark.sparkContext.broadcast(model)
         if len(found) < block:
+            parts.append(_pass(all_vectors, shared, dim, k, scale))
             break
+        parts.append(stored(_pass(all_vectors, shared, dim, k, scale)))  # a table, so that one block at a time is held by the tasks
+        shared.unpersist()
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
