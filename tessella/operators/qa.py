@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import rules as R
 from ..functions import text as T
+from .shared import numbered
 
 
 def turns_to_pairs(turns: DataFrame) -> DataFrame:
@@ -68,12 +69,17 @@ def unified(records: DataFrame) -> DataFrame:
 
 
 def sampled(records: DataFrame, key: str, ratio: float, seed: int, done: DataFrame | None = None) -> DataFrame:
-    """max(1, int(n * ratio)) rows, less those done, in the order of a hash of seed and key."""
+    """max(1, int(n * ratio)) rows, less those done: those with the smallest hashes of seed and key, which names the rows.
+
+    Hashes are ranked range by range, so that neither one task nor the driver sees the whole order.
+    """
     wanted = max(1, int(records.count() * ratio))
     if done is not None:
         wanted = max(0, wanted - done.count())
         records = records.join(done.select(key), key, "left_anti")
-    return records.orderBy(F.sha2(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string")), 256)).limit(wanted)
+    h = F.sha2(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string")), 256)
+    ranked = numbered(records.select(key, h.alias("_h")), [F.col("_h"), F.col(key)], "_n")
+    return records.join(ranked.where(F.col("_n") < wanted).select(key), key, "left_semi")
 
 
 def train_test(records: DataFrame, key: Column, percent: int = 1, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -108,8 +114,10 @@ def with_reasons(rows: DataFrame) -> DataFrame:
     own = R.cleaning_reasons(F.col("_t.instruction"), F.col("_t.input"), F.col("_t.response"), F.col("_domain"))
     told = rows.withColumn("_own", F.concat("_structure", F.when(F.col("_t").isNull(), F.array().cast("array<string>")).otherwise(own)))
     told = told.withColumn("_key", F.when(F.col("_t").isNotNull(), T.alnum_key(F.col("_t.instruction"))))
-    first_kept = F.min(F.when(F.size("_own") == 0, F.col("line"))).over(W.partitionBy("_key"))
-    again = F.col("_key").isNotNull() & (F.col("line") > first_kept)
+    # rows without a key join nothing, and meet nowhere
+    kept = told.where("size(_own) = 0 and _key is not null").groupBy("_key").agg(F.min("line").alias("_kept"))
+    told = told.join(kept, "_key", "left")
+    again = F.col("line") > F.col("_kept")
     # the code stands before off_domain, in the order of the rules
     placed = F.concat(F.filter("_own", lambda r: r != "off_domain"), F.array(F.lit("duplicate_instruction")), F.filter("_own", lambda r: r == "off_domain"))
     return told.select("line", F.coalesce("_t.instruction", F.lit("")).alias("instruction"), F.when(F.coalesce(again, F.lit(False)), placed).otherwise(F.col("_own")).alias("reasons"))
