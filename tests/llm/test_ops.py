@@ -158,7 +158,7 @@ def test_top_k(spark, sf_dir):
 
 def test_top_k_hostile(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [-3.0, 0.1]), (None, [1.0, 1.0]), (6, [1.0, 2.0]), (7, []), (50, [9.0, 9.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"query_id": F.lit("clash"), "score": F.lit(1), "rank": F.lit(2), "_id": F.lit(3), "_vec": F.lit("x")})
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in search.top_k(df, F.col("vec_id") % 50 == 0, k=3, block=1).collect())
     assert got == [(0, 1, 50), (0, 2, 1), (0, 3, 6), (50, 1, 0), (50, 2, 1), (50, 3, 6)]
     assert search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
@@ -175,6 +175,37 @@ def test_toxicity(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) and r["held_out"] == (brute.crc(r["doc_id"]) % 4 == 2) for r in found)
 
 
+def test_convolution_word_by_word():
+    """Scores against the network written as loops over words, parts, filters and widths."""
+    r = np.random.default_rng(9)
+    words = ["idiot", "calm", "über", "x", "number77", "trash", "wonderful"]
+    texts = [" ".join(r.choice(words, r.integers(0, 12))) for _ in range(120)]
+    y = np.array(["idiot" in t or "trash" in t for t in texts], float)
+    m = toxicity.fit_rows(texts, y, ["en"] * len(texts))
+    known = m.lookup()
+    for text, got in zip(texts, m.score([known.rows(t) for t in texts])):
+        vectors = [sum(m.e[row] for row in np.frombuffer(known[w.encode()], "<i4")) for w in text.lower().split()]
+        top = []
+        for width, w, b in zip(toxicity.WIDTHS, m.w, m.b):
+            for f in range(toxicity.FILTERS):
+                sums = [sum(float(vectors[i + j] @ w[j, :, f]) for j in range(width)) + float(b[f]) for i in range(len(vectors) - width + 1)]
+                top.append(max([0.0, *sums]))
+        z = m.scale * (sum(a * float(v) for a, v in zip(top, m.v)) + float(m.c)) + m.shift
+        assert math.isclose(got, 1 / (1 + math.exp(-max(-30, min(30, z)))), abs_tol=1e-4)
+    cut = np.array([s >= toxicity.LIMIT for s in m.score([known.rows(t) for t in texts])])
+    assert (cut == y).mean() > 0.95
+
+
+def test_labels_are_sampled_by_label(spark, empty):
+    """An id labelled twice or standing in two rows is learned each time; null ids and other labels are not."""
+    docs = spark.createDataFrame([(i, f"text {i} {'idiot' if i % 2 else 'calm'}", "en") for i in range(40)] + [(1, "second row idiot", "en"), (None, "no id", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1), (None, 1), (3, 7), (5, None), (99, 1)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.classify(docs, model).collect() if r["doc_id"] is not None}
+    assert sum((got[i] >= toxicity.LIMIT) == bool(i % 2) for i in range(40)) >= 38
+    assert toxicity.learn(empty, labels).scale == 0.0 and toxicity.learn(docs, labels.limit(0)).scale == 0.0
+
+
 def test_toxicity_hostile(spark, hostile, empty):
     for labels in ([], [1.0, 1.0], [0.0]):
         model = toxicity.fit_rows(["a b"] * len(labels), np.array(labels), ["en"] * len(labels))
@@ -355,6 +386,9 @@ def test_packing(spark, sf_dir, docs, hostile, empty):
     assert check_packing(rows_of(spark, sf_dir, "op7_packing"), dict(pairs_of(docs)), encode) < 0.01
     distinct = hostile.dropDuplicates(["doc_id"]).union(spark.createDataFrame([(99, "a <|endoftext|> b  c", None, None, 0, 0.0, "", "")], DOCS))
     check_packing(packing.pack(distinct).collect(), dict(pairs_of(distinct)), encode)
+    rows = packing.pack(hostile, with_ids=True).collect()  # repeated rows and rows without id are packed each
+    assert sum(r["length"] for r in rows) == sum(len(encode(t or "")) + 1 for _, t in pairs_of(hostile))
+    assert sum(r["doc_tokens"] for r in rows if r["start"] == 0) == sum(r["length"] for r in rows) and all(len(r["ids"]) == r["length"] for r in rows)
     assert packing.pack(empty).count() == 0
 
 
@@ -465,6 +499,47 @@ def test_quality(spark, sf_dir, docs, hostile, empty):
     assert {r["doc_id"] for r in quality.judge(bad).where("kept").collect()} == {100 + i for i in range(50)}
 
 
+def test_language_filters_gram_by_gram():
+    """Counts and verdicts against sets of slots and loops over characters."""
+    r = np.random.default_rng(5)
+    words = {"aa": ["house", "garden", "street", "ünder"], "bb": ["maison", "jardin", "rue", "sous"], "cc": ["casa", "jardín", "calle", "bajo"]}
+    sample = {k: [" ".join(r.choice(v, 30)) for _ in range(20)] for k, v in words.items()}
+    model = langid.LanguageFilters.fit(sample)
+
+    def grams(text):
+        text = "".join(c if c.isalpha() else " " for c in text.lower())
+        for i in range(len(text) - 3):
+            if text[i + 1] != " " and text[i + 2] != " ":
+                h = ord(text[i])
+                for c in text[i + 1 : i + 4]:
+                    h = (h * 0x01000193 & 0xFFFFFFFF) ^ ord(c)
+                h ^= h >> 15
+                h = h * 0x2C1B3C6D & 0xFFFFFFFF
+                yield h ^ h >> 12
+
+    shift = 32 - (langid.SLOTS.bit_length() - 1)
+    at = lambda h: [(h * k & 0xFFFFFFFF) >> shift for k in langid.HASHES]
+    inside = {}
+    for k, found in sample.items():
+        counts = Counter(h for t in found for h in grams(t))
+        inside[k] = {x for h, n in counts.items() if n >= max(1, langid.MIN_SHARE * sum(counts.values())) for x in at(h)}
+    rate = {k: (len(v) / langid.SLOTS) ** len(langid.HASHES) for k, v in inside.items()}
+    texts = [" ".join(r.choice([*words["aa"], *words["bb"], *words["cc"], "1234"], r.integers(0, 20))) for _ in range(80)] + ["house garden", "", "12 34"]
+    langs, scores, _ = model.predict(texts)
+    for text, lang, score in zip(texts, langs, scores):
+        named, n = Counter(), 0
+        for h in grams(text):
+            n += 1
+            own = [k for k in inside if all(x in inside[k] for x in at(h))]
+            if len(own) < len(inside):
+                named.update(own)
+        true = {k: max(0.0, (named[k] - rate[k] * n) / (1 - rate[k])) for k in inside}
+        if not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        assert true[lang] == pytest.approx(max(true.values())) and score == pytest.approx(max(true.values()) / sum(true.values()) if sum(true.values()) else 1 / 3)
+
+
 def test_language(spark, sf_dir, docs, hostile, empty):
     lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
     held = [r for r in rows_of(spark, sf_dir, "op10_langid") if r["held_out"] and lang[r["doc_id"]]]
