@@ -35,6 +35,11 @@ def _block(b: dict) -> dict:
     }
 
 
+def blocks_of(found: list[dict], first: int, prefix: str) -> list[dict]:
+    """Blocks with all fields; their ids go on from `first`."""
+    return [_block({**b, "id": f"{prefix}/block/{first + i}"}) for i, b in enumerate(found)]
+
+
 def document_text(document: dict) -> str:
     return "\n\n".join(t for b in document["blocks"] if (t := b["text"].strip()))
 

@@ -7,15 +7,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import mimetypes
+import time
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import document as D
 from ..functions import rules as R
 from ..functions import text as T
 from ..functions import windows as C
-from ..sources import files, sinks
+from ..sources import files, formats, sinks
 from . import rag, training
 from .shared import numbered, stored
 
@@ -216,3 +220,63 @@ def qa_paths(source: str, output: str, default_source: str, exports: str, result
     """Where questions are made from and go to: the default source means the exports, the exports mean the results."""
     plain = lambda p: p.rstrip("/")
     return (exports if plain(source) == plain(default_source) else source), (results if plain(output) == plain(exports) else output)
+
+
+# --- one document.json, one chunk file and one report row for each source ---------------------------------------------
+
+PARSED = (
+    "status string, document_id string, parser_used string, extraction_methods array<string>, char_count int, block_count int, chunk_count int, diagnostic_count int, extraction_seconds double, error string, "
+    f"value string, document {D.DOCUMENT}, chunks array<{C.CHUNK}>"
+)
+
+
+def native_document(path: str, suffix: str, sha256: str, raw: bytes, registry: dict | None = None) -> dict:
+    """A document of a decoder's units: pages keep their numbers."""
+    stem = path.rpartition("/")[2]
+    found = formats.extract_document(suffix, stem, raw, registry)
+    if found["error"]:
+        raise ValueError(found["error"])
+    document = D.new_document(path, sha256, mimetypes.guess_type(path)[0] or "application/octet-stream", metadata={"parser": "native"})
+    for unit in found["units"]:
+        start = document["id"] if unit["page"] is None else f"{document['id']}/page/{unit['page']}"
+        document["blocks"] += D.blocks_of(C.blocks(unit["text"], start, unit["page"], unit["method"]), len(document["blocks"]) if unit["page"] is None else 0, start)
+    document["metadata"]["extraction_methods"] = sorted({u["method"] for u in found["units"]})
+    return document
+
+
+def parsed(sources: DataFrame, parse: Callable[[str, str, str, bytes], dict] = native_document, size: int = C.IR_CHARS, overlap: int = C.IR_OVERLAP) -> DataFrame:
+    """sources (source_id, suffix, source_sha256, content, ...) without content, with the columns of PARSED.
+
+    parse gives one document of (path, suffix, hash, bytes): the native decoders', or any of the adapters of
+    :mod:`tessella.sources.engines`. A file that cannot be parsed is a row with status failed and its error.
+    """
+    names = [c for c in sources.columns if c != "content"]
+    fields = ("status", "document_id", "parser_used", "extraction_methods", "char_count", "block_count", "chunk_count", "diagnostic_count", "extraction_seconds", "error", "value", "document", "chunks")
+
+    def one(path: str, suffix: str, sha256: str, raw: bytes) -> dict:
+        began = time.perf_counter()
+        row = dict.fromkeys(fields)
+        try:
+            document = parse(path, suffix, sha256, raw)
+            found = C.packed_chunks(document["blocks"], document["id"], size, overlap)
+            row |= {
+                "status": "success", "document_id": document["id"], "parser_used": document["metadata"].get("parser", "native"), "extraction_methods": document["metadata"].get("extraction_methods", []), "char_count": len(D.document_text(document)),
+                "block_count": len(document["blocks"]), "chunk_count": len(found), "diagnostic_count": len(document["diagnostics"]), "value": D.document_json(document), "document": D.as_row(document), "chunks": found,
+            }
+        except Exception as e:  # one bad file never stops a run
+            row |= {"status": "failed", "error": f"{type(e).__name__}: {e}"}
+        return row | {"extraction_seconds": round(time.perf_counter() - began, 6)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [one(*r) for r in zip(pdf["source_id"], pdf["suffix"], pdf["source_sha256"], map(bytes, pdf["content"]), strict=True)]
+            out = pd.DataFrame({f: pd.Series([d[f] for d in found], dtype=object) for f in fields}, index=pdf.index)
+            yield pd.concat([pdf[names], out], axis=1)
+
+    return sources.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in sources.select(*names).schema), PARSED]))
+
+
+def chunk_lines(rows: DataFrame) -> DataFrame:
+    """The chunks of parsed documents as the columns of a chunk file, with the source's path."""
+    each = rows.where("status = 'success'").select("source_id", F.posexplode("chunks").alias("pos", "c"))
+    return each.select("source_id", "pos", "c.id", "c.document_id", F.col("source_id").alias("source_path"), "c.text", "c.pages", "c.block_ids", "c.block_types", "c.heading_path", "c.extraction_methods", "c.char_count")

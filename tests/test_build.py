@@ -156,6 +156,23 @@ def test_pages_with_ocr():
     assert json.loads(D.document_json(doc))["schema_version"] == 1
 
 
+def test_documents_of_files(spark, corpus, tmp_path):
+    found = build.parsed(files.scan(spark, str(corpus / "cyber"))).cache()
+    rows = {r["source_id"]: r for r in found.collect()}
+    assert rows["broken.pptx"]["status"] == "failed" and "BadZipFile" in rows["broken.pptx"]["error"] and rows["skipped.png"]["status"] == "failed"
+    doc = json.loads(rows["sub/a.md"]["value"])
+    assert doc["id"] == "sha256:" + sha256((corpus / "cyber" / "sub" / "a.md").read_bytes()) and doc["media_type"] == "text/markdown" and len({b["id"] for b in doc["blocks"]}) == len(doc["blocks"]) == rows["sub/a.md"]["block_count"]
+    assert rows["sub/a.md"]["extraction_methods"] == ["plain-text"] and rows["sub/a.md"]["document"]["blocks"][0]["block_type"] == "section_header"
+    lines = build.chunk_lines(found)
+    sinks.write_json_lines(lines.where("source_id = 'sub/a.md'").drop("source_id", "pos"), str(tmp_path / "a.md.chunks.jsonl"))
+    again = files.chunk_records(spark, str(tmp_path / "a.md.chunks.jsonl")).collect()
+    assert len(again) == rows["sub/a.md"]["chunk_count"] and again[0]["source_path"] == "sub/a.md"
+    report = sinks.run_report(found.drop("value", "document", "chunks"), {}, 0.0)
+    assert report["summary"]["success"] == 4 and report["summary"]["failed"] == 2 and report["summary"]["total_chunks"] == sum(r["chunk_count"] for r in rows.values() if r["status"] == "success")
+    layout = build.parsed(files.scan(spark, str(corpus / "cyber")), lambda path, suffix, sha, raw: engines.parsed_document(path, sha, "x", lambda: build.native_document(path, suffix, sha, raw), None, "auto"))
+    assert {r["source_id"]: r["diagnostic_count"] for r in layout.where("status = 'success'").collect()} == {"b.txt": 0, "copy.txt": 0, "empty.txt": 0, "sub/a.md": 0}
+
+
 def test_html_to_markdown():
     html = "<h2>Head</h2><p>Some <b>bold</b> and <a href='u'>link</a>.</p><ul><li>one</li><li>two</li></ul><table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table><pre>x  y</pre><script>no</script>"
     assert D.html_to_markdown(html) == "## Head\n\nSome **bold** and [link](u).\n\n* one\n* two\n\n| a | b |\n| --- | --- |\n| 1 | 2 |\n\n```\nx  y\n```"
