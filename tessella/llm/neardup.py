@@ -43,8 +43,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 20, 4
 REGISTERS = BANDS * BAND_ROWS
 FLOOR = 0.55
-#: Shingles handled at once.
-STEP = 400_000
+#: Shingles handled at once, by width of signature.
+STEP, LONG_STEP = 400_000, 50_000
 #: Registers, and least share of equal ones, of the longer signatures of distinct shingles that are made of the
 #: texts in buckets with several classes: five standard deviations below 0.8.
 LONG, LONG_FLOOR = 512, 0.71
@@ -219,10 +219,16 @@ def long_signatures(sets: DataFrame, registers: int = LONG) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = []
+            sig, step, size = [], [], 0
             for x in batch.column("set"):
                 ids, counts = _unpacked(x.as_buffer())
-                sig.extend(_low(*_signed([(mixed(ids), counts)], registers)))
+                step.append((mixed(ids), counts))
+                size += len(ids)
+                if size >= LONG_STEP:
+                    sig.extend(_low(*_signed(step, registers)))
+                    step, size = [], 0
+            if step:
+                sig.extend(_low(*_signed(step, registers)))
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sig, pa.binary())], names=["_key", "sig"])
 
     return sets.mapInArrow(lean(run), "_key binary, sig binary")
