@@ -173,6 +173,34 @@ def html_text(spark, sf_dir):
     return parsed.select("page_id", "p.text", "p.heading")
 
 
+@query
+def heading_levels(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.heading_level(F.coalesce("html", F.lit(""))).alias("level"))
+
+
+@query
+def snake_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.camel_to_snake(F.replace(F.initcap("p_name"), F.lit(" "), F.lit(""))).alias("name"))
+
+
+@query
+def file_names(spark, sf_dir):
+    """Suffix, stem, kind, media type and place below a root of made-up paths."""
+    suffix = F.element_at(F.array(*map(F.lit, (".PDF", ".md", ".tar.Mp3", ".webm", "", ".xlsx", ".zzz", ".doc"))), (F.col("doc_id") % 8 + 1).cast("int"))
+    path = F.concat(F.lit("/data/in/"), F.coalesce("source", F.lit("none")), F.lit("/d"), F.col("doc_id").cast("string"), suffix)
+    d = documents(spark, sf_dir).select("doc_id", path.alias("path"))
+    own = files.suffix_of(F.col("path"))
+    return d.select("doc_id", own.alias("suffix"), files.stem_of(F.col("path")).alias("stem"), F.coalesce(files.kind_of(own), F.lit("other")).alias("kind"), T.media_type(own).alias("media"), T.relative_path(F.col("path"), "/data/in").alias("below"))
+
+
+@query
+def path_numbers(spark, sf_dir):
+    """Documents numbered in path order, which compares components and not strings."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    d = documents(spark, sf_dir).select("doc_id", path.alias("path"))
+    return numbered(d, [files.path_order(F.col("path"))], "number", 1).select("doc_id", "number")
+
+
 # --- retrieval tables --------------------------------------------------------------------------------------------
 
 
@@ -486,6 +514,13 @@ def source_support(spark, sf_dir):
     return p.select("conv_id", "turn", "s.level", F.bround("s.coverage", 6).alias("coverage"))
 
 
+@query
+def ratio_sample(spark, sf_dir):
+    """Three of ten documents, by a seeded hash, with those of an earlier run counted in."""
+    d = documents(spark, sf_dir).select("doc_id")
+    return qa.sampled(d, "doc_id", 0.3, 42, d.where("doc_id % 10 = 0"))
+
+
 def _candidates(spark, sf_dir):
     p = pairs(spark, sf_dir).withColumn("instruction", T.strip(F.col("question"))).withColumn("response", T.strip(F.col("answer")))
     both = F.concat(F.col("instruction"), F.lit("\n"), F.col("response"))
@@ -593,6 +628,29 @@ def incremental_pending(spark, sf_dir):
     return incremental.pending(d, state, "f")
 
 
+def _chunk_states(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return d.select(F.coalesce("source", F.lit("none")).alias("source_id"), F.col("doc_id").alias("chunk_index"), F.sha2("text", 256).alias("chunk_hash"))
+
+
+@query
+def pending_chunks(spark, sf_dir):
+    """Of every third chunk that is done, every second one has changed since."""
+    chunks = _chunk_states(spark, sf_dir)
+    number = F.col("chunk_index")
+    done = chunks.where(number % 3 == 0).withColumn("chunk_hash", F.when(number % 6 == 0, "old").otherwise(F.col("chunk_hash")))
+    return incremental.pending_chunks(chunks, done)
+
+
+@query
+def valid_pairs(spark, sf_dir):
+    """Earlier pairs of chunks that are still there, made under the same settings."""
+    chunks = _chunk_states(spark, sf_dir)
+    number = F.col("chunk_index")
+    pairs_made = chunks.withColumns({"fingerprint": F.when(number % 4 == 0, "other").otherwise("same"), "question": F.concat(F.lit("q"), number.cast("string"))})
+    return incremental.valid_pairs(pairs_made, chunks.where(number % 5 != 0), "same").select("source_id", "chunk_index", "question")
+
+
 @query
 def run_summary(spark, sf_dir):
     d = documents(spark, sf_dir)

@@ -397,6 +397,13 @@ SQL: dict[str, str] = {
     "top_sources": "SELECT source AS source_file, count(*) AS n FROM documents WHERE coalesce(source, '') <> '' GROUP BY source ORDER BY count(*) DESC, min(doc_id) LIMIT 25",
     "trusted_source": f"WITH {DOCS}, z AS (SELECT doc_id, ['investments.md', 'my investments.md', 'Macroéconomie 3e', 'Security-Analysis (1934).md', 'blog', 'PRINCIPES DE L''ÉCONOMIE', 'Financial Calculus.md'][CAST(doc_id % 7 + 1 AS INTEGER)] || CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(source, '') END AS f FROM d) SELECT doc_id, regexp_matches(f, {q('(?i)' + P.TRUSTED_FINANCE_SOURCE)}) AS trusted FROM z",
     "dense_ids": f"WITH {DOCS} SELECT doc_id, row_number() OVER (ORDER BY sha256(text), doc_id) AS number FROM d",
+    "pending_chunks": f"WITH {DOCS} SELECT coalesce(source, 'none') AS source_id, doc_id AS chunk_index, sha256(text) AS chunk_hash FROM d WHERE doc_id % 3 <> 0 OR doc_id % 6 = 0",
+    "valid_pairs": f"WITH {DOCS} SELECT coalesce(source, 'none') AS source_id, doc_id AS chunk_index, 'q' || doc_id AS question FROM d WHERE doc_id % 4 <> 0 AND doc_id % 5 <> 0",
+    "heading_levels": "SELECT page_id, coalesce(TRY_CAST(nullif(regexp_extract(coalesce(html, ''), '(?i)<h([1-6])\\b', 1), '') AS INTEGER), 1) AS level FROM pages",
+    "snake_names": "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: lower(w)), '_') AS name FROM part",
+    "file_names": f"WITH {DOCS}, z AS (SELECT doc_id, coalesce(source, 'none') || '/d' || doc_id AS base, ['.PDF', '.md', '.tar.Mp3', '.webm', '', '.xlsx', '.zzz', '.doc'][CAST(doc_id % 8 + 1 AS INTEGER)] AS s FROM d), y AS (SELECT *, CASE WHEN s = '.tar.Mp3' THEN '.mp3' ELSE lower(s) END AS suffix FROM z) SELECT doc_id, suffix, 'd' || doc_id || CASE WHEN s = '.tar.Mp3' THEN '.tar' ELSE '' END AS stem, CASE suffix WHEN '.mp3' THEN 'audio' WHEN '.webm' THEN 'video' WHEN '' THEN 'other' WHEN '.zzz' THEN 'other' ELSE 'document' END AS kind, {lookup('suffix', T.MEDIA_TYPES, 'application/octet-stream')} AS media, base || s AS below FROM y",
+    "path_numbers": f"WITH {DOCS} SELECT doc_id, row_number() OVER (ORDER BY string_split(concat_ws('/', coalesce(source, ''), coalesce(lang, '-'), CAST(doc_id AS VARCHAR)), '/')) AS number FROM d",
+    "ratio_sample": "WITH n AS (SELECT greatest(0, greatest(1, CAST(floor(count(*) * 0.3) AS BIGINT)) - count_if(doc_id % 10 = 0)) AS n FROM documents), r AS (SELECT doc_id, row_number() OVER (ORDER BY sha256('42/' || doc_id), doc_id) AS k FROM documents WHERE doc_id % 10 <> 0) SELECT doc_id FROM r, n WHERE k <= n",
     "qa_pairs": f"WITH {TURNS} SELECT * FROM p",
     "junk_chunk": f"WITH {DOCS} SELECT doc_id, CASE WHEN {strip('text')} = '' THEN true WHEN {_alnum} >= 150 THEN false WHEN {_alnum} < 40 THEN true ELSE {_alnum} / length(text)::DOUBLE < 0.30 END AS junk FROM d",
     "junk_qa": f"WITH {TURNS}, z AS (SELECT conv_id, turn, {strip('question')} AS q, {strip('answer')} AS a FROM p) SELECT conv_id, turn, coalesce(length(q) < 10 OR length(a) < 10 OR {_bad('q')} OR {_bad('a')}, true) AS junk FROM z",
