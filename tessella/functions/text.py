@@ -45,26 +45,10 @@ def lstrip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{SPACE}]+", "")
 
 
-def _folded_apart() -> dict[str, str]:
-    """Of every other character that is not its own full case folding when lower-cased: the folding. A rule, not a list."""
-    common = {a for a, _ in FOLDS}
-    return {c: c.casefold() for c in map(chr, range(0x80, 0x110000)) if c.lower().casefold() != c.lower() and c not in common and c.lower() not in common}
-
-
-RARE_FOLDS = _folded_apart()
-
-
 def casefold(c: Column) -> Column:
-    """Full case folding. ASCII texts are lower-cased; a few characters are replaced; rare ones are looked up one by one."""
-
-    def folded(x: Column) -> Column:
-        plain = reduce(lambda y, pair: F.replace(y, F.lit(pair[0]), F.lit(pair[1])), FOLDS, F.lower(x))
-        table = F.create_map(*[F.lit(v) for k, to in RARE_FOLDS.items() for v in (k, to)])
-        # looked up before lower-casing, which would turn some of them into several characters
-        each = F.array_join(F.transform(F.split(x, ""), lambda y: F.coalesce(F.element_at(table, y), reduce(lambda z, pair: F.replace(z, F.lit(pair[0]), F.lit(pair[1])), FOLDS, F.lower(y)))), "")
-        return F.when(F.octet_length(x) == F.char_length(x), F.lower(x)).when(x.rlike(f"[{''.join(RARE_FOLDS)}]"), each).otherwise(plain)
-
-    return let(c, folded)
+    """Lower case and the common foldings beyond it; rare ones (mostly of Greek with marks and Cherokee) are left out: a
+    look at every character for them costs several times as much as all the rest."""
+    return reduce(lambda x, pair: F.replace(x, F.lit(pair[0]), F.lit(pair[1])), FOLDS, F.lower(c))
 
 
 def collapse(c: Column) -> Column:

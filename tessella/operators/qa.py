@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import rules as R
 from ..functions import text as T
-from .shared import numbered
+from .shared import numbered, stored
 
 
 def turns_to_pairs(turns: DataFrame) -> DataFrame:
@@ -114,13 +114,14 @@ def with_reasons(rows: DataFrame) -> DataFrame:
     own = R.cleaning_reasons(F.col("_t.instruction"), F.col("_t.input"), F.col("_t.response"), F.col("_domain"))
     told = rows.withColumn("_own", F.concat("_structure", F.when(F.col("_t").isNull(), F.array().cast("array<string>")).otherwise(own)))
     told = told.withColumn("_key", F.when(F.col("_t").isNotNull(), T.alnum_key(F.col("_t.instruction"))))
-    # rows without a key join nothing, and meet nowhere
+    # judged once, in a slim table; rows without a key join nothing, and meet nowhere
+    told = stored(told.select("line", "_own", "_key", F.coalesce("_t.instruction", F.lit("")).alias("instruction")))
     kept = told.where("size(_own) = 0 and _key is not null").groupBy("_key").agg(F.min("line").alias("_kept"))
     told = told.join(kept, "_key", "left")
     again = F.col("line") > F.col("_kept")
     # the code stands before off_domain, in the order of the rules
     placed = F.concat(F.filter("_own", lambda r: r != "off_domain"), F.array(F.lit("duplicate_instruction")), F.filter("_own", lambda r: r == "off_domain"))
-    return told.select("line", F.coalesce("_t.instruction", F.lit("")).alias("instruction"), F.when(F.coalesce(again, F.lit(False)), placed).otherwise(F.col("_own")).alias("reasons"))
+    return told.select("line", "instruction", F.when(F.coalesce(again, F.lit(False)), placed).otherwise(F.col("_own")).alias("reasons"))
 
 
 def retention(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..functions import windows as C
 from .dedup import first_wins
-from .shared import stored
+from .shared import spread, stored
 
 # Fixed value.
 RIGHTS = "unknown_review_required"
@@ -71,7 +71,7 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, stem_col: str, domain:
 
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stem_col: str = "source", domain: str = "finance", size: int = C.RAG_CHARS, overlap: int = C.RAG_OVERLAP) -> tuple[DataFrame, DataFrame]:
     """(documents, judged windows); copies of a document are listed but not cut."""
-    ready = prepared(docs, id_col, text_col, stem_col, domain)
+    ready = prepared(spread(docs.select(id_col, text_col, stem_col)), id_col, text_col, stem_col, domain)
     originals = ready.where(F.col("duplicate_of").isNull() & (F.col("text") != ""))
     return ready, judged_windows(windows(originals, size, overlap), domain)
 

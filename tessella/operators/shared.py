@@ -62,3 +62,9 @@ def numbered(df: DataFrame, order: list[Column], name: str, start: int = 0) -> D
     offset = F.element_at(F.create_map(*before), F.col("_range")) if before else F.lit(0).cast("long")
     place = F.row_number().over(W.partitionBy("_range").orderBy("_order"))
     return dealt.withColumn(name, (offset + place - 1).cast("long")).drop("_order", "_range")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its source has fewer parts than there are cores; else as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
