@@ -101,7 +101,40 @@ def pairs_of_bands(texts):
 def test_lsh(spark, sf_dir, texts):
     want = {i: ",".join(map(str, dedup.band_hashes(dedup.minhash(dedup.shingle_set(t))))) for i, t in texts.items()}
     assert {r["pos"]: r["bands"] for r in run(spark, sf_dir, "minhash_bands")} == want
-    assert {(r["i"], r["j"]) for r in run(spark, sf_dir, "lsh_candidates")} == pairs_of_bands(texts)
+    assert {r["pos"]: (r["class"], r["links"]) for r in run(spark, sf_dir, "lsh_candidates")} == classes_of(texts, pairs_of_bands(texts))
+
+
+def classes_of(texts, pairs):
+    own, near = {p: p for p in texts}, defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b)
+        near[b].add(a)
+    for p in sorted(texts):
+        reached = [p] if own[p] == p else []
+        while reached:
+            for q in near[reached.pop()]:
+                if own[q] == q and q > p:
+                    own[q] = p
+                    reached.append(q)
+    return {p: (own[p], len(near[p])) for p in texts}
+
+
+def test_buckets_of_many_blocks(spark, monkeypatch):
+    """Large buckets are dealt into blocks: every pair still meets once, copies count, and nothing lists all pairs."""
+    words = ["alpha beta gamma delta", "alpha beta gamma delto", "alpha beta gamma", "omega", ""]
+    texts = {k: words[k % 5] + (" x" if k % 7 == 0 else "") for k in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "pos long, text string")
+    monkeypatch.setattr(dedup, "BLOCK", 4)
+    got = dedup.links(df, "pos", "text").collect()
+    assert {r["pos"]: (r["class"], r["links"]) for r in got} == classes_of(texts, pairs_of_bands(texts)) and len(got) == 60
+    few = {k: t for k, t in texts.items() if k < 20}
+    want = {(a, b) for a, b in pairs_of_bands(few) if difflib.SequenceMatcher(None, few[a], few[b]).ratio() > 0.85}
+    edges = [tuple(r) for r in dedup.verified(df.where("pos < 20"), "pos", "text").collect()]
+    assert sorted(edges) == sorted(want)
+
+
+def test_common_length():
+    assert dedup.common_length("", "ab") == 0 and dedup.common_length("abcde", "xacxe") == 3 and dedup.common_length("a" * 200, "a" * 150) == 150
 
 
 def test_near_dedup(spark, sf_dir):
