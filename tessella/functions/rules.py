@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from . import patterns as P
 from . import text as T
 
@@ -46,20 +47,7 @@ def chunk_quality(c: Column, min_chars: int = 200, min_words: int = 30) -> Colum
 
     Line feeds and tabs are not printable, so texts made of short lines fail. Short texts score 0.
     """
-    n = F.length(c)
-    words = F.size(T.unicode_words(c)).cast("int")
-    printable = (n - F.length(F.regexp_replace(c, r"[^\p{C}\p{Z}]+| +", ""))) / n
-    solid = F.length(F.regexp_replace(c, f"[{T.SPACE}]+", ""))
-    alpha = F.when(solid > 0, T.count_matching(c, r"\p{L}") / solid).otherwise(0.0)
-    broken = T.count_matching(c, "�") / n
-
-    def judged(p: Column) -> Column:
-        score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.55 * p["alpha"] + 0.45 * p["printable"] - 5 * p["broken"]))
-        keep = (p["printable"] >= 0.96) & (p["alpha"] >= 0.45) & (p["broken"] <= 0.002)
-        short = (n < min_chars) | (p["words"] < min_words)
-        return F.struct((~short & keep).alias("keep"), F.when(short, 0.0).otherwise(score).alias("score"), p["words"].alias("words"))
-
-    return T.let(F.struct(printable.alias("printable"), alpha.alias("alpha"), broken.alias("broken"), words.alias("words")), judged)
+    return K.quality_column(c, min_chars, min_words)
 
 
 def is_junk_chunk(c: Column, ratio: float = 0.30, least: int = 40, enough: int = 150) -> Column:
@@ -123,19 +111,7 @@ def document_rejection(domain: Column, title: Column) -> Column:
 
 def training_rejection(c: Column, min_chars: int = 400, min_words: int = 50) -> Column:
     """The first reason why a text is no training text, or null."""
-    words = T.unicode_words(c)
-    front = count(c, P.FRONT_MATTER)
-    return first_reason([
-        ("too_short", (F.length(c) < min_chars) | (F.size(words) < min_words)),
-        ("replacement_characters", T.count_matching(c, "�") / F.length(c) > 0.001),
-        ("dot_leaders", count(c, P.DOT_LEADER) >= 4),
-        ("url_list", count(c, P.URL) >= 12),
-        ("publisher_front_matter", (front >= 2) | ((front >= 1) & matches(c, P.SERIES_FRONT_MATTER))),
-        ("copyright_noise", count(c, P.COPYRIGHT_NOISE) >= 3),
-        ("license_front_matter", matches(c, P.LICENSE_FRONT_MATTER)),
-        ("index_or_reference_list", (count(c, P.INDEX_REFERENCE) >= 12) & (T.count_matching(c, ".") <= 3)),
-        ("low_vocabulary_diversity", T.let(words, lambda w: F.size(F.array_distinct(F.transform(w, T.casefold))) / F.size(w) < 0.12)),
-    ])
+    return K.rejection_column(c, min_chars, min_words)
 
 
 def _shared_rules(instruction: Column, response: Column) -> dict[str, Column]:

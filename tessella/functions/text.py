@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # The 29 white-space characters of Unicode-aware strip and \s, and those that end a line.
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACES = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 LINE_END = r"\n\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}"
 IN_LINE = r"\t\x1f\x20\xa0\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
 # What full case folding adds to lower-casing.
@@ -38,11 +39,11 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{SPACE}]+", "")
+    return F.ltrim(c, F.lit(SPACES))
 
 
 def casefold(c: Column) -> Column:
@@ -62,11 +63,9 @@ def canonical_text(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Unix line ends, single blanks in lines, no blanks around lines, at most one empty line in a row."""
-    c = F.regexp_replace(F.replace(c, F.lit("\0"), F.lit("")), "\r\n?", "\n")
-    c = F.regexp_replace(c, f"[{LINE_END}]", "\n")
-    c = F.regexp_replace(c, "[ \t]+", " ")
-    c = F.regexp_replace(F.regexp_replace(c, f"(^|\n)[{IN_LINE}]+", "$1"), f"[{IN_LINE}]+(\n|$)", "$1")
-    return strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
+    from .kernels import clean_column
+
+    return clean_column(c)
 
 
 def count_matching(c: Column, chars: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
 from ..functions import pytext
 from ..functions import rules as R
 from ..functions import text as T
@@ -36,7 +37,7 @@ def judged_windows(wins: DataFrame, domain: str) -> DataFrame:
     Quality comes first; among the good ones the first by document and window wins, over all documents of a domain.
     """
     # cut and judged once, in a table: firsts are then found on keys alone, and every later step reads the table
-    scored = stored(wins.withColumn("quality", R.chunk_quality(F.col("chunk_text"))).withColumn("content_sha256", F.sha2(T.canonical_text(F.col("chunk_text")), 256)))
+    scored = stored(wins.withColumn("quality", R.chunk_quality(F.col("chunk_text"))).withColumn("content_sha256", K.canonical_sha(F.col("chunk_text"))))
     place = F.struct("document_id", "win_pos")
     firsts = scored.where("quality.keep").groupBy("content_sha256").agg(F.min(place).alias("f")).select("f.document_id", "f.win_pos", F.lit(True).alias("_first"))
     status = F.when(~F.col("quality.keep"), "rejected_quality").when(F.col("_first").isNull(), "rejected_duplicate").otherwise("indexed")

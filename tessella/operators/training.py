@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
 from ..functions import patterns as P
 from ..functions import rules as R
 from ..functions import text as T
@@ -36,30 +37,18 @@ def evenly_spaced(chunks: DataFrame, group: str, order: str, limit: int) -> Data
     return numbered.where((F.col("_n") <= limit) | keep).drop("_p", "_n")
 
 
-def overlap_length(previous: Column, current: Column) -> Column:
-    """How many characters at the start of current repeat the end of previous exactly; 0 below ANCHOR characters."""
-    most = F.least(F.lit(TAIL), F.length(previous), F.length(current))
-    ends = T.let(most, lambda n: F.struct(n.alias("n"), F.right(previous, n).alias("tail"), F.left(current, F.lit(TAIL)).alias("head")))
-
-    def found(x: Column) -> Column:
-        back = F.instr(F.reverse(x["tail"]), F.reverse(F.left(x["head"], F.lit(ANCHOR))))
-        fits = lambda n: F.when(F.startswith(x["head"], F.right(x["tail"], n)), n).otherwise(0)
-        return F.when((x["n"] >= ANCHOR) & (back > 0), T.let(back + ANCHOR - 1, fits)).otherwise(0)
-
-    return F.when(previous.isNull() | current.isNull(), 0).otherwise(T.let(ends, found)).cast("int")
+def _trimmed(chunks: DataFrame, group: str, index: str, text: str, limits: tuple[int, int] | None = None) -> DataFrame:
+    w = W.partitionBy(group).orderBy(index)
+    # an overlap lies within the last TAIL characters of the neighbour
+    before = F.when(F.lag(index).over(w) == F.col(index) - 1, F.lag(F.right(F.col(text), F.lit(TAIL))).over(w))
+    out = chunks.withColumn("_before", before)
+    cut = K.trimmed_column(F.col("_before"), F.col(text), ANCHOR, TAIL, limits)
+    return out.withColumn("_cut", cut).withColumns({"overlap_removed": F.col("_cut.n"), "trimmed": F.col("_cut.text")}).drop("_before")
 
 
 def trimmed(chunks: DataFrame, group: str = "document_id", index: str = "chunk_index", text: str = "text") -> DataFrame:
     """chunks with trimmed (the text without what repeats the neighbour before it) and overlap_removed."""
-    w = W.partitionBy(group).orderBy(index)
-    before = F.when(F.lag(index).over(w) == F.col(index) - 1, F.lag(text).over(w))
-
-    def cut(own: Column) -> Column:
-        rest = lambda n: F.struct(n.alias("n"), F.when(n > 0, T.lstrip(F.substr(own, n + 1, F.length(own)))).otherwise(own).alias("text"))
-        return T.let(overlap_length(F.col("_before"), own), rest)
-
-    out = chunks.withColumn("_before", before).withColumn("_cut", T.let(T.strip(F.col(text)), cut))
-    return out.withColumns({"overlap_removed": F.col("_cut.n"), "trimmed": F.col("_cut.text")}).drop("_before", "_cut")
+    return _trimmed(chunks, group, index, text).drop("_cut")
 
 
 def judged(chunks: DataFrame, title: str = "title", domain: str = "domain", min_quality: float = MIN_QUALITY, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, cap: int = CAP) -> DataFrame:
@@ -70,10 +59,9 @@ def judged(chunks: DataFrame, title: str = "title", domain: str = "domain", min_
     order only where a cap binds; else the first copy wins.
     """
     good = chunks.where(F.col("quality_score") >= min_quality).withColumn("_doc", R.document_rejection(F.col(domain), F.coalesce(F.col(title), F.lit(""))))
-    picked = trimmed(evenly_spaced(good.where("_doc is null"), "document_id", "chunk_index", cap))
-    reason = T.let(F.col("trimmed"), lambda t: R.training_rejection(t, min_chars, min_words))
-    keys = {"content_key": F.sha2(T.canonical_text(F.col("trimmed")), 256), "title_key": T.canonical_text(F.coalesce(F.col(title), F.lit("")))}
-    told = stored(picked.withColumn("reason", reason).withColumns(keys).drop("_doc"))
+    picked = _trimmed(evenly_spaced(good.where("_doc is null"), "document_id", "chunk_index", cap), "document_id", "chunk_index", "text", (min_chars, min_words))
+    keys = {"content_key": F.col("_cut.key"), "title_key": T.canonical_text(F.coalesce(F.col(title), F.lit("")))}
+    told = stored(picked.withColumn("reason", F.col("_cut.reason")).withColumns(keys).drop("_doc", "_cut"))
     late = decided(told.where("reason is null").select("content_key", "title_key", "document_id", "chunk_index"), cap).where("reason is not null")
     told = told.join(late.select("document_id", "chunk_index", F.col("reason").alias("_late")), ["document_id", "chunk_index"], "left").withColumn("reason", F.coalesce("reason", "_late")).drop("_late")
     of_documents = {"overlap_removed": F.lit(0), "trimmed": F.col("text"), "reason": F.col("_doc"), "content_key": F.lit(None).cast("string"), "title_key": keys["title_key"]}
