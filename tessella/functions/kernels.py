@@ -10,6 +10,7 @@ import functools
 import hashlib
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,10 +20,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import FOLDS
+from .text import FOLDS, STOPWORDS
 
 #: Characters that are taken at once, and the rows of a slice at most.
 SLICE_CHARS, SLICE_ROWS = 1 << 20, 512
+_STOP = frozenset(STOPWORDS)
 
 
 def slices(*columns: pa.Array) -> Iterator[list[list]]:
@@ -235,3 +237,41 @@ def trimmed_column(previous: Column, own: Column, anchor: int, tail: int, judge:
         return pa.StructArray.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), TRIMMED, strict=True)], fields=list(TRIMMED))
 
     return arrow(run, "struct<n:int,text:string,reason:string,key:string>", TRIMMED)(previous, own)
+
+
+# --- terms and runs of words -------------------------------------------------------------------------------------
+
+
+def term_counts(accented: str, plain: str, most: int = 200_000) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: (term, rows that have it, occurrences), told whenever `most` terms are held and at the end."""
+    mapped = str.maketrans(accented, plain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, total = Counter(), Counter()
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([rows[t] for t in total], pa.int64()), pa.array(list(total.values()), pa.int64())], ["term", "chunks", "occurrences"])
+
+        for batch in batches:
+            for (texts,) in slices(batch.column(0)):
+                for text in texts:
+                    found = re.findall(r"[^\W_]+", text.lower().translate(mapped)) if text else []
+                    total.update(found)
+                    rows.update(set(found))
+                if len(total) >= most:
+                    yield told()
+                    rows, total = Counter(), Counter()
+        if total:
+            yield told()
+
+    return run
+
+
+def grams(wanted, sizes: tuple[int, ...]) -> Callable[[list], pa.Array]:
+    """Of each text the distinct runs of topic words that are wanted (a broadcast set)."""
+
+    def of(text: str) -> list[str]:
+        words = [w for w in re.findall("[a-z0-9]+", folded(text)) if w not in _STOP]
+        return sorted({g for n in sizes for g in map(" ".join, zip(*[words[k:] for k in range(n)], strict=False)) if g in wanted.value})
+
+    return each(of, pa.list_(pa.string()))

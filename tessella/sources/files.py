@@ -6,10 +6,12 @@ import sqlite3
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
 from ..functions import text as T
 from ..functions import windows as C
 from . import formats
@@ -74,8 +76,11 @@ def extracted(files: DataFrame, registry: dict | None = None) -> DataFrame:
     return files.mapInPandas(run, schema)
 
 
-def _html_parts(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([formats.html_parts(h) for h in html], columns=["text", "heading"])
+_PARTS = pa.struct([("text", pa.string()), ("heading", pa.string())])
+
+
+def _html_parts(html: list) -> pa.Array:
+    return pa.array([dict(zip(("text", "heading"), formats.html_parts(h), strict=True)) for h in html], _PARTS)
 
 
 def _decoded_bytes(content: pd.Series) -> pd.Series:
@@ -84,7 +89,7 @@ def _decoded_bytes(content: pd.Series) -> pd.Series:
 
 def html_parts(html: Column) -> Column:
     """struct<text, heading>: visible text and first heading of a page."""
-    return F.pandas_udf(_html_parts, "struct<text:string,heading:string>")(html)
+    return K.arrow(_html_parts, "struct<text:string,heading:string>", _PARTS)(html)
 
 
 def decode_bytes(content: Column) -> Column:

@@ -35,3 +35,33 @@ def test_no_java_patterns(spark):
     told = df.select(T.clean_text(t), R.chunk_quality(t), R.training_rejection(t), K.canonical_sha(t))
     assert "regexp" not in told._jdf.queryExecution().optimizedPlan().toString()
     assert len(told.collect()) == len(HOSTILE) + 1
+
+
+def test_terms_are_counted_where_they_are_read(spark):
+    from tessella.operators import rag
+
+    df = spark.createDataFrame([("a", "Été été x_y"), ("b", "ete 1"), ("c", None)], "chunk_uid string, text string")
+    told = rag.term_counts(df)
+    assert {tuple(r) for r in told.collect()} == {("ete", 2, 3), ("x", 1, 1), ("y", 1, 1), ("1", 1, 1)}
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1  # none by chunk
+
+
+def test_support_both_ways(spark, monkeypatch):
+    from tessella.operators import qa
+
+    answers = spark.createDataFrame([(1, "one two three four five six"), (2, "x y z"), (3, "red blue green pink")], "k long, t string")
+    sources = spark.createDataFrame([("zero one two three four nine",), ("red blue green pink",), (None,)], "s string")
+    few = {tuple(r) for r in qa.token_support(answers, "k", "t", sources, "s").collect()}
+    monkeypatch.setattr(qa, "ASKED", 0)
+    assert few == {tuple(r) for r in qa.token_support(answers, "k", "t", sources, "s").collect()}
+    assert few == {(1, 2, 1 / 3), (2, 0, 0.0), (3, 2, 1.0)}
+
+
+def test_pieces_leave_in_slices(spark, monkeypatch):
+    """No worker turns a whole batch into pieces at once."""
+    from tessella.functions import windows as C
+
+    seen = []
+    monkeypatch.setattr(K, "arrow", lambda run, *_: seen.append(run))
+    C._udf(lambda t: [t], "array<string>")(1)
+    assert len(seen) == 1 and seen[0](["a"]).to_pylist() == [["a"]]
