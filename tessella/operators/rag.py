@@ -39,9 +39,11 @@ def judged_windows(wins: DataFrame, domain: str) -> DataFrame:
     # cut and judged once, in a table: firsts are then found on keys alone, and every later step reads the table
     scored = stored(wins.withColumn("quality", R.chunk_quality(F.col("chunk_text"))).withColumn("content_sha256", K.canonical_sha(F.col("chunk_text"))))
     place = F.struct("document_id", "win_pos")
-    firsts = scored.where("quality.keep").groupBy("content_sha256").agg(F.min(place).alias("f")).select("f.document_id", "f.win_pos", F.lit(True).alias("_first"))
-    status = F.when(~F.col("quality.keep"), "rejected_quality").when(F.col("_first").isNull(), "rejected_duplicate").otherwise("indexed")
-    return scored.join(firsts, ["document_id", "win_pos"], "left").withColumn("status", status).withColumn("domain", F.lit(domain)).drop("_first")
+    firsts = scored.where("quality.keep").groupBy("content_sha256").agg(F.min(place).alias("f"))
+    # by document, so that windows numbered in their document later need no second shuffle of the texts
+    of_document = firsts.groupBy(F.col("f.document_id").alias("document_id")).agg(F.collect_list("f.win_pos").alias("_firsts"))
+    status = F.when(~F.col("quality.keep"), "rejected_quality").when(F.array_contains("_firsts", F.col("win_pos")), "indexed").otherwise("rejected_duplicate")
+    return scored.join(of_document, "document_id", "left").withColumn("status", status).withColumn("domain", F.lit(domain)).drop("_firsts")
 
 
 #: Where a chunk comes from, in builds from files.
@@ -121,6 +123,12 @@ def inverted_index(chunk_table: DataFrame, id_col: str = "chunk_uid", text_col:
     return tokens.select("id", F.size("t").alias("length"), F.explode("t").alias("term")).groupBy("term", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def term_counts(chunk_table: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, chunks, occurrences) of the inverted index: rows are counted where they are read, and terms alone are shuffled."""
+    counted = chunk_table.select(F.col(text_col).alias("t")).mapInArrow(K.term_counts(ACCENTED, PLAIN), "term string, chunks long, occurrences long")
+    return counted.groupBy("term").agg(F.sum("chunks").alias("chunks"), F.sum("occurrences").alias("occurrences"))
+
+
 def bm25_search(chunk_table: DataFrame, query: str, k: int = 10, id_col: str = "chunk_uid", text_col: str = "text") -> DataFrame:
     """The k chunks that match the query best: (id, score), ties by id. Only the query's terms are indexed."""
     spark = chunk_table.sparkSession
