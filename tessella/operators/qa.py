@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
 from ..functions import patterns as P
 from ..functions import rules as R
 from ..functions import text as T
@@ -149,17 +151,25 @@ def substring_support(response: Column, source: Column) -> Column:
     return T.let(T.let(F.struct(T.words(response, True).alias("answer"), source.alias("source")), found), judged)
 
 
+#: Lengths of the runs that support an answer, and how many runs of answers are sent to the tasks that read the sources.
+SUPPORT, ASKED = (4, 5), 500_000
+
+
 def token_support(answers: DataFrame, key: str, response: str, sources: DataFrame, source_text: str, same: str | None = None) -> DataFrame:
     """(key, level, coverage): runs of topic words that the sources have as runs of topic words, by equi-join.
 
     Level 3 for a run of 5, 2 for a run of 4, else 0; with same, only sources with an equal value there count.
     """
     on = [same] if same else []
-    found = []
-    for n in (4, 5):
-        grams = answers.select(key, *on, F.explode(T.ngrams(T.words(F.col(response), True), n)).alias("gram"))
-        known = sources.select(*on, F.explode(T.ngrams(T.words(F.col(source_text), True), n)).alias("gram")).distinct().withColumn("_hit", F.lit(1))
-        found.append(grams.join(known, [*on, "gram"], "left").groupBy(key).agg(F.count(F.lit(1)).alias(f"n{n}"), F.count("_hit").alias(f"h{n}")))
+    asked = {n: stored(answers.select(key, *on, F.explode(T.ngrams(T.words(F.col(response), True), n)).alias("gram"))) for n in SUPPORT}
+    each = stored(asked[4].union(asked[5]).select("gram").distinct())
+    if each.count() <= ASKED:  # sources then tell only what is asked, in one pass
+        wanted = answers.sparkSession.sparkContext.broadcast({r[0] for r in each.collect()})
+        told = sources.select(*on, F.explode(K.arrow(K.grams(wanted, SUPPORT), "array<string>", pa.list_(pa.string()))(F.col(source_text))).alias("gram"))
+        known = dict.fromkeys(SUPPORT, stored(told.distinct()))
+    else:
+        known = {n: sources.select(*on, F.explode(T.ngrams(T.words(F.col(source_text), True), n)).alias("gram")).join(each, "gram", "left_semi").select(*on, "gram").distinct() for n in SUPPORT}
+    found = [asked[n].join(known[n].withColumn("_hit", F.lit(1)), [*on, "gram"], "left").groupBy(key).agg(F.count(F.lit(1)).alias(f"n{n}"), F.count("_hit").alias(f"h{n}")) for n in SUPPORT]
     both = answers.select(key).join(found[0], key, "left").join(found[1], key, "left").na.fill(0, ["n4", "h4", "n5", "h5"])
     level = F.when(F.col("h5") > 0, 3).when(F.col("h4") > 0, 2).otherwise(0)
     return both.select(key, level.alias("level"), (F.col("h4") / F.greatest(F.lit(1), F.col("n4"))).alias("coverage"))
